@@ -211,3 +211,14 @@ def fairness_by_cohort(df: DataFrame, cohorts, label: str = "label", pred: str =
                     (tp + fp + tn + fn).alias("n"), acc.alias("accuracy"), rec.alias("tpr"),
                     _z(safe_div(fp, fp + tn)).alias("fpr"), prec.alias("precision")).where(
         F.col("cohort_value").isNotNull())
+
+
+def model_comparison(df: DataFrame, model: str = "model", label: str = "label", pred: str = "prediction",
+                     score: str = "score") -> DataFrame:
+    """One row per model with accuracy, Brier and n (a grouped aggregate over the
+    union of every model's scored rows)."""
+    y = F.col(label)
+    return df.groupBy(model).agg(
+        _z(safe_div(F.sum(F.when(y == F.col(pred), 1).otherwise(0)), F.count(F.lit(1)))).alias("accuracy"),
+        F.avg(F.pow(F.col(score).cast("double") - y.cast("double"), 2)).alias("brier"),
+        F.count(F.lit(1)).alias("n"))

@@ -120,7 +120,8 @@ def scored_customers(spark: SparkSession, sf_dir: str, tracked: DataFrame | None
     """B1 label (transition failure) with a deterministic md5 score per customer.
 
     The score leans on the label for part of the customers so metrics are not trivial:
-    score = 0.6 * u1 + 0.4 * label * u2 with two independent md5 uniforms.
+    score = floor(1000 * (0.6 * u1 + 0.4 * label * u2)) / 1000 with two md5 uniforms
+    (three decimals, so many customers share a score: ties are exercised).
     """
     from ..operators.cascade import track
     if tracked is None:
@@ -128,6 +129,7 @@ def scored_customers(spark: SparkSession, sf_dir: str, tracked: DataFrame | None
     y = F.col("transition_failure").cast("int")
     u1 = md5_uniform(SCORE_SEED, F.col("entity_id"))
     u2 = md5_uniform(SCORE_SEED + 1, F.col("entity_id"))
-    score = F.round(F.lit(0.6) * u1 + F.lit(0.4) * y.cast("double") * u2, 3)
+    # three decimals by floor (identical IEEE arithmetic in every engine, unlike round)
+    score = F.floor((F.lit(0.6) * u1 + F.lit(0.4) * y.cast("double") * u2) * F.lit(1000.0)) / F.lit(1000.0)
     return tracked.select("entity_id", "state", "district", "segment", "gender", "urban_rural",
                           "anchor_ts", y.alias("label"), score.alias("score"))
