@@ -37,10 +37,12 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 
 def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None = None,
                   anchor_col: str = "anchor_ts") -> DataFrame:
-    """F2-F10 for every step plus gaps and anchor date parts."""
+    """F2-F10 for every step plus gaps and anchor date parts.  Steps whose columns are
+    absent (e.g. Day-0 scoring requests) are skipped; ``ensure_parity`` fills them."""
     cols = []
-    names = spec.step_names
-    for s in spec.steps:
+    have = [s for s in spec.steps if f"{s.name}_days_after_anchor" in tracked.columns]
+    names = [s.name for s in have]
+    for s in have:
         d = F.col(f"{s.name}_days_after_anchor").cast("double")
         t = F.coalesce(d, F.lit(MISSING_DAYS))
         cols += [
@@ -63,12 +65,13 @@ def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None =
                               F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x) / F.lit(float(len(gaps))))
                .withColumn("max_gap_between_updates",
                            F.greatest(*[F.col(g) for g in gaps]) if len(gaps) > 1 else F.col(gaps[0])))
-    a = F.col(anchor_col)
-    out = (out.withColumn("anchor_year", F.year(a)).withColumn("anchor_month", F.month(a))
-           .withColumn("anchor_quarter", F.quarter(a)).withColumn("anchor_dow", weekday_monday0(a)))
-    if enrol_col:
-        out = out.withColumn("years_between_enrolment_and_anchor",
-                             floor_days(a, F.col(enrol_col)) / F.lit(365.25))
+    if anchor_col in tracked.columns:
+        a = F.col(anchor_col)
+        out = (out.withColumn("anchor_year", F.year(a)).withColumn("anchor_month", F.month(a))
+               .withColumn("anchor_quarter", F.quarter(a)).withColumn("anchor_dow", weekday_monday0(a)))
+        if enrol_col and enrol_col in tracked.columns:
+            out = out.withColumn("years_between_enrolment_and_anchor",
+                                 floor_days(a, F.col(enrol_col)) / F.lit(365.25))
     return out
 
 

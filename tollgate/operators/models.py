@@ -25,6 +25,7 @@ from .splits import shuffled_labels, stratified_folds
 RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=10, seed=42)
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, seed=42)
 LR_MAX_ITER = 1000
+LR_TOL = 1e-4  # sklearn's lbfgs tolerance
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -52,7 +53,7 @@ def train_logistic(train: DataFrame, names, label: str, balanced: bool = True, m
         d = with_class_weights(d, label)
         kw["weightCol"] = "weight"
     lr = LogisticRegression(featuresCol="features", labelCol="__label", maxIter=max_iter, regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False, **kw)
+                            elasticNetParam=0.0, standardization=False, tol=LR_TOL, **kw)
     return lr.fit(d)
 
 

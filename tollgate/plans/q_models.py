@@ -1 +1,177 @@
-"""(filled in below)."""
+"""Model queries on B1 features (M2-M15, E13, R1-R4, S7, K7).  MLlib training has no
+SQL formulation, so these carry no oracle (rows-only check); their metric parts reuse
+the SQL-checked metric operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import audit, models as MD, splits
+from ..operators.features import day0_feature_names
+from ..operators.metrics import ranking_metrics
+from ..operators.scoring import ScoringBundle, scoring_summary
+from ..session import scratch_path
+from .catalog import register
+from .q_features import SPEC, TARGET, fitted
+
+KEY = "entity_id"
+
+
+def model_frame(spark, sf_dir):
+    """Split + train-fitted, scaled feature matrix of every customer."""
+    s, m = fitted(spark, sf_dir)
+    f = m.transform(s).withColumn("label", F.col(TARGET).cast("int"))
+    # every model query fits several times over this matrix: write it once to the
+    # shared checkpoint folder (cuts the lineage; survives executor loss)
+    return f.checkpoint(eager=True), m
+
+
+def _test_scores(model, f, names, tag):
+    s = MD.score(model, f.where(F.col("split") == "test"), names)
+    return s.select(F.lit(tag).alias("model"), KEY, "label", "score")
+
+
+@register("train_lr")
+def train_lr(spark, sf_dir):
+    """M3: balanced L2 logistic regression on all features; test-split scores."""
+    f, m = model_frame(spark, sf_dir)
+    lr = MD.train_logistic(f.where(F.col("split") == "train"), m.feature_names, "label")
+    return _test_scores(lr, f, m.feature_names, "lr")
+
+
+@register("train_rf")
+def train_rf(spark, sf_dir):
+    """M4: random forest with the reference's hyper-parameters; test-split scores."""
+    f, m = model_frame(spark, sf_dir)
+    rf = MD.train_random_forest(f.where(F.col("split") == "train"), m.feature_names, "label")
+    return _test_scores(rf, f, m.feature_names, "rf")
+
+
+@register("train_gbt")
+def train_gbt(spark, sf_dir):
+    """M5 / M8 (diagnostic model): boosted trees on all features; test-split scores."""
+    f, m = model_frame(spark, sf_dir)
+    g = MD.train_gbt(f.where(F.col("split") == "train"), m.feature_names, "label")
+    return _test_scores(g, f, m.feature_names, "gbt")
+
+
+@register("calibrated_suite")
+def calibrated_suite(spark, sf_dir):
+    """M6 + M7: Day-0 models (LR, RF, GBT), each isotonic-calibrated over 3 folds;
+    calibrated test-split scores of every model, long form."""
+    f, m = model_frame(spark, sf_dir)
+    names = day0_feature_names(m.feature_names)
+    train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
+    out = None
+    for base in ("lr", "rf", "gbt"):
+        pairs = MD.fit_calibrated(train, names, "label", KEY, base=base, folds=3)
+        s = MD.score_calibrated(pairs, test.select(KEY, "label", *names), names, KEY).select(
+            F.lit(base).alias("model"), KEY, "label", "score")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("cv_auc")
+def cv_auc(spark, sf_dir):
+    """M2: 5-fold stratified cross-validated AUC of LR on the training split."""
+    f, m = model_frame(spark, sf_dir)
+    mean, std, aucs = MD.cv_auc(f.where(F.col("split") == "train"), m.feature_names, "label", KEY, "lr", k=5)
+    return spark.createDataFrame([(i, a, mean, std) for i, a in enumerate(aucs)],
+                                 "fold int, roc_auc double, mean_auc double, std_auc double")
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Random-forest feature importances, sorted."""
+    f, m = model_frame(spark, sf_dir)
+    rf = MD.train_random_forest(f.where(F.col("split") == "train"), m.feature_names, "label")
+    return MD.feature_importances(rf, m.feature_names, spark)
+
+
+@register("sampled_shapley")
+def sampled_shapley(spark, sf_dir):
+    """Sampled-permutation Shapley values of a random forest for 100 hash-sampled
+    test rows (baseline = training mean, i.e. 0 after scaling)."""
+    f, m = model_frame(spark, sf_dir)
+    names = m.feature_names
+    rf = MD.train_random_forest(f.where(F.col("split") == "train"), names, "label", numTrees=30)
+    rows = splits.hash_sample(f.where(F.col("split") == "test"), KEY, 100)
+    return MD.sampled_shapley(rf, rows, names, KEY, {n: 0.0 for n in names}, n_perm=4)
+
+
+# fixed values: feature groups for the ablation (by name part)
+ABLATION_GROUPS = ("time_to_update", "window_completed", "gap", "missing", "is_late", "_encoded",
+                   "_target_rate", "anchor_")
+
+
+@register("ablation")
+def ablation(spark, sf_dir):
+    """AUC drop when each feature group is removed (LR refits)."""
+    f, m = model_frame(spark, sf_dir)
+    groups = {g: [n for n in m.feature_names if g in n] for g in ABLATION_GROUPS}
+    rows = MD.ablation(f.where(F.col("split") == "train"), f.where(F.col("split") == "test"), m.feature_names,
+                       groups, "label", "lr")
+    return spark.createDataFrame(rows, "removed_group string, roc_auc double, auc_drop double")
+
+
+@register("temporal_validation")
+def temporal_validation(spark, sf_dir):
+    """Train on anchors before the median anchor year, test on later anchors."""
+    f, m = model_frame(spark, sf_dir)
+    years = f.agg(F.percentile_approx(F.year("anchor_ts"), 0.5).alias("y")).first()["y"]
+    auc = MD.temporal_validation(f, m.feature_names, "label", "anchor_ts", int(years) + 1, "lr")
+    return spark.createDataFrame([(int(years) + 1, auc)], "cutoff_year int, roc_auc double")
+
+
+@register("horizon_models")
+def horizon_models(spark, sf_dir):
+    """One model per availability horizon with the features known by then."""
+    f, m = model_frame(spark, sf_dir)
+    cls = audit.classify_names(m.feature_names, SPEC)
+    horizons = sorted({h for _, h, _, _ in cls})
+    by_h = {h: [n for n, hh, _, _ in cls if hh <= h] for h in horizons}
+    rows = MD.horizon_models(f.where(F.col("split") == "train"), f.where(F.col("split") == "test"), by_h, "label")
+    return spark.createDataFrame(rows, "horizon int, n_features int, roc_auc double")
+
+
+@register("label_shuffle_check")
+def label_shuffle_check(spark, sf_dir):
+    """Accuracy of a model refit on permuted labels (leakage sanity check)."""
+    f, m = model_frame(spark, sf_dir)
+    acc, warn = MD.label_shuffle_check(f.where(F.col("split") == "train"), f.where(F.col("split") == "test"),
+                                       m.feature_names, "label", KEY)
+    return spark.createDataFrame([(acc, warn)], "shuffled_accuracy double, leakage_warning boolean")
+
+
+@register("score_batch")
+def score_batch(spark, sf_dir):
+    """Train a Day-0 LR, save the bundle to the shared checkpoint
+    folder, load it back once and score every customer as a request (rows with a
+    missing required field keep an error instead of a score)."""
+    f, m = model_frame(spark, sf_dir)
+    names = day0_feature_names(m.feature_names)
+    lr = MD.train_logistic(f.where(F.col("split") == "train"), names, "label")
+    path = scratch_path(spark, "bundle")
+    ScoringBundle(m, lr, names, {"trained_on": "customers", "target": TARGET}).save(path)
+    bundle = ScoringBundle.load(spark, path)
+    from .q_cascade import tracked_customers
+    req = tracked_customers(spark, sf_dir).select(
+        KEY, F.when(F.col(KEY) % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("gender")).alias("gender"),
+        "state", "district", "urban_rural", "anchor_ts")
+    return bundle.score(req)
+
+
+@register("score_batch_summary")
+def score_batch_summary(spark, sf_dir):
+    """R2 counts (processed / failed / total) and the test AUC of the Day-0 scores."""
+    scored = score_batch(spark, sf_dir)
+    from .q_cascade import tracked_customers
+    lab = tracked_customers(spark, sf_dir).select(KEY, F.col(TARGET).cast("int").alias("label"))
+    s = scored.where(F.col("error").isNull()).join(lab, KEY).withColumnRenamed("probability", "score")
+    auc = ranking_metrics(s, "label", "score").select("roc_auc")
+    return _summary(scoring_summary(scored), auc)
+
+
+def _summary(counts, auc):
+    a = auc.first()["roc_auc"]
+    return counts.withColumn("roc_auc", F.lit(a).cast("double"))
