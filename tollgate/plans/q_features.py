@@ -25,7 +25,10 @@ def split_customers(spark, sf_dir):
 
 
 def fitted(spark, sf_dir, enrol_col=None, **kw):
-    s = split_customers(spark, sf_dir)
+    # the fit reads the training rows several times (rates, codes, moments) and the
+    # transform reads all rows: write the split table once to the shared checkpoint
+    # folder instead of re-deriving tracking + ranks for every pass
+    s = split_customers(spark, sf_dir).checkpoint(eager=True)
     train = s.where(F.col("split") == "train")
     model = FE.FeatureModel.fit(train, SPEC, TARGET, RATE_COLS, CODE_COLS, enrol_col=enrol_col, **kw)
     return s, model
@@ -246,7 +249,7 @@ def _median_sql():
 def median_impute(spark, sf_dir):
     """NULLs filled with the exact *training* median (distributed exact quantile),
     then 0 -- the test rows never contribute to the medians."""
-    s = split_customers(spark, sf_dir)
+    s = split_customers(spark, sf_dir).checkpoint(eager=True)  # read once per median pass
     med = FE.fit_medians(s.where(F.col("split") == "train"), _MED_COLS, exact=True)
     return FE.apply_medians(s, med).select("entity_id", "split", *_MED_COLS)
 

@@ -48,6 +48,32 @@ ORDER_ENTITIES = """
           FROM orders),
   log AS (SELECT l_orderkey AS entity_id, l_returnflag AS step_type, l_shipdate AS step_ts FROM lineitem)"""
 
+def _u(seed: str, key: str = "entity_id") -> str:
+    return f"(CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+def _simulated_entities() -> str:
+    from ..operators.simulate import ANCHOR_DAYS, SIM_STEPS
+    logs = []
+    for name, share, lo, hi in SIM_STEPS:
+        draw = _u("completion:biometric") if name in ("biometric", "mobile") else _u(f"completion:{name}")
+        off = f"({lo} + CAST(floor({_u(f'offset:{name}')} * {hi - lo + 1}) AS INTEGER))"
+        logs.append(f"SELECT entity_id, '{name}' AS step_type, anchor_ts + to_days({off}) AS step_ts "
+                    f"FROM ent WHERE {draw} < {share}")
+    return f"""
+  oc AS (SELECT strftime(o.o_orderdate, '%d-%m-%Y') AS date, n.n_name AS district, c.c_mktsegment AS segment,
+                count(*) AS n_orders
+         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+         GROUP BY 1, 2, 3),
+  x AS (SELECT date || '_' || district || '_' || segment || '_' || CAST(g.idx AS VARCHAR) AS entity_id,
+               strptime(date, '%d-%m-%Y') AS d, district, segment
+        FROM oc, LATERAL (SELECT unnest(range(0, oc.n_orders)) AS idx) g),
+  p AS (SELECT *, d - to_days({ANCHOR_DAYS} + CAST(floor({_u('dob')} * 365) AS INTEGER)) AS dob,
+               CASE WHEN {_u('gender')} < 0.5 THEN 'M' ELSE 'F' END AS gender FROM x),
+  ent AS (SELECT entity_id, dob + INTERVAL {ANCHOR_DAYS} DAY AS anchor_ts, district, segment, gender FROM p),
+  log AS ({' UNION ALL '.join(logs)})"""
+
+
 BINDINGS = {
     "customers": (CUSTOMER_ENTITIES, CUSTOMER_SPEC),
     "users": (USER_ENTITIES, USER_SPEC),
@@ -57,7 +83,11 @@ BINDINGS = {
 
 def tracked_ctes(binding: str, spec: CascadeSpec | None = None) -> str:
     """``WITH ... , tracked AS (...)`` for a binding (no trailing SELECT)."""
-    ent_sql, default_spec = BINDINGS[binding]
+    if binding == "simulated":
+        from ..spec import REFERENCE_SPEC
+        ent_sql, default_spec = _simulated_entities(), REFERENCE_SPEC
+    else:
+        ent_sql, default_spec = BINDINGS[binding]
     spec = spec or default_spec
     values = ", ".join(f"'{s.value}'" for s in spec.steps)
     per_cols = []
