@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import safe_div
 from ..functions.ordered import running_sums
+from ..session import checkpoint_dir
 
 
 def _z(c: Column) -> Column:
@@ -98,7 +99,10 @@ def score_curve(df: DataFrame, label: str = "label", score: str = "score") -> Da
     y = F.col(label).cast("long")
     g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
-    g = g.withColumn("__neg_t", -F.col("threshold"))
+    # read three times below (bucket bounds, totals, running sums): write the per-score
+    # table once instead of re-running the upstream plan for each pass
+    checkpoint_dir(df.sparkSession)
+    g = g.withColumn("__neg_t", -F.col("threshold")).checkpoint(eager=True)
     c = running_sums(g, ["__neg_t"], ["pos", "neg"]).drop("__neg_t")
     tot = g.agg(F.sum("pos").alias("npos"), F.sum("neg").alias("nneg"))
     return _attach_totals(c, tot)
@@ -160,8 +164,9 @@ def topk_recall(df: DataFrame, key: str, label: str = "label", score: str = "sco
                 pcts=(1, 5, 10, 20)) -> DataFrame:
     """Share of all positives found in the top k% of rows by score (ties broken
     by key), for several k."""
+    checkpoint_dir(df.sparkSession)
     r = df.select(key, F.col(label).cast("long").alias("__y"), (-F.col(score).cast("double")).alias("__ns"),
-                  F.lit(1).alias("__one"))
+                  F.lit(1).alias("__one")).checkpoint(eager=True)  # narrow copy, read four times
     c = running_sums(r, ["__ns", key], ["__one", "__y"])
     n = F.col("__n")
     tot = r.agg(F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__p")).first()

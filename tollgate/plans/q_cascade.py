@@ -420,3 +420,44 @@ def simulated_failure_by_gender(spark, sf_dir):
     t = simulated_tracked(spark, sf_dir)
     return t.groupBy("gender").agg(F.count(F.lit(1)).alias("n"),
                                    F.avg(F.col("transition_failure").cast("double")).alias("failure_rate"))
+
+
+# --------------------------------------------------------------------------- K5
+def _summary_sql():
+    steps = B.CUSTOMER_SPEC.steps
+    comp = " UNION ALL ".join(
+        f"SELECT 'completion' AS section, '{s.name}' AS key, "
+        f"{pct_sql(f'sum(CAST({s.name}_in_window AS INTEGER))', 'count(*)')} AS value FROM tracked" for s in steps)
+    hr = _a5_sql()
+    chi = _a6_sql()
+    inner = f"""{tracked_ctes('customers')}
+      SELECT 'overview' AS section, 'entities' AS key, CAST(count(*) AS DOUBLE) AS value FROM tracked
+      UNION ALL SELECT 'overview', 'failure_rate_pct', 100.0 * avg(CAST(transition_failure AS DOUBLE)) FROM tracked
+      UNION ALL {comp}
+      UNION ALL SELECT 'tests', test, p_value FROM ({chi}) c
+      UNION ALL SELECT 'high_risk', cohort_type || ':' || cohort_value, failure_rate
+                FROM (SELECT * FROM ({hr}) h ORDER BY failure_rate DESC, cohort_type, cohort_value LIMIT 10) t"""
+    return rsql(inner, ["value"])
+
+
+@register("policy_summary", _summary_sql())
+def policy_summary(spark, sf_dir):
+    """K5: the policy report as a (section, key, value) table -- entities, overall
+    failure %, completion % per step, chi-square p-values, the ten riskiest cohorts.
+    The tracked table is written once (checkpoint) and every section reads it."""
+    t = tracked_customers(spark, sf_dir).checkpoint(eager=True)
+    n = t.agg(F.lit("overview").alias("section"), F.lit("entities").alias("key"),
+              F.count(F.lit(1)).cast("double").alias("value"))
+    fail = stats.overall_failure_rate(t).select(F.lit("overview").alias("section"),
+                                                F.lit("failure_rate_pct").alias("key"),
+                                                (F.col("failure_rate") * 100.0).alias("value"))
+    comp = stats.completion_rates(t, B.CUSTOMER_SPEC).select(
+        F.lit("completion").alias("section"), F.col("step").alias("key"), F.col("completion_rate_pct").alias("value"))
+    tests = stats.chi_square_tests(t).select(F.lit("tests").alias("section"), F.col("test").alias("key"),
+                                            F.col("p_value").alias("value"))
+    top = (stats.high_risk_cohorts(t, min_size=MIN_SIZE)
+           .orderBy(F.desc("failure_rate"), "cohort_type", "cohort_value").limit(10)
+           .select(F.lit("high_risk").alias("section"),
+                   F.concat_ws(":", "cohort_type", "cohort_value").alias("key"), F.col("failure_rate").alias("value")))
+    from ..operators.prep import union_by_name
+    return union_by_name([n, fail, comp, tests, top])
