@@ -76,3 +76,17 @@ def test_window_from_days_only(spark):
     assert got == [True, True, False, False, False]
     got = [r[0] for r in df.select(cascade.window_from_days("d", hi=30, lo=10)).collect()]
     assert got == [False, True, False, False, False]
+
+
+def test_hot_entity_salting_gives_identical_results(spark):
+    from conftest import SF_SMALL
+    from tollgate.sources import bindings as B
+    ent, log, spec = B.customers(spark, SF_SMALL)
+    # one customer receives a third of all orders
+    hot = log.withColumn("entity_id", F.when(F.col("entity_id") % 3 == 0, F.lit(1)).otherwise(F.col("entity_id")))
+    plain = cascade.track(ent, hot, spec, skew_rows=None)
+    salted = cascade.track(ent, hot, spec, skew_rows=50)
+    cols = [c for c in plain.columns]
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, salted.select(cols).collect()))
+    n_salts = cascade.hot_entities(cascade.step_events(hot, spec), "entity_id", 50).collect()
+    assert len(n_salts) == 1 and n_salts[0]["__salts"] > 5

@@ -2,15 +2,16 @@
 
 Plan shape (``track``)::
 
-    step_log --filter(step IN spec)--+
-                                     +-- inner join on entity (AQE may split a hot
-    entities.select(entity, anchor) -+   entity) -> per-row window flags
-        -> groupBy(entity) with conditional min/max (partial + final aggregate)
+    step_log --filter(step IN spec)--+ (hot entities salted, see per_entity_steps)
+                                     +-- inner join on (entity, salt) -> per-row flags
+    entities.select(entity, anchor) -+
+        -> groupBy(entity, salt) then groupBy(entity): conditional min per step
+           (partial + final aggregates)
         -> entities LEFT JOIN per-entity result -> projections
 
 No window function over an entity, no per-step joins (one conditional aggregate
-handles every step), no rows collected per entity: a hot entity only costs one
-aggregation buffer per task.
+handles every step), no rows collected per entity, and an entity holding a third of
+the log is spread over many tasks by explicit salting.
 """
 
 from __future__ import annotations
@@ -44,26 +45,64 @@ def step_events(step_log: DataFrame, spec: CascadeSpec) -> DataFrame:
             .where(F.col(spec.step_col).isin(values) & F.col(spec.ts_col).isNotNull()))
 
 
-def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec) -> DataFrame:
-    """One row per entity that has events: chosen event time and window flag per step."""
+SKEW_ROWS = 1_000_000  # events of one entity handled by one task before it is salted
+
+
+def hot_entities(events: DataFrame, entity: str, skew_rows: int) -> DataFrame:
+    """Entities with more than ``skew_rows`` events and the number of salts for each.
+
+    Counting is a partial + final aggregate (a hot key collapses map-side).  The
+    result has at most ``total_rows / skew_rows`` rows -- a proven bound -- so it is
+    safe to broadcast.
+    """
+    return (events.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > F.lit(skew_rows))
+            .select(entity, F.ceil(F.col("__n") / F.lit(skew_rows)).cast("int").alias("__salts")))
+
+
+def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec,
+                     skew_rows: int | None = SKEW_ROWS) -> DataFrame:
+    """One row per entity that has events: chosen event time and window flag per step.
+
+    Skew: an entity with more than ``skew_rows`` events (say a third of the log) is
+    split over ``ceil(n / skew_rows)`` salts -- its events by a hash of the event,
+    its single anchor row replicated once per salt -- and the aggregate runs in two
+    levels (entity+salt, then entity), so no task joins or aggregates the whole hot
+    entity.  Entities under the threshold keep salt 0 and a plain equi-join.
+    """
     e, a, st, ts = spec.entity_col, spec.anchor_col, spec.step_col, spec.ts_col
     anchors = (entities.select(F.col(e), F.col(a).cast("timestamp").alias(a))
                .where(F.col(a).isNotNull()))
-    ev = step_events(step_log, spec).join(anchors, on=e, how="inner")
+    events = step_events(step_log, spec)
+    keys = [e]
+    # the hot list is at most total_rows / skew_rows rows, so fetching it is bounded;
+    # without hot entities the plain plan runs (no salt join, no second aggregate)
+    hot_rows = hot_entities(events, e, skew_rows).collect() if skew_rows else []
+    if hot_rows:
+        schema = f"`{e}` {dict(events.dtypes)[e]}, __salts int"
+        hot = F.broadcast(events.sparkSession.createDataFrame(hot_rows, schema))
+        salt = F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(F.col(st), F.col(ts)), F.col("__salts")).cast("int"))
+        events = events.join(hot, e, "left").withColumn("__salt", salt).drop("__salts")
+        anchors = (anchors.join(hot, e, "left")
+                   .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+                   .drop("__salts"))
+        keys = [e, "__salt"]
+    ev = events.join(anchors, on=keys, how="inner")
     tsc, anc = F.col(ts), F.col(a)
     aggs = []
     for s in spec.steps:
         is_s = F.col(st) == F.lit(s.value)
         inw = in_window_expr(spec, s, tsc, anc)
         if spec.policy == "earliest":
-            chosen = F.min(F.when(is_s, tsc))
-            aggs.append(chosen.alias(f"__{s.name}_ts"))
+            aggs.append(F.min(F.when(is_s, tsc)).alias(f"__{s.name}_ts"))
         else:
-            after = F.min(F.when(is_s & (tsc >= anc), tsc))
-            aggs.append(after.alias(f"__{s.name}_after"))
+            aggs.append(F.min(F.when(is_s & (tsc >= anc), tsc)).alias(f"__{s.name}_after"))
             if spec.policy == "any":
                 aggs.append(F.min(F.when(is_s & inw, tsc)).alias(f"__{s.name}_win"))
-    g = ev.groupBy(e).agg(*aggs)
+    g = ev.groupBy(*keys).agg(*aggs)
+    if hot_rows:  # second level: min over the salts of one entity
+        g = g.groupBy(e).agg(*[F.min(c).alias(c) for c in g.columns if c not in keys])
     cols = [F.col(e)]
     for s in spec.steps:
         if spec.policy == "earliest":
@@ -76,7 +115,8 @@ def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec
     return g.select(*cols)
 
 
-def track(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec) -> DataFrame:
+def track(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec,
+          skew_rows: int | None = SKEW_ROWS) -> DataFrame:
     """The tracked table, one row per entity (all entity columns kept).
 
     Per step ``s``: ``s_updated`` (bool), ``s_update_ts`` (timestamp),
@@ -85,7 +125,7 @@ def track(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec) -> DataFr
     and ``days_to_complete_all`` (largest day count, NULL only when no step happened).
     """
     e, a = spec.entity_col, spec.anchor_col
-    steps = per_entity_steps(entities, step_log, spec)
+    steps = per_entity_steps(entities, step_log, spec, skew_rows)
     ent = entities.withColumn(a, F.col(a).cast("timestamp"))
     j = ent.join(steps, on=e, how="left")
     anc = F.col(a)
