@@ -93,3 +93,17 @@ def test_recall_at_precision_closing_point(spark):
     assert M.ranking_metrics(df).first()["recall_at_precision"] == 0.0
     pr = M.pr_points(df).collect()
     assert any(r["threshold"] is None and r["precision"] == 1.0 and r["recall"] == 0.0 for r in pr)
+
+
+def test_topk_recall_hot_score_against_brute_force(spark):
+    import math
+    rnd = random.Random(5)
+    rows = [(i, rnd.randint(0, 1), 0.5 if i % 3 == 0 else round(rnd.random(), 2)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k long, label int, score double")
+    got = {r["top_pct"]: r["recall"] for r in M.topk_recall(df, "k", pcts=(1, 10, 50)).collect()}
+    srt = sorted((s for _, _, s in rows), reverse=True)
+    npos = sum(y for _, y, _ in rows)
+    for k in (1, 10, 50):
+        cut_score = srt[math.ceil(len(rows) * k / 100) - 1]
+        hits = sum(y for _, y, s in rows if s >= cut_score)
+        assert got[k] == pytest.approx(hits / npos)

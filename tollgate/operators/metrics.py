@@ -160,22 +160,24 @@ def calibration_curve(df: DataFrame, label: str = "label", score: str = "score",
                                           F.count(F.lit(1)).alias("n"))
 
 
-def topk_recall(df: DataFrame, key: str, label: str = "label", score: str = "score",
+def topk_recall(df: DataFrame, key: str | None = None, label: str = "label", score: str = "score",
                 pcts=(1, 5, 10, 20)) -> DataFrame:
-    """Share of all positives found in the top k% of rows by score (ties broken
-    by key), for several k."""
-    checkpoint_dir(df.sparkSession)
-    r = df.select(key, F.col(label).cast("long").alias("__y"), (-F.col(score).cast("double")).alias("__ns"),
-                  F.lit(1).alias("__one")).checkpoint(eager=True)  # narrow copy, read four times
-    c = running_sums(r, ["__ns", key], ["__one", "__y"])
-    n = F.col("__n")
-    tot = r.agg(F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__p")).first()
-    c = c.withColumn("__n", F.lit(tot["__n"])).withColumn("__p", F.lit(tot["__p"] or 0))
+    """Share of all positives found in the top k% by score, for several k.
+
+    The top k% is every row scoring at least the score of the ceil(k% x N)-th ranked
+    row (ties kept together), so only per-score counts and their running sums are
+    needed: a score shared by a third of the rows is one row here.  ``key`` is
+    accepted for API symmetry and not needed.
+    """
+    c = score_curve(df, label, score)
+    n_all = F.col("npos") + F.col("nneg")
+    c = c.withColumn("__cum_n", F.col("cum_pos") + F.col("cum_neg"))
     aggs = []
     for k in pcts:
-        cut = F.floor((n * F.lit(k) + F.lit(99)) / F.lit(100))
-        aggs.append(F.sum(F.when(F.col("cum___one") <= cut, F.col("__y")).otherwise(0)).alias(f"hit_{k}"))
-    g = c.agg(*aggs, F.first("__p").alias("npos"))
+        cut = F.floor((n_all * F.lit(k) + F.lit(99)) / F.lit(100))
+        aggs.append(F.min_by(F.col("cum_pos"), F.when(F.col("__cum_n") >= cut, F.col("__cum_n")))
+                    .alias(f"hit_{k}"))
+    g = c.agg(*aggs, F.first("npos").alias("npos"))
     rows = [F.struct(F.lit(k).alias("top_pct"), _z(safe_div(F.col(f"hit_{k}"), F.col("npos"))).alias("recall"))
             for k in pcts]
     return g.select(F.inline(F.array(*rows)))

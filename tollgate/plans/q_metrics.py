@@ -157,13 +157,12 @@ def calibration_curve(spark, sf_dir):
 _TOPK = (1, 5, 10, 20)
 
 
-@register("topk_recall", rsql(f"""{SCORED_SQL},
-  r AS (SELECT label, row_number() OVER (ORDER BY score DESC, entity_id) AS rn, count(*) OVER () AS n,
-               sum(label) OVER () AS npos FROM scored)
-  {' UNION ALL '.join(f"SELECT {k} AS top_pct, {_div(f'sum(CASE WHEN rn <= floor((n * {k} + 99) / 100) THEN label ELSE 0 END)', 'first(npos)')} AS recall FROM r" for k in _TOPK)}""",
+@register("topk_recall", rsql(f"""{_CURVE_SQL},
+  k AS (SELECT *, cum_pos + cum_neg AS cum_n, npos + nneg AS n_all FROM c)
+  {' UNION ALL '.join(f"SELECT {k} AS top_pct, {_div(f'min_by(cum_pos, CASE WHEN cum_n >= floor((n_all * {k} + 99) / 100) THEN cum_n END)', 'first(npos)')} AS recall FROM k" for k in _TOPK)}""",
                             ["recall"]))
 def topk_recall(spark, sf_dir):
-    """Share of positives captured in the top k% by score (ties by key)."""
+    """Share of positives captured in the top k% by score (ties kept together)."""
     return M.topk_recall(scored(spark, sf_dir), "entity_id", pcts=_TOPK)
 
 
