@@ -95,3 +95,9 @@ def yates_chi2(a, b, c, d) -> Column:
 def weekday_monday0(c) -> Column:
     """Day of week with Monday = 0 (pandas ``dt.dayofweek``)."""
     return F.weekday(_c(c))
+
+
+def inf_to_null(c) -> Column:
+    """+/-infinity (and NaN) become NULL so row means/maxima skip them."""
+    x = _c(c).cast("double")
+    return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import floor_days, weekday_monday0
+from ..functions.expressions import floor_days, inf_to_null, weekday_monday0
 from ..functions.ordered import exact_quantile
 from ..spec import CascadeSpec
 
@@ -60,11 +60,12 @@ def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None =
         out = out.withColumn(f"gap_{a}_to_{b}", F.coalesce(g, F.lit(0.0)))
         gaps.append(f"gap_{a}_to_{b}")
     if gaps:
-        arr = F.array(*[F.col(g) for g in gaps])
+        # P14 + F7: infinities dropped, then the mean / max of the remaining gaps (0 if none)
+        arr = F.filter(F.array(*[inf_to_null(F.col(g)) for g in gaps]), lambda x: x.isNotNull())
         out = (out.withColumn("avg_gap_between_updates",
-                              F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x) / F.lit(float(len(gaps))))
-               .withColumn("max_gap_between_updates",
-                           F.greatest(*[F.col(g) for g in gaps]) if len(gaps) > 1 else F.col(gaps[0])))
+                              F.coalesce(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+                                         / F.size(arr).cast("double"), F.lit(0.0)))
+               .withColumn("max_gap_between_updates", F.coalesce(F.array_max(arr), F.lit(0.0))))
     if anchor_col in tracked.columns:
         a = F.col(anchor_col)
         out = (out.withColumn("anchor_year", F.year(a)).withColumn("anchor_month", F.month(a))

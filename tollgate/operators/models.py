@@ -182,6 +182,17 @@ def horizon_models(train: DataFrame, test: DataFrame, names_by_horizon: dict, la
     return out
 
 
+def choose_best(aucs: dict, rule: str = "prefer", order=("gbt", "rf", "lr")) -> str:
+    """M9: the model to deploy.  ``prefer`` takes the first available model of
+    ``order`` (the reference's boosted-trees-else-forest rule); ``auc`` the highest AUC."""
+    if rule == "auc":
+        return max(sorted(aucs), key=lambda k: aucs[k])
+    for m in order:
+        if m in aucs:
+            return m
+    raise ValueError("no model available")
+
+
 def linear_attribution(x: DataFrame, key: str, coefs: dict) -> DataFrame:
     """M12 (linear models): exact contribution coef * (x - mean(x)) per row and
     feature, long form.  Means come from one aggregate (a single row)."""

@@ -175,3 +175,20 @@ def score_batch_summary(spark, sf_dir):
 def _summary(counts, auc):
     a = auc.first()["roc_auc"]
     return counts.withColumn("roc_auc", F.lit(a).cast("double"))
+
+
+@register("model_info")
+def model_info(spark, sf_dir):
+    """R4 + M9: train Day-0 LR and RF, pick the deployment model by the reference's
+    preference rule, save and reload its bundle, and report its information."""
+    from ..operators.metrics import ranking_metrics as rm
+    f, m = model_frame(spark, sf_dir)
+    names = day0_feature_names(m.feature_names)
+    train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
+    fitted_models = {"lr": MD.train_logistic(train, names, "label"),
+                     "rf": MD.train_random_forest(train, names, "label", numTrees=30)}
+    aucs = {k: rm(MD.score(v, test, names), "label", "score").first()["roc_auc"] for k, v in fitted_models.items()}
+    best = MD.choose_best(aucs)
+    path = scratch_path(spark, "bundle-info")
+    ScoringBundle(m, fitted_models[best], names, {"chosen": best, "test_auc": aucs[best]}).save(path)
+    return ScoringBundle.load(spark, path).info(spark)

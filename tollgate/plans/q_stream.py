@@ -85,12 +85,25 @@ def stream_sliding_counts(spark, sf_dir):
     return spark.read.parquet(out).where(F.col("window_end") <= F.lit(wm))
 
 
-@register("stream_sessions")
+_SESSIONS_SQL = f"""
+WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+     s AS (SELECT user_id, ts,
+                  sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+           FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n
+FROM s GROUP BY user_id, sid
+HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL {DELAY_S} SECOND FROM events)"""
+
+
+@register("stream_sessions", _SESSIONS_SQL)
 def stream_sessions(spark, sf_dir):
-    """R7 (session windows): per-user activity sessions (30 min gap), watermarked."""
+    """R7 (session windows): per-user activity sessions (30 min gap), watermarked;
+    sessions closed by the final watermark."""
     ev = S.read_table_stream(spark, sf_dir, "events")
     out = S.run_available_now(S.stream_sessions(ev, "30 minutes", DELAY), "sessions")
-    return spark.read.parquet(out)
+    wm = S.final_watermark(table(spark, sf_dir, "events"), delay_seconds=DELAY_S)
+    return spark.read.parquet(out).where(F.col("session_end") <= F.lit(wm))
 
 
 @register("stream_score")
