@@ -198,7 +198,8 @@ def standard_scale(spark, sf_dir):
 
 # --------------------------------------------------------------------------- F17 parity
 _PARITY_SQL = f"""{split_sql()}
-  SELECT entity_id, 0.5 AS urban_rural_target_rate, 0.5 AS urban_rural_encoded FROM split"""
+  SELECT entity_id, CAST(0.5 AS DOUBLE) AS urban_rural_target_rate, CAST(0.5 AS DOUBLE) AS urban_rural_encoded
+  FROM split"""
 
 
 @register("feature_parity", _PARITY_SQL)
