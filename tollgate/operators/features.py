@@ -49,8 +49,8 @@ def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None =
             t.alias(f"{s.name}_time_to_update"),
             F.log1p(F.greatest(t, F.lit(0.0))).alias(f"{s.name}_time_to_update_log"),
             F.coalesce(d > F.lit(LATE_DAYS), F.lit(False)).cast("int").alias(f"{s.name}_is_late"),
-            F.col(f"{s.name}_in_window").cast("int").alias(f"{s.name}_window_completed"),
-            (~F.col(f"{s.name}_updated")).cast("int").alias(f"{s.name}_missing"),
+            window_completed(tracked, s, t).alias(f"{s.name}_window_completed"),
+            missing_flag(tracked, s, t).alias(f"{s.name}_missing"),
         ]
     out = tracked.select("*", *cols)
     gaps = []
@@ -76,6 +76,21 @@ def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None =
     return out
 
 
+def window_completed(df: DataFrame, step, t: Column) -> Column:
+    """the tracked in-window flag; without it, C10 on the time to update
+    (``t <= hi and t < 999``, lower bound ignored as in the reference)."""
+    if f"{step.name}_in_window" in df.columns:
+        return F.col(f"{step.name}_in_window").cast("int")
+    return ((t <= F.lit(float(step.hi))) & (t < F.lit(MISSING_DAYS))).cast("int")
+
+
+def missing_flag(df: DataFrame, step, t: Column) -> Column:
+    """F8: not updated; without the updated flag, ``t >= 999``."""
+    if f"{step.name}_updated" in df.columns:
+        return (~F.col(f"{step.name}_updated")).cast("int")
+    return (t >= F.lit(MISSING_DAYS)).cast("int")
+
+
 # fixed values: the reference's excluded identifiers/leak columns and substrings (F16)
 EXCLUDE_EXACT = ("entity_id", "dob", "enrolment_date", "anchor_ts", "state", "district", "urban_rural",
                  "gender", "segment", "acctbal", "all_updates_completed", "num_completed_updates",

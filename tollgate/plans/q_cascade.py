@@ -461,3 +461,27 @@ def policy_summary(spark, sf_dir):
                    F.concat_ws(":", "cohort_type", "cohort_value").alias("key"), F.col("failure_rate").alias("value")))
     from ..operators.prep import union_by_name
     return union_by_name([n, fail, comp, tests, top])
+
+
+# --------------------------------------------------------------------------- C9, C10 on B2
+def _days_only_sql():
+    cols = []
+    for st in B.USER_SPEC.steps:
+        d = f"{st.name}_days_after_anchor"
+        cols += [f"coalesce({d} >= {st.lo} AND {d} <= {st.hi}, false) AS {st.name}_days_window",
+                 f"coalesce({d} <= {st.hi} AND {d} < 999, false) AS {st.name}_hi_only"]
+    return f"{tracked_ctes('users')} SELECT entity_id, {', '.join(cols)} FROM tracked"
+
+
+@register("window_from_days_only", _days_only_sql())
+def window_from_days_only(spark, sf_dir):
+    """C9 (day-based window test, without the reference's OR quirk) and C10 (upper
+    bound only) evaluated from the day counts of the users binding."""
+    ent, log, spec = B.users(spark, sf_dir)
+    t = cascade.track(ent, log, spec)
+    cols = []
+    for st in spec.steps:
+        d = F.col(f"{st.name}_days_after_anchor")
+        cols += [F.coalesce((d >= st.lo) & (d <= st.hi), F.lit(False)).alias(f"{st.name}_days_window"),
+                 cascade.window_from_days(f"{st.name}_days_after_anchor", hi=st.hi).alias(f"{st.name}_hi_only")]
+    return t.select("entity_id", *cols)

@@ -373,3 +373,23 @@ def availability_summary(spark, sf_dir):
     f = m.transform(s, scale=False)
     return audit.availability_summary(audit.availability_table(f, m.feature_names, SPEC))
 
+
+
+# --------------------------------------------------------------------------- F5/F8 fallbacks
+def _fallback_sql():
+    cols = []
+    for st in SPEC.steps:
+        t = f"coalesce(CAST({st.name}_days_after_anchor AS DOUBLE), 999.0)"
+        cols += [f"CAST(({t} <= {float(st.hi)}) AND ({t} < 999.0) AS INTEGER) AS {st.name}_window_completed",
+                 f"CAST({t} >= 999.0 AS INTEGER) AS {st.name}_missing"]
+    return f"{tracked_ctes('customers')} SELECT entity_id, {', '.join(cols)} FROM tracked"
+
+
+@register("features_missing", _fallback_sql())
+def features_missing(spark, sf_dir):
+    """F5 + F8 fallbacks: window-completed and missing flags derived from day counts
+    alone when the tracked in-window / updated flags are not available."""
+    t = tracked_customers(spark, sf_dir)
+    drop = [c for c in t.columns if c.endswith("_in_window") or c.endswith("_updated")]
+    f = FE.base_features(t.drop(*drop), SPEC)
+    return f.select("entity_id", *[f"{st.name}_{x}" for st in SPEC.steps for x in ("window_completed", "missing")])
