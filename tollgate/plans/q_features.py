@@ -20,7 +20,9 @@ CODE_COLS = ("gender", "state", "district", "urban_rural")
 
 # --------------------------------------------------------------------------- Spark side
 def split_customers(spark, sf_dir):
-    t = tracked_customers(spark, sf_dir)
+    # the split reads its input three times (class sizes, bucket totals, ranks): write
+    # the entity-level tracked table once rather than re-running the cascade over the log
+    t = tracked_customers(spark, sf_dir).checkpoint(eager=True)
     return splits.stratified_split(t, "entity_id", TARGET, seed=SEED)
 
 
