@@ -126,3 +126,40 @@ def stream_score(spark, sf_dir):
     reqs = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(req_dir)
     out = S.run_available_now(S.stream_scores(reqs, bundle), "scores")
     return spark.read.parquet(out)
+
+
+def _steps_sql():
+    from ..sources.bindings import USER_SPEC
+    spec = USER_SPEC
+    lo, hi = min(s.lo for s in spec.steps), max(s.hi for s in spec.steps)
+    vals = ", ".join(f"'{s.value}'" for s in spec.steps)
+    d = "CAST(floor((epoch_us(b.step_ts) - epoch_us(a.anchor_ts)) / 86400000000.0) AS BIGINT)"
+    name = "CASE " + " ".join(f"WHEN b.step_type = '{s.value}' THEN '{s.name}'" for s in spec.steps) + " END"
+    inw = " OR ".join(f"(b.step_type = '{s.value}' AND {d} >= {s.lo} AND {d} <= {s.hi})" for s in spec.steps)
+    return f"""
+WITH a AS (SELECT event_id AS anchor_id, user_id AS entity_id, ts AS anchor_ts FROM events WHERE event_type = 'signup'),
+     b AS (SELECT event_id AS step_id, user_id AS step_entity, event_type AS step_type, ts AS step_ts
+           FROM events WHERE event_type IN ({vals}))
+SELECT a.anchor_id, a.entity_id, a.anchor_ts, b.step_id, {name} AS step, b.step_ts,
+       {d} AS days_after_anchor, coalesce({inw}, false) AS in_window
+FROM a LEFT JOIN b ON a.entity_id = b.step_entity AND b.step_ts >= a.anchor_ts + INTERVAL {lo} DAY
+                  AND b.step_ts <= a.anchor_ts + INTERVAL {hi} DAY
+WHERE a.anchor_ts + INTERVAL {hi} DAY < {_wm_filter_sql(('signup', *[s.value for s in spec.steps]))}"""
+
+
+@register("stream_cascade_steps", _steps_sql())
+def stream_cascade_steps(spark, sf_dir):
+    """R6 (whole cascade): signups joined as a stream with the view/click/purchase/error
+    events of the users spec inside the widest window, with each step's own in-window
+    flag; rows of anchors whose widest window the final watermark has closed."""
+    from ..sources.bindings import USER_SPEC
+    hi = max(s.hi for s in USER_SPEC.steps)
+    types = ("signup", *[s.value for s in USER_SPEC.steps])
+    ev = S.read_table_stream(spark, sf_dir, "events")
+    out = S.run_available_now(S.stream_cascade(ev, "signup", USER_SPEC, DELAY), "cascade-steps")
+    batch = table(spark, sf_dir, "events").where(F.col("event_type").isin(*types))
+    wm = (batch.groupBy("event_type").agg(F.max(F.col("ts").cast("timestamp")).alias("mx"))
+          .agg(F.min("mx")).first()[0])
+    closed = F.col("anchor_ts") + F.make_dt_interval(F.lit(hi)) < (
+        F.lit(wm).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(DELAY_S)))
+    return spark.read.parquet(out).where(closed)

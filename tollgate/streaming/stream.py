@@ -94,3 +94,34 @@ def final_watermark(events: DataFrame, ts: str = "ts", delay_seconds: int = 3600
     """Event-time watermark after a complete run: max event time minus the delay."""
     return events.agg((F.max(F.col(ts).cast("timestamp")) - F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.lit(delay_seconds))).alias("wm")).first()["wm"]
+
+
+def stream_cascade(events: DataFrame, anchor_type: str, spec, delay: str = "1 hour", entity: str = "user_id",
+                   ts: str = "ts", kind: str = "event_type", event_id: str = "event_id") -> DataFrame:
+    """R6 for a whole cascade: every anchor event joined (left outer) with the step
+    events of all the spec's steps inside the widest window ``[min lo, max hi]`` days
+    (literal bounds, so join state is evicted by the watermark); each joined row
+    carries its step name and whether it falls in that step's own window."""
+    lo = min(s.lo for s in spec.steps)
+    hi = max(s.hi for s in spec.steps)
+    ev = events.select(event_id, entity, kind, F.col(ts).cast("timestamp").alias(ts))
+    a = (ev.where(F.col(kind) == anchor_type)
+         .select(F.col(event_id).alias("anchor_id"), F.col(entity).alias("entity_id"),
+                 F.col(ts).alias("anchor_ts")).withWatermark("anchor_ts", delay))
+    b = (ev.where(F.col(kind).isin([s.value for s in spec.steps]))
+         .select(F.col(event_id).alias("step_id"), F.col(entity).alias("step_entity"),
+                 F.col(kind).alias("step_type"), F.col(ts).alias("step_ts")).withWatermark("step_ts", delay))
+    cond = ((F.col("entity_id") == F.col("step_entity"))
+            & (F.col("step_ts") >= F.col("anchor_ts") + F.expr(f"INTERVAL {int(lo)} DAY"))
+            & (F.col("step_ts") <= F.col("anchor_ts") + F.expr(f"INTERVAL {int(hi)} DAY")))
+    j = a.join(b, cond, "leftOuter")
+    from ..functions.expressions import floor_days
+    d = floor_days(F.col("step_ts"), F.col("anchor_ts"))
+    step = F.lit(None).cast("string")
+    inw = F.lit(False)
+    for s in spec.steps:
+        is_s = F.col("step_type") == F.lit(s.value)
+        step = F.when(is_s, F.lit(s.name)).otherwise(step)
+        inw = inw | (is_s & (d >= F.lit(s.lo)) & (d <= F.lit(s.hi)))
+    return j.select("anchor_id", "entity_id", "anchor_ts", "step_id", step.alias("step"), "step_ts",
+                    d.alias("days_after_anchor"), F.coalesce(inw, F.lit(False)).alias("in_window"))
