@@ -107,3 +107,12 @@ def test_topk_recall_hot_score_against_brute_force(spark):
         cut_score = srt[math.ceil(len(rows) * k / 100) - 1]
         hits = sum(y for _, y, s in rows if s >= cut_score)
         assert got[k] == pytest.approx(hits / npos)
+
+
+def test_running_sums_two_million_distinct_keys(spark):
+    n = 2_000_000
+    df = spark.range(n).select((F.col("id") * 7 % n).alias("v"), F.lit(1).alias("one"))  # a permutation
+    r = running_sums(df, ["v"], ["one"])
+    bad = r.where(F.col("cum_one") != F.col("v") + 1).count()
+    assert bad == 0
+    assert exact_quantile(df, "v") == (n - 1) / 2
