@@ -116,3 +116,21 @@ def test_running_sums_two_million_distinct_keys(spark):
     bad = r.where(F.col("cum_one") != F.col("v") + 1).count()
     assert bad == 0
     assert exact_quantile(df, "v") == (n - 1) / 2
+
+
+def test_roc_drop_intermediate_matches_sklearn_rule(spark):
+    import numpy as np
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 1), round(rnd.random(), 2)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    got = sorted((r["threshold"], round(r["fpr"], 12), round(r["tpr"], 12))
+                 for r in M.roc_points(df, drop_intermediate=True).collect())
+    # scikit-learn's published rule: distinct thresholds descending, cumulative counts,
+    # keep first/last and points where either second difference is non-zero, prepend (0, 0, inf)
+    thr = sorted({s for _, s in rows}, reverse=True)
+    tps = np.cumsum([sum(1 for y, s in rows if s == t and y == 1) for t in thr])
+    fps = np.cumsum([sum(1 for y, s in rows if s == t and y == 0) for t in thr])
+    idx = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    P, N = tps[-1], fps[-1]
+    exp = sorted([(float("inf"), 0.0, 0.0)] + [(thr[i], round(fps[i] / N, 12), round(tps[i] / P, 12)) for i in idx])
+    assert got == exp

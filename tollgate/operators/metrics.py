@@ -115,9 +115,34 @@ def _attach_totals(c: DataFrame, tot: DataFrame) -> DataFrame:
         "nneg", F.lit(r["nneg"] or 0).cast("long"))
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score (no point dropping)."""
+def roc_points(df: DataFrame, label: str = "label", score: str = "score",
+               drop_intermediate: bool = False) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct score.
+
+    ``drop_intermediate=True`` gives scikit-learn's curve: a leading (0, 0) point with
+    threshold +inf, then only points where the cumulative tp or fp counts change
+    slope (second difference non-zero), first and last kept.  Neighbours come from an
+    equi-join on the point's rank (itself a distributed running count), not a global
+    window.
+    """
     c = score_curve(df, label, score)
+    if drop_intermediate:
+        r = running_sums(c.withColumn("__nt", -F.col("threshold")).withColumn("__one", F.lit(1)),
+                         ["__nt"], ["__one"]).withColumnRenamed("cum___one", "__rank")
+        pts = r.select("__rank", "threshold", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                       "npos", "nneg")
+        prev = pts.select((F.col("__rank") + 1).alias("__rank"), F.col("tp").alias("tp_p"), F.col("fp").alias("fp_p"))
+        nxt = pts.select((F.col("__rank") - 1).alias("__rank"), F.col("tp").alias("tp_n"), F.col("fp").alias("fp_n"))
+        j = pts.join(prev, "__rank", "left").join(nxt, "__rank", "left")
+        keep = (F.col("tp_p").isNull() | F.col("tp_n").isNull()
+                | ((F.col("tp_n") - 2 * F.col("tp") + F.col("tp_p")) != 0)
+                | ((F.col("fp_n") - 2 * F.col("fp") + F.col("fp_p")) != 0))
+        kept = j.where(keep).select("threshold", F.col("tp").alias("cum_pos"), F.col("fp").alias("cum_neg"),
+                                    "npos", "nneg")
+        start = pts.where(F.col("__rank") == 1).select(
+            F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("cum_pos"),
+            F.lit(0).cast("long").alias("cum_neg"), "npos", "nneg")
+        c = kept.unionByName(start)
     return c.select("threshold", _z(safe_div(F.col("cum_neg"), F.col("nneg"))).alias("fpr"),
                     _z(safe_div(F.col("cum_pos"), F.col("npos"))).alias("tpr"))
 

@@ -248,3 +248,16 @@ def model_comparison(spark, sf_dir):
             .unionByName(s.select(F.lit("uniform").alias("model"), "label",
                                   md5_uniform(B.SCORE_SEED, F.col("entity_id")).alias("score"))))
     return M.model_comparison(M.predictions(long))
+
+
+@register("roc_points_sklearn", rsql(f"""{_CURVE_SQL},
+  p AS (SELECT threshold, cum_pos AS tp, cum_neg AS fp, npos, nneg,
+               row_number() OVER (ORDER BY threshold DESC) AS rk FROM c),
+  n AS (SELECT *, lag(tp) OVER (ORDER BY rk) AS tp_p, lead(tp) OVER (ORDER BY rk) AS tp_n,
+               lag(fp) OVER (ORDER BY rk) AS fp_p, lead(fp) OVER (ORDER BY rk) AS fp_n FROM p)
+  SELECT threshold, {_div('fp', 'nneg')} AS fpr, {_div('tp', 'npos')} AS tpr FROM n
+  WHERE tp_p IS NULL OR tp_n IS NULL OR tp_n - 2 * tp + tp_p <> 0 OR fp_n - 2 * fp + fp_p <> 0
+  UNION ALL SELECT 'inf'::DOUBLE, 0.0, 0.0""", ["fpr", "tpr"]))
+def roc_points_sklearn(spark, sf_dir):
+    """E7 in scikit-learn form: leading (0, 0, +inf) point, collinear points dropped."""
+    return M.roc_points(scored(spark, sf_dir), drop_intermediate=True)
