@@ -44,6 +44,9 @@ def test_reference_entry_points_end_to_end(spark):
     rates = {r["step"]: r["completion_rate_pct"] for r in res["completion_rates"].collect()}
     assert 88 < rates["biometric"] < 100 and 25 < rates["name"] < 55
     assert res["best_model"] == "gbt" and res["metrics"].count() == 3
+    from test_audit_entry import REFERENCE_FEATURES
+    from tollgate.operators.features import legacy_feature_name
+    assert sorted(legacy_feature_name(n) for n in res["feature_model"].feature_names) == sorted(REFERENCE_FEATURES)
     for sub in ("tracked", "completion_rates", "policy_summary", "feature_availability", "model_metrics"):
         assert os.path.isdir(os.path.join(out, sub))
     dep = RR.train_deployment(spark, res["tracked"], out, folds=2)

@@ -287,3 +287,23 @@ def vector_column(df: DataFrame, names, out: str = "features") -> DataFrame:
 
 def label_col(target: str = "transition_failure") -> Column:
     return F.col(target).cast("int")
+
+
+# fixed values: our feature-name parts and the reference's names for them (Q6 parity)
+LEGACY_NAME_PARTS = (("_target_rate", "_completion_rate"), ("anchor_", "eighteenth_birthday_"),
+                     ("years_between_enrolment_and_anchor", "years_between_enrolment_and_18"))
+
+
+def legacy_feature_name(name: str) -> str:
+    """The reference's name of one of our features (``state_target_rate`` ->
+    ``state_completion_rate``, ``anchor_dow`` -> ``eighteenth_birthday_dow``...)."""
+    for ours, theirs in LEGACY_NAME_PARTS:
+        if name == ours or (ours.endswith("_") and name.startswith(ours)) or name.endswith(ours):
+            return name.replace(ours, theirs)
+    return name
+
+
+def with_legacy_names(df: DataFrame, names) -> DataFrame:
+    """Rename the feature columns to the reference's names (parity view)."""
+    return df.select(*[F.col(c).alias(legacy_feature_name(c)) if c in set(names) else F.col(c)
+                       for c in df.columns])
