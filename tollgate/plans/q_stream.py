@@ -163,3 +163,34 @@ def stream_cascade_steps(spark, sf_dir):
     closed = F.col("anchor_ts") + F.make_dt_interval(F.lit(hi)) < (
         F.lit(wm).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(DELAY_S)))
     return spark.read.parquet(out).where(closed)
+
+
+def _completion_sql():
+    from ..sources.bindings import USER_SPEC
+    hi = max(s.hi for s in USER_SPEC.steps)
+    types = ("signup", *[s.value for s in USER_SPEC.steps])
+    inner = _steps_sql().split("WHERE a.anchor_ts + INTERVAL")[0]
+    return f"""
+WITH j AS ({inner})
+SELECT time_bucket(INTERVAL 1 DAY, anchor_ts) AS day_start, step, count(step_id) AS matched,
+       CAST(sum(CAST(in_window AS INTEGER)) AS BIGINT) AS in_window_n
+FROM j GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 1 DAY, anchor_ts) + INTERVAL 1 DAY + INTERVAL {hi} DAY <= {_wm_filter_sql(types)}"""
+
+
+@register("stream_daily_completion", _completion_sql())
+def stream_daily_completion(spark, sf_dir):
+    """R7 (completion counts): streaming cascade join chained with a watermarked daily
+    aggregate -- matched and in-window step events per anchor day and step."""
+    from ..sources.bindings import USER_SPEC
+    hi = max(s.hi for s in USER_SPEC.steps)
+    types = ("signup", *[s.value for s in USER_SPEC.steps])
+    ev = S.read_table_stream(spark, sf_dir, "events")
+    plan = S.stream_daily_completion(S.stream_cascade(ev, "signup", USER_SPEC, DELAY))
+    out = S.run_available_now(plan, "daily-completion")
+    batch = table(spark, sf_dir, "events").where(F.col("event_type").isin(*types))
+    wm = (batch.groupBy("event_type").agg(F.max(F.col("ts").cast("timestamp")).alias("mx"))
+          .agg(F.min("mx")).first()[0])
+    closed = F.col("day_start") + F.make_dt_interval(F.lit(1 + hi)) <= (
+        F.lit(wm).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(DELAY_S)))
+    return spark.read.parquet(out).where(closed)

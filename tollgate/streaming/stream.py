@@ -125,3 +125,13 @@ def stream_cascade(events: DataFrame, anchor_type: str, spec, delay: str = "1 ho
         inw = inw | (is_s & (d >= F.lit(s.lo)) & (d <= F.lit(s.hi)))
     return j.select("anchor_id", "entity_id", "anchor_ts", "step_id", step.alias("step"), "step_ts",
                     d.alias("days_after_anchor"), F.coalesce(inw, F.lit(False)).alias("in_window"))
+
+
+def stream_daily_completion(cascade_rows: DataFrame, day: str = "1 day") -> DataFrame:
+    """R7 (completion counts): per anchor day and step, the number of matched step
+    events and how many fell in their step's window -- a second stateful operator
+    chained after the cascade join; the join propagates its watermark downstream, so
+    a day is emitted once no later match for its anchors can arrive."""
+    return (cascade_rows.groupBy(F.window("anchor_ts", day).alias("w"), "step")
+            .agg(F.count("step_id").alias("matched"), F.sum(F.col("in_window").cast("int")).alias("in_window_n"))
+            .select(F.col("w.start").alias("day_start"), "step", "matched", "in_window_n"))
