@@ -27,3 +27,24 @@ def test_policy_summary_sections(spark):
     sections = {r["section"] for r in rows}
     assert sections == {"overview", "completion", "tests", "high_risk"}
     assert sum(1 for r in rows if r["section"] == "high_risk") <= 10
+
+
+def test_markdown_and_nested_availability_report(spark):
+    import json
+
+    from tollgate.operators import audit
+    from tollgate.sources.bindings import CUSTOMER_SPEC
+    d = tempfile.mkdtemp(prefix="tollgate-md-")
+    df = spark.createDataFrame([("a", "1.0"), ("b", "2.0")], "key string, value string")
+    parts = [df.select(F.lit("sec").alias("section"), "key", "value")]
+    sinks.write_markdown(parts, os.path.join(d, "md"))
+    lines = [r[0] for r in spark.read.text(os.path.join(d, "md")).collect()]
+    assert lines[0] == "# Policy summary" and "## sec" in lines and "| a | 1.0 |" in lines
+    names = ["urgent_time_to_update", "state_target_rate", "anchor_dow"]
+    feats = spark.createDataFrame([(1.0, 0.5, 2)], "urgent_time_to_update double, state_target_rate double, "
+                                                   "anchor_dow int")
+    rep = audit.availability_report(audit.availability_table(feats, names, CUSTOMER_SPEC))
+    doc = json.loads(rep.toJSON().first())
+    assert doc["total_features"] == 3 and doc["available_at_day0"]["count"] == 2
+    assert doc["available_at_day365"]["features"] == ["urgent_time_to_update"]
+    assert doc["categories"]["geographic"] == ["state_target_rate"]

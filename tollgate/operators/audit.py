@@ -124,3 +124,25 @@ def legacy_availability(names: DataFrame, col: str = "feature") -> DataFrame:
             .select(c, day.alias("day"), r.between(4, 8).alias("future_knowledge"),
                     (((r == 1) & c.contains("_encoded")) | r.isin(2, 3)).alias("available"),
                     cat.alias("category")))
+
+
+def availability_report(table: DataFrame, horizons=None) -> DataFrame:
+    """K4: the availability report as one nested row (write it with ``to_json`` /
+    ``write.json``): total, per horizon {count, percentage, features}, the
+    future-knowledge and truly-available sets, and the categories -- conditional
+    aggregates over the per-feature table."""
+    hs = horizons or sorted({r[0] for r in table.select("available_day").distinct().collect()})
+    total = F.count(F.lit(1))
+
+    def block(cond):
+        names = F.array_sort(F.collect_list(F.when(cond, F.col("feature"))))
+        n = F.count(F.when(cond, 1))
+        return F.struct(n.alias("count"), (F.lit(100.0) * n / total).alias("percentage"), names.alias("features"))
+
+    cols = [total.alias("total_features")]
+    cols += [block(F.col("available_day") == F.lit(h)).alias(f"available_at_day{h}") for h in hs]
+    cols += [block(F.col("future_knowledge")).alias("requires_future_knowledge"),
+             block(~F.col("future_knowledge")).alias("truly_available_at_prediction"),
+             F.struct(*[F.array_sort(F.collect_list(F.when(F.col("category") == F.lit(c), F.col("feature"))))
+                        .alias(c) for c in ("demographic", "geographic", "temporal")]).alias("categories")]
+    return table.agg(*cols)

@@ -45,3 +45,30 @@ def write_policy_summary(parts, path: str) -> None:
     allp = reduce(lambda a, b: a.unionByName(b), parts)
     line = F.concat_ws("\t", "section", "key", "value").alias("value")
     allp.orderBy("section", "key").select(line).coalesce(1).write.mode("overwrite").text(path)
+
+
+def markdown_lines(parts, title: str = "Policy summary") -> DataFrame:
+    """K5 as Markdown: a title, then per section a heading and a two-column table of
+    its (key, value) rows.  Lines are built with column expressions and ordered by
+    (section, position); the inputs are report-sized tables."""
+    from functools import reduce
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    spark = rows.sparkSession
+    body = rows.select("section", F.lit(3).alias("pos"), "key",
+                       F.concat(F.lit("| "), F.col("key"), F.lit(" | "), F.col("value"), F.lit(" |")).alias("line"))
+    secs = rows.select("section").distinct()
+    heads = (secs.select("section", F.lit(0).alias("pos"), F.lit("").alias("key"),
+                         F.concat(F.lit("## "), F.col("section")).alias("line"))
+             .unionByName(secs.select("section", F.lit(1).alias("pos"), F.lit("").alias("key"),
+                                      F.lit("| key | value |").alias("line")))
+             .unionByName(secs.select("section", F.lit(2).alias("pos"), F.lit("").alias("key"),
+                                      F.lit("| --- | --- |").alias("line"))))
+    top = spark.range(1).select(F.lit("").alias("section"), F.lit(0).alias("pos"), F.lit("").alias("key"),
+                                F.lit(f"# {title}").alias("line"))
+    return top.unionByName(heads).unionByName(body)
+
+
+def write_markdown(parts, path: str, title: str = "Policy summary") -> None:
+    """K5: write the Markdown report as one small text file."""
+    md = markdown_lines(parts, title)
+    md.orderBy("section", "pos", "key").select("line").coalesce(1).write.mode("overwrite").text(path)

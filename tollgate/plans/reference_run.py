@@ -88,7 +88,7 @@ def run_analysis(spark: SparkSession, enrol_dir: str, bio_dir: str, demo_dir: st
         sinks.write_small(imp, os.path.join(out_dir, f"feature_importance_{best}"))           # K3
     shuffled_acc, leak = MD.label_shuffle_check(tr, te, names, "label", "entity_id")          # M11
     avail = audit.availability_table(feats, names, REFERENCE_SPEC)
-    sinks.write_json_report(audit.availability_summary(avail), os.path.join(out_dir, "feature_availability"))  # K4
+    sinks.write_json_report(audit.availability_report(avail), os.path.join(out_dir, "feature_availability"))  # K4
     overall = stats.overall_failure_rate(tracked)
     parts = [sinks.report_rows("overview", overall, "n", ["failure_rate"]),
              sinks.report_rows("completion", out["completion_rates"], "step", ["completion_rate_pct"]),
@@ -99,6 +99,7 @@ def run_analysis(spark: SparkSession, enrol_dir: str, bio_dir: str, demo_dir: st
                                .limit(10).withColumn("k", F.concat_ws(":", "cohort_type", "cohort_value")),
                                "k", ["failure_rate", "n"])]
     sinks.write_policy_summary(parts, os.path.join(out_dir, "policy_summary"))                # K5
+    sinks.write_markdown(parts, os.path.join(out_dir, "policy_summary_md"))
     return {**out, "tracked": tracked, "metrics": metrics, "best_model": best,
             "shuffled_accuracy": shuffled_acc, "leakage_warning": leak, "features": feats, "feature_model": fm}
 
