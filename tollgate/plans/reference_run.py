@@ -26,11 +26,17 @@ KEYS = ("date", "state", "district", "pincode")
 TARGET = "transition_failure"
 
 
-def individuals_from_counts(enrol: DataFrame, bio: DataFrame, demo: DataFrame, as_of: str) -> DataFrame:
-    """P1/P3/P4 + J1/J2 + J9 + P7 + C11 + C13: one row per counted adult."""
+def individuals_from_counts(enrol: DataFrame, bio: DataFrame, demo: DataFrame, as_of: str,
+                            standardise_updates: bool = True) -> DataFrame:
+    """P1/P3/P4 + J1/J2 + J9 + P7 + C11 + C13: one row per counted adult.
+
+    ``standardise_updates`` (default) cleans the names of the two update tables like the
+    enrolment table so case/spacing differences still join (Q13 fixed); ``False``
+    reproduces the reference, which only parses their dates."""
     e = prep.clean_counts(enrol.drop("_corrupt"))
-    b = prep.clean_counts(bio.drop("_corrupt"), pincode_col=None)      # names standardised too (Q13)
-    d = prep.clean_counts(demo.drop("_corrupt"), pincode_col=None)
+    names = ("state", "district") if standardise_updates else ()
+    b = prep.clean_counts(bio.drop("_corrupt"), name_cols=names, pincode_col=None)
+    d = prep.clean_counts(demo.drop("_corrupt"), name_cols=names, pincode_col=None)
     j = prep.left_join_counts(e, b, KEYS, "bio_age_17_", "biometric_updates")
     j = prep.left_join_counts(j, d, KEYS, "demo_age_17_", "demographic_updates")
     rows = prep.expand_counts(j.where(F.col("date").isNotNull()), "age_18_greater", KEYS)
