@@ -89,3 +89,13 @@ def test_medians_from_train_only(spark):
     med = FE.fit_medians(train, ["x"])
     assert med == {"x": 2.5}
     assert [r["x"] for r in FE.apply_medians(test, med).collect()] == [2.5, 100.0]
+
+
+def test_label_codes_high_cardinality_shared_prefix(spark):
+    vals = [f"NATION_{i}" for i in range(3000)] + ["ALPHA", "zeta"]
+    df = spark.createDataFrame([(v, v[-1]) for v in vals] + [(None, "x")], "a string, b string")
+    codes = {(r["col_name"], r["value"]): r["code"] for r in FE.fit_label_codes(df, ["a", "b"]).collect()}
+    exp_a = sorted(vals + ["Unknown"], key=lambda s: s.encode())
+    assert [codes[("a", v)] for v in exp_a] == list(range(len(exp_a)))
+    exp_b = sorted({v[-1] for v in vals} | {"x"}, key=lambda s: s.encode())
+    assert [codes[("b", v)] for v in exp_b] == list(range(len(exp_b)))
