@@ -118,8 +118,9 @@ HIGH_RISK_TYPES = (("state", 10, True), ("district", 20, True), ("gender", None,
 def high_risk_cohorts(tracked: DataFrame, min_size: int = 100, types=HIGH_RISK_TYPES,
                       target: str = "transition_failure") -> DataFrame:
     """A5: failure rate and size per cohort value for several cohort columns in one
-    GROUPING SETS pass; per type keep rows with n >= min_size (when required) and the
-    top-k by rate (ties broken by value).  Long form (cohort_type, cohort_value, ...)."""
+    GROUPING SETS pass (its shuffle is reused by every branch); per type keep rows
+    with n >= min_size (when required) and the top-k by rate (ties broken by value).
+    Long form (cohort_type, cohort_value, ...)."""
     cols = [t[0] for t in types]
     g = (tracked.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols])
          .agg(F.avg(F.col(target).cast("double")).alias("failure_rate"),
@@ -134,19 +135,28 @@ def high_risk_cohorts(tracked: DataFrame, min_size: int = 100, types=HIGH_RISK_T
     long = (g.select(type_expr.alias("cohort_type"), value_expr.alias("cohort_value"),
                      "failure_rate", "n")
             .where(F.col("cohort_value").isNotNull()))
-    w = Window.partitionBy("cohort_type").orderBy(F.desc("failure_rate"), F.asc("cohort_value"))
-    keep = F.lit(False)
+    # one row per cohort value: write it once so the per-type branches below do not
+    # each re-run the GROUPING SETS aggregate over the tracked table
+    from ..session import checkpoint_dir
+    checkpoint_dir(tracked.sparkSession)
+    long = long.checkpoint(eager=True)
+    order = [F.desc("failure_rate"), F.asc("cohort_value")]
+    w = Window.partitionBy("cohort_type").orderBy(*order)
+    parts = []
     for c, k, needs_min in types:
-        cond = F.col("cohort_type") == F.lit(c)
+        part = long.where(F.col("cohort_type") == F.lit(c))
         if needs_min:
-            cond = cond & (F.col("n") >= F.lit(min_size))
-        keep = keep | cond
-    ranked = long.where(keep).withColumn("rank_in_type", F.row_number().over(w))
-    lim = F.lit(True)
-    for c, k, _ in types:
+            part = part.where(F.col("n") >= F.lit(min_size))
         if k is not None:
-            lim = lim & ~((F.col("cohort_type") == F.lit(c)) & (F.col("rank_in_type") > F.lit(k)))
-    return ranked.where(lim).select("cohort_type", "cohort_value", "failure_rate", "n", "rank_in_type")
+            # top-k as a sorted limit (per-partition top-k, then a k-row merge): only
+            # k rows per type reach the rank window, whatever the column's cardinality
+            part = part.orderBy(*order).limit(k)
+        # uncapped types are meant for low-cardinality cohorts (gender, area)
+        parts.append(part.withColumn("rank_in_type", F.row_number().over(w)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("cohort_type", "cohort_value", "failure_rate", "n", "rank_in_type")
 
 
 def chi_square_tests(tracked: DataFrame, target: str = "transition_failure",
