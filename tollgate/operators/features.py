@@ -166,7 +166,10 @@ def fit_target_rates(train: DataFrame, cols, target: str) -> DataFrame:
     cols = list(cols)
     g = train.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
         F.avg(F.col(target).cast("double")).alias("rate"), F.grouping_id().alias("gid"))
-    return _long_from_sets(g, cols, "rate")
+    # the fitted state (one row per value): written once, read by every apply
+    from ..session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)
+    return _long_from_sets(g, cols, "rate").checkpoint(eager=True)
 
 
 def _long_from_sets(g: DataFrame, cols, measure: str) -> DataFrame:
