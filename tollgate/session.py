@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of tables no longer referenced are removed by the context cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # stream-stream cascade joins keep (window + delay) of anchors in state: keep it in
     # RocksDB (off-heap, spills to local disk, incremental changelog checkpoints)
     "spark.sql.streaming.stateStore.providerClass":
