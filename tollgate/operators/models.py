@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import md5_order_key
+from ..session import checkpoint_dir
 from .features import vector_column
 from .metrics import ranking_metrics
 from .splits import shuffled_labels, stratified_folds
@@ -85,7 +86,8 @@ def fit_calibrated(train: DataFrame, names, label: str, key: str, base: str = "r
                    seed: int = 42, **over):
     """M6: for each of ``folds`` stratified folds, fit the base model on the other folds
     and an isotonic map on this fold's out-of-fold scores; returns the pairs."""
-    f = stratified_folds(train, key, label, k=folds, seed=seed)
+    checkpoint_dir(train.sparkSession)
+    f = stratified_folds(train, key, label, k=folds, seed=seed).checkpoint(eager=True)  # read by every fold
     pairs = []
     for i in range(folds):
         fit_rows = f.where(F.col("fold") != i)
@@ -109,7 +111,8 @@ def score_calibrated(pairs, df: DataFrame, names, key: str, out: str = "score")
 
 def cv_auc(df: DataFrame, names, label: str, key: str, trainer: str = "lr", k: int = 5, seed: int = 42, **over):
     """M2: k-fold stratified cross-validated ROC AUC: (mean, std, per-fold list)."""
-    f = stratified_folds(df, key, label, k=k, seed=seed)
+    checkpoint_dir(df.sparkSession)
+    f = stratified_folds(df, key, label, k=k, seed=seed).checkpoint(eager=True)  # read by every fold
     aucs = []
     for i in range(k):
         m = TRAINERS[trainer](f.where(F.col("fold") != i), names, label, **over)
