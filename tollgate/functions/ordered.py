@@ -102,3 +102,21 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, buckets: int | None
 
     v1, v2 = at(k1), at(k2)
     return v1 + (v2 - v1) * (pos - k1)
+
+
+def range_ranks(df: DataFrame, order_cols, out: str = "rank", buckets: int | None = None) -> DataFrame:
+    """1-based row numbers of ``df`` in ascending ``order_cols`` (unique), for keys of
+    any orderable type (strings included) and any cardinality.
+
+    ``repartitionByRange`` samples the key boundaries; the partition id is frozen by a
+    checkpoint (so a recomputed task cannot land rows in a different bucket) and used
+    as the monotone bucket of ``running_sums``.
+    """
+    from ..session import checkpoint_dir
+    order_cols = list(order_cols)
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(buckets or default_buckets(df), *order_cols)
+              .withColumn("__rb", F.spark_partition_id()).withColumn("__one", F.lit(1))
+              .checkpoint(eager=True))
+    r = running_sums(ranged, order_cols, ["__one"], bucket=F.col("__rb"))
+    return r.withColumnRenamed("cum___one", out).drop("__rb", "__one")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import floor_days, inf_to_null, weekday_monday0
-from ..functions.ordered import exact_quantile, running_sums
+from ..functions.ordered import default_buckets, exact_quantile, running_sums
 from ..spec import CascadeSpec
 
 MISSING_DAYS = 999.0
@@ -206,24 +206,20 @@ def fit_label_codes(train: DataFrame, cols, null_label: str = "Unknown") -> Data
     a bucket by a checkpoint, ``running_sums`` counts in (column, value) order, and
     each column's offset (one row per column) is subtracted.
     """
-    from ..session import checkpoint_dir
-    from ..functions.ordered import default_buckets
+    from ..functions.ordered import range_ranks
     cols = list(cols)
     filled = train.select(*[F.coalesce(F.col(c).cast("string"), F.lit(null_label)).alias(c) for c in cols])
     g = filled.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
         F.grouping_id().alias("gid"))
-    long = _long_from_sets(g.withColumn("one", F.lit(1)), cols, "one")
-    checkpoint_dir(train.sparkSession)
-    ranged = (long.repartitionByRange(default_buckets(train), "col_name", "value")
-              .withColumn("__b", F.spark_partition_id()).checkpoint(eager=True))
-    ranked = running_sums(ranged, ["col_name", "value"], ["one"], bucket=F.col("__b"))
-    sizes = sorted((r["col_name"], r["n"]) for r in ranged.groupBy("col_name").agg(
+    long = _long_from_sets(g.withColumn("one", F.lit(1)), cols, "one").drop("one")
+    ranked = range_ranks(long, ["col_name", "value"], "__r", default_buckets(train))
+    sizes = sorted((r["col_name"], r["n"]) for r in ranked.groupBy("col_name").agg(
         F.count(F.lit(1)).alias("n")).collect())                      # one row per column
     offset, acc = F.lit(0), 0
     for name, n in sizes:
         offset = F.when(F.col("col_name") == F.lit(name), F.lit(acc)).otherwise(offset)
         acc += n
-    return ranked.select("col_name", "value", (F.col("cum_one") - 1 - offset).cast("int").alias("code"))
+    return ranked.select("col_name", "value", (F.col("__r") - 1 - offset).cast("int").alias("code"))
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, cols, null_label: str = "Unknown") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import chi2_sf_1dof, safe_div, yates_chi2
+from ..functions.ordered import range_ranks
 from ..spec import CascadeSpec
 
 
@@ -150,9 +151,12 @@ def high_risk_cohorts(tracked: DataFrame, min_size: int = 100, types=HIGH_RISK_T
         if k is not None:
             # top-k as a sorted limit (per-partition top-k, then a k-row merge): only
             # k rows per type reach the rank window, whatever the column's cardinality
-            part = part.orderBy(*order).limit(k)
-        # uncapped types are meant for low-cardinality cohorts (gender, area)
-        parts.append(part.withColumn("rank_in_type", F.row_number().over(w)))
+            part = part.orderBy(*order).limit(k).withColumn("rank_in_type", F.row_number().over(w))
+        else:
+            # uncapped: distributed ranks over range-partitioned rows (any cardinality)
+            part = range_ranks(part.withColumn("__nr", -F.col("failure_rate")), ["__nr", "cohort_value"],
+                               "rank_in_type").withColumn("rank_in_type", F.col("rank_in_type").cast("int"))
+        parts.append(part.select("cohort_type", "cohort_value", "failure_rate", "n", "rank_in_type"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
