@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tollgate.operators import metrics as M
 from tollgate.operators import stats
