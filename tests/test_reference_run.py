@@ -61,3 +61,14 @@ def test_reference_entry_points_end_to_end(spark):
     assert len(scored) == 50
     assert all((r["error"] is None) == (r["probability"] is not None) for r in scored)
     assert any(r["error"] for r in scored) or all(not r["entity_id"].endswith("_0") for r in scored)
+    # The same requests as one {"citizens": [...]} JSON document
+    import json
+    recs = [{k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in r.asDict().items()}
+            for r in req.collect()]
+    jdir = os.path.join(root, "requests_json")
+    os.makedirs(jdir)
+    with open(os.path.join(jdir, "batch.json"), "w") as f:
+        json.dump({"citizens": recs}, f)
+    js = RR.score_files(spark, dep["bundle"], jdir, os.path.join(root, "scored_json"), fmt="json").collect()
+    by_id = {r["entity_id"]: r["probability"] for r in scored}
+    assert len(js) == 50 and all(by_id[r["entity_id"]] == r["probability"] for r in js)
