@@ -29,3 +29,16 @@ def test_sampled_shapley_efficiency_and_linear_attribution(spark):
 def test_choose_best_rules():
     assert MD.choose_best({"lr": 0.9, "rf": 0.7}) == "rf"          # preference order gbt > rf > lr
     assert MD.choose_best({"lr": 0.9, "rf": 0.7}, rule="auc") == "lr"
+
+
+def test_calibrated_scores_are_probabilities(spark):
+    from tollgate.operators.metrics import ranking_metrics
+    df = spark.range(600).select(
+        F.col("id").alias("k"), (F.col("id") % 11 / 5.0).alias("x1"), (F.col("id") % 4).cast("double").alias("x2"),
+        ((F.col("id") % 11) > 5).cast("int").alias("y"))
+    pairs = MD.fit_calibrated(df, ["x1", "x2"], "y", "k", base="lr", folds=3)
+    assert len(pairs) == 3
+    s = MD.score_calibrated(pairs, df, ["x1", "x2"], "k").collect()
+    assert len(s) == 600 and all(0.0 <= r["score"] <= 1.0 for r in s)
+    auc = ranking_metrics(spark.createDataFrame([(r["y"], r["score"]) for r in s], "label int, score double"))
+    assert auc.first()["roc_auc"] > 0.9
