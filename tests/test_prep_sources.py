@@ -68,3 +68,10 @@ def test_json_requests_single_and_array(spark):
         json.dump({"citizens": [rec, dict(rec, aadhaar_id="2")]}, f)
     df = files.score_requests_json(spark, d)
     assert sorted(r["aadhaar_id"] for r in df.collect()) == ["1", "1", "2"]
+
+
+def test_expanded_ids_are_injective(spark):
+    df = spark.createDataFrame([("a_b", "c", 1), ("a", "b_c", 1), (None, "x", 1), ("", "x", 1)],
+                               "k1 string, k2 string, n long")
+    ids = [r["entity_id"] for r in prep.expand_counts(df, "n", ["k1", "k2"]).collect()]
+    assert len(set(ids)) == 4

@@ -54,13 +54,13 @@ def test_reference_entry_points_end_to_end(spark):
     req = (res["tracked"].limit(50).select(F.col("entity_id").alias("aadhaar_id"), "gender", "state", "district",
                                           "urban_rural", F.col("anchor_ts").cast("date").alias("eighteenth_birthday"),
                                           F.col("enrolment_date").cast("date").alias("enrolment_date"), "pincode")
-           .withColumn("gender", F.when(F.col("aadhaar_id").endswith("_0"), F.lit(None)).otherwise(F.col("gender"))))
+           .withColumn("gender", F.when(F.col("aadhaar_id").endswith("|0"), F.lit(None)).otherwise(F.col("gender"))))
     req_dir = os.path.join(root, "requests")
     req.coalesce(1).write.option("header", True).csv(req_dir)
     scored = RR.score_files(spark, dep["bundle"], req_dir, os.path.join(root, "scored")).collect()
     assert len(scored) == 50
     assert all((r["error"] is None) == (r["probability"] is not None) for r in scored)
-    assert any(r["error"] for r in scored) or all(not r["entity_id"].endswith("_0") for r in scored)
+    assert any(r["error"] for r in scored) or all(not r["entity_id"].endswith("|0") for r in scored)
     # The same requests as one {"citizens": [...]} JSON document
     import json
     recs = [{k: (v.isoformat() if hasattr(v, "isoformat") else v) for k, v in r.asDict().items()}

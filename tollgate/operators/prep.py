@@ -71,8 +71,11 @@ def expand_counts(df: DataFrame, count_col: str, key_cols, chunk: int = 1_000_00
     lo = F.col("__chunk") * F.lit(chunk)
     hi = F.least(lo + F.lit(chunk), n) - F.lit(1)
     rows = chunks.withColumn("idx", F.explode(F.sequence(lo, hi))).drop("__chunk")
-    eid = F.concat_ws("_", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key_cols],
-                      F.col("idx").cast("string"))
+    # length-prefixed keys ("len:value", "-" for NULL) make the id injective even when
+    # values contain the separator
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"),
+                                 F.col(k).cast("string")), F.lit("-")) for k in key_cols]
+    eid = F.concat_ws("|", *parts, F.col("idx").cast("string"))
     return rows.withColumn("entity_id", eid)
 
 

@@ -9,6 +9,7 @@ from ..operators import prep
 from ..sources.tables import table
 from .catalog import register
 from .q_cascade import rsql
+from .sqlgen import id_sql
 
 
 # --------------------------------------------------------------------------- P1
@@ -175,7 +176,7 @@ def _expand_sql():
                    AS lines_per_person
             FROM oc LEFT JOIN lt ON oc.date = lt.date AND oc.district = lt.district AND oc.segment = lt.segment
             WHERE oc.n_orders > 0)
-      SELECT date || '_' || district || '_' || segment || '_' || CAST(g.idx AS VARCHAR) AS entity_id,
+      SELECT {id_sql(('date', 'district', 'segment'), 'g.idx')} AS entity_id,
              date, district, segment, CAST(g.idx AS BIGINT) AS idx, lines_per_person
       FROM b, LATERAL (SELECT unnest(range(0, b.n_orders)) AS idx) g"""
     return rsql(inner, ["lines_per_person"])

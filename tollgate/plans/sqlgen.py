@@ -52,6 +52,12 @@ def _u(seed: str, key: str = "entity_id") -> str:
     return f"(CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 8)) AS BIGINT) / 4294967296.0)"
 
 
+def id_sql(keys, idx: str) -> str:
+    """The expanded-row id of ``prep.expand_counts``: length-prefixed keys, then idx."""
+    parts = [f"coalesce(CAST(length({k}) AS VARCHAR) || ':' || {k}, '-')" for k in keys]
+    return " || '|' || ".join(parts + [f"CAST({idx} AS VARCHAR)"])
+
+
 def _simulated_entities() -> str:
     from ..operators.simulate import ANCHOR_DAYS, SIM_STEPS
     logs = []
@@ -65,7 +71,7 @@ def _simulated_entities() -> str:
                 count(*) AS n_orders
          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
          GROUP BY 1, 2, 3),
-  x AS (SELECT date || '_' || district || '_' || segment || '_' || CAST(g.idx AS VARCHAR) AS entity_id,
+  x AS (SELECT {id_sql(('date', 'district', 'segment'), 'g.idx')} AS entity_id,
                strptime(date, '%d-%m-%Y') AS d, district, segment
         FROM oc, LATERAL (SELECT unnest(range(0, oc.n_orders)) AS idx) g),
   p AS (SELECT *, d - to_days({ANCHOR_DAYS} + CAST(floor({_u('dob')} * 365) AS INTEGER)) AS dob,
