@@ -22,15 +22,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_BUCKETS = 16384  # bounds the boundary list fetched to the driver and the offsets pass
+
+
 def default_buckets(df: DataFrame) -> int:
+    """4 x shuffle partitions, at least 64 and at most ``MAX_BUCKETS``."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, 4 * parts)
+    return min(MAX_BUCKETS, max(64, 4 * parts))
 
 
 def quantile_bucket(df: DataFrame, key: str, buckets: int, out: str = "__bucket") -> DataFrame:
     """Add ``out``: index of the quantile range of numeric ``key`` (monotone in key)."""
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("b")).first()
+    # sketch accuracy finer than one bucket (rank error N / accuracy < N / buckets)
+    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, max(10000, 10 * buckets))
+                 .alias("b")).first()
     bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
     splits = [float("-inf")] + bounds + [float("inf")]
     if len(splits) < 3:
