@@ -26,3 +26,27 @@ def test_daily_counts_equal_batch(spark):
         F.date_trunc("day", F.col("ts").cast("timestamp")).alias("d"), "event_type").count().withColumnRenamed(
         "count", "n").collect()}
     assert got and all(b[(k[0], k[1])] == v for k, v in got.items())
+
+
+def test_daily_completion_chain_equals_batch(spark):
+    from tollgate.sources.bindings import USER_SPEC
+    got = {(r["day_start"], r["step"]): (r["matched"], r["in_window_n"])
+           for r in q_stream.stream_daily_completion(spark, SF_SMALL).collect()}
+    assert got
+    hi = max(s.hi for s in USER_SPEC.steps)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    a = ev.where("event_type = 'signup'").alias("a")
+    b = ev.where(F.col("event_type").isin([s.value for s in USER_SPEC.steps])).alias("b")
+    j = a.join(b, F.expr(f"a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL {hi} DAY"), "left")
+    d = F.floor((F.unix_micros("b.ts") - F.unix_micros("a.ts")) / 86400000000.0)
+    inw = F.lit(False)
+    name = F.lit(None).cast("string")
+    for s in USER_SPEC.steps:
+        is_s = F.col("b.event_type") == s.value
+        inw = inw | (is_s & (d >= s.lo) & (d <= s.hi))
+        name = F.when(is_s, F.lit(s.name)).otherwise(name)
+    batch = (j.select(F.date_trunc("day", "a.ts").alias("day"), name.alias("step"), F.col("b.event_id").alias("sid"),
+                      F.coalesce(inw, F.lit(False)).cast("int").alias("w"))
+             .groupBy("day", "step").agg(F.count("sid").alias("m"), F.sum("w").alias("w")))
+    ref = {(r["day"], r["step"]): (r["m"], r["w"]) for r in batch.collect()}
+    assert all(ref[k] == v for k, v in got.items())      # every emitted (closed) day equals batch
