@@ -100,20 +100,48 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .unionAll(e.select(F.col("lo").alias("node"), F.col("lo").alias("root"))).distinct())
 
 
-def chunked_rank(df: DataFrame, group: list[str], order: list[Column], spread: Column,
-                 chunks: int, name: str) -> DataFrame:
-    """Adds ``name``: a gapless number from 0 within ``group``.  Rows of a group are dealt
-    into ``chunks`` by ``spread`` (any column of the row), numbered within their chunk in
-    ``order``, and shifted by the sizes of the chunks before; so a group of any size is
-    worked on by up to ``chunks`` tasks, and only chunk sizes meet in one place."""
+def chunked_rank(df: DataFrame, group: list[str], chunk: Column, order: list[Column], name: str) -> DataFrame:
+    """Adds ``name``: a gapless number from 0 within ``group`` in the order (chunk, *order).
+    ``chunk`` deals a group's rows into many parts; each part is numbered by itself and
+    shifted by the sizes of the parts before it, so no task holds a whole group and only
+    part sizes meet in one place.  The number is the plain rank over ``order`` wherever
+    ``chunk`` rises with ``order``."""
     from pyspark.sql import Window
 
-    chunk, off = f"__chunk_{name}", f"__off_{name}"
-    df = df.withColumn(chunk, F.pmod(F.xxhash64(spread), F.lit(chunks)))
-    sizes = df.groupBy(*group, chunk).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*group).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*group, chunk, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(off))
-    within = Window.partitionBy(*group, chunk).orderBy(*order)
+    part, off = f"__part_{name}", f"__off_{name}"
+    df = df.withColumn(part, chunk)
+    sizes = df.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(off))
+    within = Window.partitionBy(*group, part).orderBy(*order)
     ranked = df.withColumn(name, F.row_number().over(within) - 1)
-    return (ranked.join(offsets, [*group, chunk])
-            .withColumn(name, (F.col(name) + F.col(off)).cast("long")).drop(chunk, off))
+    return (ranked.join(offsets, [*group, part])
+            .withColumn(name, (F.col(name) + F.col(off)).cast("long")).drop(part, off))
+
+
+def _file_system(path: str):
+    import re
+
+    from pyarrow import fs
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def put_file(path: str, data: bytes) -> None:
+    """Writes a file of the shared folder from a task.  It is written under a name of its own
+    and then moved, so a second attempt of a task never shows half a file."""
+    system, p = _file_system(path)
+    system.create_dir(p.rpartition("/")[0], recursive=True)
+    own = f"{p}.{uuid.uuid4().hex}.tmp"
+    with system.open_output_stream(own) as out:
+        out.write(data)
+    system.move(own, p)
+
+
+def get_file(path: str) -> bytes:
+    system, p = _file_system(path)
+    with system.open_input_stream(p) as f:
+        return f.read()
