@@ -60,7 +60,7 @@ def test_pieces_equal_whole_texts(library):
     e = W.encoder(W.VOCABULARY)
     texts = [t or "" for t in TEXTS] + ["a  b   c\n\n d\t\te \r\n", "  lead", "trail  ", "x\xa0\xa0y 　 z", "'s''s ''ll '", "<|endoftext|><|endoftext|> x"]
     for t in texts:
-        assert np.frombuffer(e.encode([t])[0], "<u2").tolist() == library.encode(t, add_special_tokens=False).ids, t
+        assert np.frombuffer(e.encode(t), "<u2").tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
 @settings(max_examples=200, deadline=None)
@@ -68,7 +68,7 @@ def test_pieces_equal_whole_texts(library):
 def test_any_text(text):
     if not hasattr(test_any_text, "t"):
         test_any_text.t = Tokenizer.from_file(vocabulary_path(W.VOCABULARY))
-    assert np.frombuffer(W.encoder(W.VOCABULARY).encode([text])[0], "<u2").tolist() == test_any_text.t.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(W.encoder(W.VOCABULARY).encode(text), "<u2").tolist() == test_any_text.t.encode(text, add_special_tokens=False).ids
 
 
 def test_query_small_shards(spark, tmp_path, library):

@@ -13,8 +13,8 @@ lowest to the highest, which restores all ids of a file at once; a document's pl
 all ids is the sum of the files before it.
 
 Pieces: the library's own pre-tokeniser pattern cuts a text, and a piece's ids do not depend on
-its neighbours, so each distinct piece of a task is given to the library once.  A bounded table
-keeps pieces.  Tests hold the ids of whole texts against ``Tokenizer.encode``.
+its neighbours, so each distinct piece of a task is given to the library's model once.  A bounded
+table keeps pieces.  Tests hold the ids of whole texts against ``Tokenizer.encode``.
 
 Defined cases: null text is empty (the end id alone); null doc_ids come first; rows with equal
 doc_ids are ordered by a hash of the text, equal rows in any order; a text longer than a
@@ -24,7 +24,9 @@ shard makes a file of its own; empty tables give empty results; other columns ar
 from __future__ import annotations
 
 import functools
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -37,68 +39,76 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import put_file, shared_dir, table, text_batches, written
-from .op7_bpe import WHITE, recent, vocabulary_path
+from .op7_bpe import WHITE, byte_symbols, recent, vocabulary_path
 from .registry import register
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-SHARD_TOKENS = 2_000_000
-KEEP_PIECES = 400_000
+SHARD_TOKENS = 1_000_000
+KEEP_PIECES = 600_000
 #: Bits of a plane between two rank samples.
 SAMPLE = 4096
-# fixed value: how the byte-level pre-tokeniser cuts texts
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+".replace(
-    r"[^\s", f"[^{WHITE}").replace(r"(?!\S)", f"(?![^{WHITE}])").replace(r"\s+", f"[{WHITE}]+")
+
+
+def pieces(letter: str, number: str, white: str) -> str:
+    """How the byte-level pre-tokeniser cuts texts, for the given character classes."""
+    return (f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{white}{letter}{number}]+"
+            f"|[{white}]+(?![^{white}])|[{white}]+")
 
 
 class PieceEncoder:
-    """Texts to bytes of little-endian ids, piece by piece, through the tokenizers library."""
+    """Texts to bytes of little-endian ids, piece by piece, through the tokenizers library: the
+    library's model encodes each new piece, known ones are looked up."""
 
     def __init__(self, path: str):
         import json
 
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         spec = json.load(open(path, encoding="utf-8"))
         if spec["normalizer"] or spec["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False,
                                                            "trim_offsets": True, "use_regex": True}:
             raise ValueError(f"unsupported vocabulary file {path}")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
-        self.pattern = regex.compile(PIECES)
+        self.pattern = regex.compile(pieces(r"\p{L}", r"\p{N}", WHITE))
+        # the same for texts below U+0250, where the three classes are short lists
+        near = {kind: "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind) for kind in "LN"}
+        self.near = re.compile(pieces(near["L"], near["N"], WHITE))
+        self.far = re.compile("[^\\u0000-\\u024f]")
         self.width = 2 if max(self.library.get_vocab().values()) < 1 << 16 else 4
+        self.model = self.library.model
+        self.symbols = dict(enumerate(byte_symbols()))
         self.known: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if "<" in text and self.special and self.split.search(text):
-            parts = self.split.split(text)
-            return [p for k, part in enumerate(parts) for p in ([part] if k % 2 else self._cut(part))]
-        return self._cut(text)
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
-    def _cut(self, text: str) -> list[str]:
-        if not text.isascii() and recent().search(text):  # newer than Python's Unicode tables
+    def cut(self, text: str) -> list[str]:
+        if not self.far.search(text):
+            return self.near.findall(text)
+        if recent().search(text):  # newer than Python's Unicode tables
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         return self.pattern.findall(text)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
+    def _plain(self, text: str) -> bytes:
+        cut, known = self.cut(text), self.known
+        for p in set(cut).difference(known):
+            mapped = p.encode().decode("latin-1").translate(self.symbols)
+            known[p] = self._bytes([t.id for t in self.model.tokenize(mapped)])
+        return b"".join(map(known.__getitem__, cut))
+
+    def encode(self, text: str) -> bytes:
         if len(self.known) > KEEP_PIECES:
             self.known = {}
-        new = list({p for pieces in cut for p in pieces}.difference(self.known))
-        kind = f"<u{self.width}"
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        if "<" in text and self.special and self.split.search(text):
+            return b"".join([self._bytes([self.special[part]]) if k % 2 else self._plain(part)
+                             for k, part in enumerate(self.split.split(text))])
+        return self._plain(text)
 
 
 @functools.cache
 def encoder(name: str) -> PieceEncoder:
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return PieceEncoder(vocabulary_path(name))
 
 
@@ -195,11 +205,12 @@ class WaveletMatrix:
         return int(self._up(np.array([low + k]))[0])
 
     def decode(self) -> np.ndarray:
-        """All ids, as unsigned 32-bit integers."""
-        ids = np.zeros(self.n, np.uint32)
+        """All ids, as unsigned integers."""
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        ids = np.zeros(self.n, kind)
         for k, level in enumerate(range(len(self.planes) - 1, -1, -1)):
             on = np.unpackbits(self.planes[level], bitorder="little", count=self.n).view(bool)
-            ids[self.zeros[level]:] |= np.uint32(1 << k)
+            ids[self.zeros[level]:] |= kind(1 << k)
             order = np.concatenate((np.flatnonzero(~on), np.flatnonzero(on)))
             out = np.empty_like(ids)
             out[order] = ids
@@ -268,7 +279,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str = VOCABUL
             return out
 
         for batch, texts in text_batches(batches, 1, max_bytes=2 << 20):
-            for d, x in zip(batch.column(0).to_pylist(), e.encode([(t or b"").decode("utf-8", "replace") for t in texts])):
+            for d, x in zip(batch.column(0).to_pylist(), [e.encode((t or b"").decode("utf-8", "replace")) for t in texts]):
                 ids.append(d)
                 lengths.append(len(x) // e.width + 1)
                 data += [x, end]
