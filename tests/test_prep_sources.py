@@ -58,6 +58,41 @@ def test_csv_folder_reader(spark):
         files.load_enrolment(spark, d, ["missing.csv"])
 
 
+def _write(folder, **contents):
+    for name, text in contents.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write(text)
+
+
+def test_csv_columns_bind_by_name(spark):
+    """Reordered, extra, absent and repeated columns, a BOM, a short, a long and a corrupt line."""
+    d = tempfile.mkdtemp(prefix="tollgate-csv-")
+    _write(d, extra="date,state,district,pincode,age_0_5,age_5_17,age_18_greater\n01-02-2020,x,y,500001,11,22,33\n",
+           order="\ufeffstate, date ,age_18_greater,district,pincode\ns2,02-02-2020,44,d2,500002\n",
+           absent="date,state,age_18_greater\n03-02-2020,s3,55\n",
+           twice="date,state,state,district,pincode,age_18_greater\n04-02-2020,s4,no,d4,500004,66\n",
+           bad="date,state,district,pincode,age_18_greater\n05-02-2020,s5,d5\n06-02-2020,s6,d6,500006,7,extra\n"
+               "07-02-2020,s7,d7,500007,many\n")
+    rows = {r["date"][:2]: r for r in files.load_enrolment(spark, d).collect()}
+    got = {k: (r["state"], r["district"], r["pincode"], r["age_18_greater"]) for k, r in rows.items()}
+    assert got["01"] == ("x", "y", 500001, 33) and got["02"] == ("s2", "d2", 500002, 44)
+    assert got["03"] == ("s3", None, None, 55) and got["04"] == ("s4", "d4", 500004, 66)
+    assert {k for k, r in rows.items() if r["_corrupt"]} == {"05", "06", "07"} and got["07"] == ("s7", "d7", 500007, None)
+    ok, bad = files.split_corrupt(files.load_enrolment(spark, d))
+    assert ok.count() == 4 and bad.count() == 3 and "_corrupt" not in ok.columns
+
+
+def test_score_request_columns_bind_by_name(spark):
+    d = tempfile.mkdtemp(prefix="tollgate-csv-")
+    _write(d, a="pincode,gender,note,aadhaar_id,state,urban_rural,eighteenth_birthday\n500001,F,hi,7,s,Urban,2020-01-05\n")
+    for path in (d, os.path.join(d, "a.csv")):
+        r = files.score_requests_csv(spark, path).first()
+        assert (r["aadhaar_id"], r["gender"], r["pincode"], r["district"], r["enrolment_date"]) == ("7", "F", 500001, None, None)
+        assert r["eighteenth_birthday"].isoformat() == "2020-01-05"
+    with pytest.raises(FileNotFoundError):
+        files.score_requests_csv(spark, os.path.join(d, "none.csv"))
+
+
 def test_json_requests_single_and_array(spark):
     d = tempfile.mkdtemp(prefix="tollgate-json-")
     rec = {"aadhaar_id": "1", "gender": "M", "state": "s", "district": "d", "urban_rural": "Urban",

@@ -7,7 +7,10 @@ checkpoint directory that is only filled in when the cluster did not name one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -32,6 +35,8 @@ DEFAULT_CONF = {
     # RocksDB (off-heap, spills to local disk, incremental changelog checkpoints)
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # sessions of a hot key are merged within each task before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -55,26 +60,29 @@ def build_session(master: str | None = None, app: str = "tollgate",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings on an existing session (e.g. one the driver built)."""
+    """Set the SQL settings that the session's owner left unset (a session the driver
+    built may carry its own: those stay)."""
+    own = dict(spark.conf.getAll)
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a shared session: leave it
-                pass
+        if k.startswith("spark.sql.") and k not in own and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     checkpoint_dir(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system).  Only when it
-    is unset (tests, local runs) do we create one, and we then record it in the
-    session so every later call sees the same folder.
+    On a cluster the deployment sets it (a shared file system), and we refuse to guess
+    one.  Only a local session without it gets a temporary folder, recorded in the session
+    so that every later call sees the same.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="tollgate-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
