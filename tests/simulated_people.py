@@ -1,10 +1,7 @@
-"""Deterministic cascade fixtures from count tables.
+"""Made-up people and step logs for the tests.
 
-The reference expands aggregate counts into one row per person and then draws
-birth dates, genders and update dates at random.  Here the same data path is a Spark
-job: count rows are expanded with ``prep.expand_counts`` (chunked), every draw is an
-md5 uniform of (seed, person id), and the result is a *step log* that goes through
-``cascade.track`` like real data.  Same inputs give the same rows on any cluster.
+Test input only: people with birth dates and genders, and a step log of their updates,
+drawn by md5 uniforms of (seed, person id), so the same inputs give the same rows.
 """
 
 from __future__ import annotations
@@ -12,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import add_days, md5_uniform
+from tollgate.functions.expressions import add_days, md5_uniform
 
 ANCHOR_DAYS = 6570  # 18 x 365
 

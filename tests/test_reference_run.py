@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import simulated_people as simulate
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -35,8 +37,27 @@ def test_reference_entry_points_end_to_end(spark):
     root = tempfile.mkdtemp(prefix="tollgate-ref-")
     d = _count_csvs(spark, root)
     out = os.path.join(root, "out")
-    res = RR.run_analysis(spark, d["enrol"], d["biometric"], d["demographic"], out, min_size=10,
-                          trees=10, gbt_rounds=5)
+    from tollgate.sources import files
+    counts = [files.split_corrupt(load(spark, d[k]))[0] for load, k in (
+        (files.load_enrolment, "enrol"), (files.load_biometric, "biometric"), (files.load_demographic, "demographic"))]
+    people = simulate.individuals(RR.counted_adults(*counts), date_col="enrolment_date")
+    log = simulate.step_log(people)
+    dirs = {}
+    for name, df in (
+            ("individuals", people.select("gender", F.col("entity_id").alias("aadhaar_id"), F.lit("x").alias("note"), "dob",
+                                          "pincode", "district", "state", "enrolment_date", "biometric_updates_count",
+                                          "demographic_updates_count")),  # other order, one more column, no area
+            ("bio_log", log.where("step_type = 'biometric'").selectExpr("step_ts AS update_date", "entity_id AS aadhaar_id")),
+            ("demo_log", log.where("step_type <> 'biometric'").selectExpr(
+                "step_type AS update_type", "entity_id AS aadhaar_id", "step_ts AS update_date"))):
+        dirs[name] = os.path.join(root, name)
+        df.coalesce(2).write.option("header", True).csv(dirs[name])
+    with open(os.path.join(dirs["bio_log"], "broken.csv"), "w") as f:
+        f.write("update_date,aadhaar_id\nnot a date,7\n")
+    res = RR.run_from_folders(spark, dirs["individuals"], dirs["bio_log"], dirs["demo_log"], out, min_size=10,
+                              trees=10, gbt_rounds=5)
+    corrupt = spark.read.parquet(os.path.join(out, "corrupt_lines")).collect()
+    assert [(r["table"], r["line"]) for r in corrupt] == [("biometric_log", "not a date,7")]
     n_orders = table(spark, SF_SMALL, "orders").count()
     assert res["tracked"].count() == n_orders                      # one person per counted unit
     states = {r[0] for r in res["tracked"].select("state").distinct().collect()}
@@ -51,6 +72,9 @@ def test_reference_entry_points_end_to_end(spark):
         assert os.path.isdir(os.path.join(out, sub))
     dep = RR.train_deployment(spark, res["tracked"], out, folds=2)
     assert set(dep["aucs"]) == {"lr", "rf", "gbt"}
+    from tollgate.operators.scoring import ScoringBundle
+    day0 = ScoringBundle.load(spark, dep["bundle"]).names
+    assert len(day0) == 13 and {"pincode", "years_between_enrolment_and_anchor"} <= set(day0)     # F21
     req = (res["tracked"].limit(50).select(F.col("entity_id").alias("aadhaar_id"), "gender", "state", "district",
                                           "urban_rural", F.col("anchor_ts").cast("date").alias("eighteenth_birthday"),
                                           F.col("enrolment_date").cast("date").alias("enrolment_date"), "pincode")

@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tollgate.operators import cascade, features as FE, simulate, stats
+import simulated_people as simulate
+from tollgate.operators import cascade, features as FE, stats
 from tollgate.spec import REFERENCE_SPEC
 
 

@@ -99,3 +99,57 @@ def test_label_codes_high_cardinality_shared_prefix(spark):
     assert [codes[("a", v)] for v in exp_a] == list(range(len(exp_a)))
     exp_b = sorted({v[-1] for v in vals} | {"x"}, key=lambda s: s.encode())
     assert [codes[("b", v)] for v in exp_b] == list(range(len(exp_b)))
+
+
+def test_null_and_string_labels_stay(spark):
+    rows = [(i, ["a", "b", None][i % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, y string")
+    s = splits.stratified_split(df, "id", "y").collect()
+    assert len(s) == 90 and {r["split"] for r in s if r["y"] is None} == {None}
+    for y in "ab":
+        assert sum(r["split"] == "test" for r in s if r["y"] == y) == 6
+    f = splits.stratified_folds(df, "id", "y", k=5).collect()
+    assert len(f) == 90 and {r["fold"] for r in f if r["y"] is None} == {None}
+    for y in "ab":
+        assert sorted([sum(r["fold"] == k for r in f if r["y"] == y) for k in range(5)]) == [6] * 5
+
+
+def test_unlabelled_rows_are_refused_by_training_and_curves(spark):
+    from tollgate.operators import metrics, models
+    with pytest.raises(ValueError, match="1 rows"):
+        models.with_class_weights(spark.createDataFrame([(1,), (0,), (None,)], "y int"), "y")
+    df = spark.createDataFrame([(1, 0.5), (0, None), (None, 0.2), (0, 0.1)], "label int, score double")
+    with pytest.raises(ValueError, match="2 rows"):
+        metrics.score_curve(df)
+
+
+def test_medians_of_many_columns_take_as_many_jobs_as_one(spark):
+    df = spark.range(300).selectExpr(*[f"CASE WHEN id % {k + 2} = 0 THEN NULL ELSE CAST(id * {k + 1} AS DOUBLE) END AS c{k}" for k in range(12)])
+    import numpy as np
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(cols):
+        spark.sparkContext.setJobGroup(f"medians-{len(cols)}", "")
+        got = FE.fit_medians(df, cols)
+        n = len(tracker.getJobIdsForGroup(f"medians-{len(cols)}"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return n, got
+    one, _ = jobs(["c0"])
+    many, got = jobs([f"c{k}" for k in range(12)])
+    assert many <= one + 2
+    for k in range(12):
+        assert got[f"c{k}"] == float(np.median([i * (k + 1) for i in range(300) if i % (k + 2)]))
+
+
+def test_lookups_join_once_per_column_and_broadcast(spark):
+    rows = [(i, ["A", "B", None][i % 3], f"d{i % 7}", "Urban" if i % 2 else None, "MF"[i % 2], bool(i % 4)) for i in range(70)]
+    df = spark.createDataFrame(rows, "id long, state string, district string, urban_rural string, gender string, y boolean")
+    cols = ("state", "district", "urban_rural")
+    codes = FE.fit_label_codes(df, ("gender", *cols))
+    rates = FE.fit_target_rates(df, cols, "y")
+    both = FE.written_lookup(rates.join(codes, ["col_name", "value"], "full"))
+    one = FE.apply_lookups(df, both, cols, ("gender", *cols))
+    two = FE.apply_label_codes(FE.apply_target_rates(df, rates, cols), codes, ("gender", *cols))
+    assert sorted(map(str, one.select(sorted(one.columns)).collect())) == sorted(map(str, two.select(sorted(two.columns)).collect()))
+    plan = one._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in plan

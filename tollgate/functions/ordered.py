@@ -2,49 +2,43 @@
 
 ``Window.orderBy(x)`` with no partition moves every row to one task.  Instead:
 
-1. assign each row a *range bucket* that is monotone in the order key (quantile
-   boundaries from ``percentile_approx`` and ``Bucketizer``, or a caller-supplied
-   monotone expression such as the leading hex digits of an md5 key);
-2. total the measures per bucket (at most ``buckets`` rows) and turn them into bucket
-   offsets with a window over that tiny table;
-3. attach the offsets (a broadcast of at most ``buckets`` rows -- a proven bound) and
-   run the window inside each bucket only (``partitionBy(bucket)``).
-
-Every row gets the exact inclusive running sum; rows with equal keys never straddle a
-bucket boundary, so ties stay together.  Boundaries only affect balance, never the
-result.
+1. assign each row a *range bucket* that is monotone in the order: ``repartitionByRange``
+   samples the boundaries and a checkpoint freezes the partition ids, or the caller
+   supplies a monotone expression of its own;
+2. total the measures per bucket and turn them into bucket offsets with a window over
+   that table (one row per bucket);
+3. attach the offsets and run the window inside each bucket only
+   (``partitionBy(bucket)``).
+
+Every row gets the exact inclusive running sum.  Boundaries only affect balance, never
+the result.  The number of buckets follows the session's shuffle partitions without a
+ceiling, so rows per bucket stay level when a deployment raises them with its data.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_BUCKETS = 16384  # bounds the boundary list fetched to the driver and the offsets pass
+#: Rows that one rank part should hold where the caller knows the row count.
+PART_ROWS = 100_000
 
 
 def default_buckets(df: DataFrame) -> int:
-    """4 x shuffle partitions, at least 64 and at most ``MAX_BUCKETS``."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_BUCKETS, max(64, 4 * parts))
-
-
-def quantile_bucket(df: DataFrame, key: str, buckets: int, out: str = "__bucket") -> DataFrame:
-    """Add ``out``: index of the quantile range of numeric ``key`` (monotone in key)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    # sketch accuracy finer than one bucket (rank error N / accuracy < N / buckets)
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, max(10000, 10 * buckets))
-                 .alias("b")).first()
-    bounds = sorted({float(b) for b in (row["b"] or []) if b is not None})
-    splits = [float("-inf")] + bounds + [float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0).cast("int"))
-    tmp = f"{out}_key"
-    bz = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return bz.transform(df.withColumn(tmp, F.col(key).cast("double"))).drop(tmp).withColumn(
-        out, F.col(out).cast("int"))
+    """4 x shuffle partitions."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def range_buckets(df: DataFrame, order_cols, buckets: int | None = None, out: str = "__bucket") -> DataFrame:
+    """Add ``out``: the range partition of ``order_cols``, frozen by a checkpoint (so a
+    recomputed task cannot land rows in a different bucket).  Boundaries come from Spark's
+    range sampling: a bounded sample for each partition, whatever the row count."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return (df.repartitionByRange(buckets or default_buckets(df), *order_cols)
+            .withColumn(out, F.spark_partition_id()).checkpoint(eager=True))
 
 
 def running_sums(df: DataFrame, order_cols, sum_cols, bucket: Column | None = None,
@@ -54,20 +48,19 @@ def running_sums(df: DataFrame, order_cols, sum_cols, bucket: Column | None = No
 
     ``order_cols`` must identify rows uniquely (group by the key first when it does
     not).  ``bucket`` is an optional int expression monotone in the order; without it
-    quantile buckets of the first order column are used.
+    range buckets of the order columns are used.
     """
-    order_cols = list(order_cols)
-    sum_cols = list(sum_cols)
+    order_cols, sum_cols = list(order_cols), list(sum_cols)
     if bucket is not None:
         b = df.withColumn("__bucket", bucket.cast("long"))
     else:
-        b = quantile_bucket(df, order_cols[0], buckets or default_buckets(df))
+        b = range_buckets(df, order_cols, buckets)
     totals = b.groupBy("__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    # offsets over at most `buckets` rows: a single small task by construction
+    # one row per bucket: a single small task, and a small table to attach
     w_all = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__bucket", *[F.coalesce(F.sum(f"__t_{c}").over(w_all), F.lit(0))
                                           .alias(f"__o_{c}") for c in sum_cols])
-    j = b.join(F.broadcast(offsets), "__bucket", "left")
+    j = b.join(offsets, "__bucket", "left")  # left to the planner: AQE measures the offsets
     w = (Window.partitionBy("__bucket").orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = j
@@ -76,53 +69,66 @@ def running_sums(df: DataFrame, order_cols, sum_cols, bucket: Column | None = No
     return out.drop("__bucket", *[f"__o_{c}" for c in sum_cols])
 
 
-def hex_bucket(hex_col: Column, digits: int = 3) -> Column:
-    """Monotone bucket of a lowercase hex string: its first ``digits`` hex digits."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long")
+def part_ranks(df: DataFrame, group: Column, digest: str, out: str, size: str, digits: int) -> DataFrame:
+    """Add ``out``, the 1-based rank within ``group`` (any type, NULL is a group) in the order of
+    the hex column ``digest`` (unique within a group), and ``size``, the group's row count.
+
+    Rows are numbered within (group, first ``digits`` hex digits) and shifted by the counts
+    of the parts before, so no task sorts a whole group; take digits from ``hex_digits``."""
+    df = df.withColumn("__g", F.struct(group.isNull().alias("no"), F.coalesce(group.cast("string"), F.lit("")).alias("v")))
+    df = df.withColumn("__p", F.substring(digest, 1, digits))
+    parts = df.groupBy("__g", "__p").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("__g")
+    parts = parts.select("__g", "__p", F.coalesce(F.sum("__n").over(w.orderBy("__p").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__n").over(w).alias(size))
+    ranked = df.withColumn(out, F.row_number().over(Window.partitionBy("__g", "__p").orderBy(digest)))
+    return (ranked.join(parts, ["__g", "__p"]).withColumn(out, F.col(out) + F.col("__before"))
+            .drop("__g", "__p", "__before"))
+
+
+def hex_digits(rows: int) -> int:
+    """Leading hex digits that cut ``rows`` rows into parts of about ``PART_ROWS``."""
+    return max(1, math.ceil(math.log(max(1.0, rows / PART_ROWS), 16)) + 1)
+
+
+def exact_quantiles(df: DataFrame, cols, q: float = 0.5, buckets: int | None = None) -> dict:
+    """Exact linear-interpolated quantile (pandas/DuckDB ``median`` for q=0.5) of each numeric
+    column, in a constant number of jobs whatever the number of columns: the columns are
+    stacked to (column, value, count) by a partial aggregate (a hot value costs one row),
+    ranked together with ``running_sums``, and only the one or two rows at each column's
+    target ranks reach the driver.  None for a column without values."""
+    cols = list(cols)
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                                           for i, c in enumerate(cols)])))
+    g = stacked.where(F.col("v").isNotNull()).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    totals = {r["c"]: r["n"] for r in g.groupBy("c").agg(F.sum("n").alias("n")).collect()}  # one row per column
+    ranked = running_sums(g, ["c", "v"], ["n"], buckets=buckets)
+    before, wanted, hit = 0, {}, F.lit(False)
+    for i in sorted(totals):
+        pos = (totals[i] - 1) * q
+        wanted[i] = (before, pos, math.floor(pos), math.ceil(pos))
+        for k in {before + wanted[i][2], before + wanted[i][3]}:  # the row with cum_n - n <= k < cum_n
+            hit = hit | ((F.col("cum_n") - F.col("n") <= k) & (F.col("cum_n") > k))
+        before += totals[i]
+    rows = ranked.where(hit).select("c", "v", "n", "cum_n").collect() if wanted else []
 
+    def at(k):
+        return next(r["v"] for r in rows if r["cum_n"] - r["n"] <= k < r["cum_n"])
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, buckets: int | None = None):
-    """Exact linear-interpolated quantile (pandas/DuckDB ``median`` for q=0.5) of a
-    numeric column, distributed: values are first reduced to (value, count) by a
-    partial aggregate (a hot value costs one row), then ranked with ``running_sums``;
-    only the one or two rows at the target ranks reach the driver.  Returns a float
-    or None when the column has no values."""
-    g = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("n"))
-    ranked = running_sums(g, ["v"], ["n"], buckets=buckets)
-    total = ranked.agg(F.max("cum_n")).first()[0]
-    if not total:
-        return None
-    pos = (total - 1) * q
-    k1, k2 = int(pos // 1), int(-(-pos // 1))
-    # row holding 0-based rank k: cum_n - n <= k < cum_n
-    hits = (ranked.where(((F.col("cum_n") - F.col("n") <= k1) & (F.col("cum_n") > k1))
-                         | ((F.col("cum_n") - F.col("n") <= k2) & (F.col("cum_n") > k2)))
-            .select("v", "n", "cum_n").collect())
+    out: dict = dict.fromkeys(cols)
+    for i, (start, pos, k1, k2) in wanted.items():
+        v1, v2 = at(start + k1), at(start + k2)
+        out[cols[i]] = v1 + (v2 - v1) * (pos - k1)
+    return out
 
-    def at(k):
-        for r in hits:
-            if r["cum_n"] - r["n"] <= k < r["cum_n"]:
-                return r["v"]
-        raise RuntimeError("rank not found")
 
-    v1, v2 = at(k1), at(k2)
-    return v1 + (v2 - v1) * (pos - k1)
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, buckets: int | None = None):
+    """``exact_quantiles`` of one column."""
+    return exact_quantiles(df, [col], q, buckets)[col]
 
 
 def range_ranks(df: DataFrame, order_cols, out: str = "rank", buckets: int | None = None) -> DataFrame:
     """1-based row numbers of ``df`` in ascending ``order_cols`` (unique), for keys of
-    any orderable type (strings included) and any cardinality.
-
-    ``repartitionByRange`` samples the key boundaries; the partition id is frozen by a
-    checkpoint (so a recomputed task cannot land rows in a different bucket) and used
-    as the monotone bucket of ``running_sums``.
-    """
-    from ..session import checkpoint_dir
-    order_cols = list(order_cols)
-    checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(buckets or default_buckets(df), *order_cols)
-              .withColumn("__rb", F.spark_partition_id()).withColumn("__one", F.lit(1))
-              .checkpoint(eager=True))
-    r = running_sums(ranged, order_cols, ["__one"], bucket=F.col("__rb"))
-    return r.withColumnRenamed("cum___one", out).drop("__rb", "__one")
+    any orderable type (strings included) and any cardinality."""
+    r = running_sums(df.withColumn("__one", F.lit(1)), order_cols, ["__one"], buckets=buckets)
+    return r.withColumnRenamed("cum___one", out).drop("__one")

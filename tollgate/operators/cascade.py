@@ -45,15 +45,11 @@ def step_events(step_log: DataFrame, spec: CascadeSpec) -> DataFrame:
             .where(F.col(spec.step_col).isin(values) & F.col(spec.ts_col).isNotNull()))
 
 
-SKEW_ROWS = 1_000_000  # events of one entity handled by one task before it is salted
-
-
 def hot_entities(events: DataFrame, entity: str, skew_rows: int) -> DataFrame:
     """Entities with more than ``skew_rows`` events and the number of salts for each.
 
-    Counting is a partial + final aggregate (a hot key collapses map-side).  The
-    result has at most ``total_rows / skew_rows`` rows -- a proven bound -- so it is
-    safe to broadcast.
+    Counting is a partial + final aggregate (a hot key collapses map-side).  The list is
+    joined by key and never collected; its size decides how.
     """
     return (events.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
             .where(F.col("__n") > F.lit(skew_rows))
@@ -61,26 +57,25 @@ def hot_entities(events: DataFrame, entity: str, skew_rows: int) -> DataFrame:
 
 
 def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec,
-                     skew_rows: int | None = SKEW_ROWS) -> DataFrame:
+                     skew_rows: int | None = None) -> DataFrame:
     """One row per entity that has events: chosen event time and window flag per step.
 
-    Skew: an entity with more than ``skew_rows`` events (say a third of the log) is
-    split over ``ceil(n / skew_rows)`` salts -- its events by a hash of the event,
+    Skew: a hot entity (say a third of the log) makes one join partition large.  By default
+    adaptive execution splits it (``forceOptimizeSkewedJoin``: the split join is followed by a
+    partial aggregate in each piece, so only one row per piece and entity is shuffled
+    again), which costs nothing when there is none.  ``skew_rows`` asks for explicit
+    salting instead, for clusters without adaptive execution: an entity with more
+    events is split over ``ceil(n / skew_rows)`` salts -- its events by a hash of the event,
     its single anchor row replicated once per salt -- and the aggregate runs in two
-    levels (entity+salt, then entity), so no task joins or aggregates the whole hot
-    entity.  Entities under the threshold keep salt 0 and a plain equi-join.
+    levels (entity+salt, then entity).  Both give the same rows.
     """
     e, a, st, ts = spec.entity_col, spec.anchor_col, spec.step_col, spec.ts_col
     anchors = (entities.select(F.col(e), F.col(a).cast("timestamp").alias(a))
                .where(F.col(a).isNotNull()))
     events = step_events(step_log, spec)
     keys = [e]
-    # the hot list is at most total_rows / skew_rows rows, so fetching it is bounded;
-    # without hot entities the plain plan runs (no salt join, no second aggregate)
-    hot_rows = hot_entities(events, e, skew_rows).collect() if skew_rows else []
-    if hot_rows:
-        schema = f"`{e}` {dict(events.dtypes)[e]}, __salts int"
-        hot = F.broadcast(events.sparkSession.createDataFrame(hot_rows, schema))
+    if skew_rows:
+        hot = hot_entities(events, e, skew_rows)
         salt = F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(F.col(st), F.col(ts)), F.col("__salts")).cast("int"))
         events = events.join(hot, e, "left").withColumn("__salt", salt).drop("__salts")
@@ -101,7 +96,7 @@ def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec
             if spec.policy == "any":
                 aggs.append(F.min(F.when(is_s & inw, tsc)).alias(f"__{s.name}_win"))
     g = ev.groupBy(*keys).agg(*aggs)
-    if hot_rows:  # second level: min over the salts of one entity
+    if skew_rows:  # second level: min over the salts of one entity
         g = g.groupBy(e).agg(*[F.min(c).alias(c) for c in g.columns if c not in keys])
     cols = [F.col(e)]
     for s in spec.steps:
@@ -116,7 +111,7 @@ def per_entity_steps(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec
 
 
 def track(entities: DataFrame, step_log: DataFrame, spec: CascadeSpec,
-          skew_rows: int | None = SKEW_ROWS) -> DataFrame:
+          skew_rows: int | None = None) -> DataFrame:
     """The tracked table, one row per entity (all entity columns kept).
 
     Per step ``s``: ``s_updated`` (bool), ``s_update_ts`` (timestamp),

@@ -3,11 +3,11 @@
 ``base_features`` needs no fitting (per-row expressions).  ``fit`` learns lookup
 tables from the *training* rows only -- target rates per cohort value, label codes,
 scaler moments -- and ``transform`` applies them to any rows with left joins and
-column arithmetic.  Lookups are tables keyed by cohort value.  They are joined
-without a hint: adaptive execution measures the materialised lookup at runtime and
-broadcasts it only when it is under ``spark.sql.autoBroadcastJoinThreshold``, falling
-back to a sort-merge join otherwise (``sized_broadcast`` is the explicit, counted
-variant for callers that want the hint).
+column arithmetic.  Lookups are tables keyed by cohort value, written as Parquet to the
+shared folder: the planner then knows their bytes and broadcasts a lookup only under
+``spark.sql.autoBroadcastJoinThreshold``.  A larger one (a column of very many values) is
+joined by shuffle, where no single value can hold much of a lookup; adaptive execution splits
+a value that is hot among the rows.  The rates and codes of a column are joined at once.
 """
 
 from __future__ import annotations
@@ -18,21 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import floor_days, inf_to_null, weekday_monday0
-from ..functions.ordered import default_buckets, exact_quantile, running_sums
+from ..functions.ordered import default_buckets, exact_quantiles
 from ..spec import CascadeSpec
 
 MISSING_DAYS = 999.0
 LATE_DAYS = 90
 DEFAULT_RATE = 0.5
 UNSEEN_CODE = -1
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the table has at most ``max_rows`` rows (counted with a
-    bounded ``limit``); larger tables are left to a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def base_features(tracked: DataFrame, spec: CascadeSpec, enrol_col: str | None = None,
@@ -108,7 +100,7 @@ def select_feature_names(columns, target: str = "transition_failure", exclude=EX
     return sorted(out)
 
 
-def day0_feature_names(columns, allow=("_encoded", "_target_rate", "anchor_", "years_between"),
+def day0_feature_names(columns, allow=("_encoded", "_target_rate", "anchor_", "years_between", "pincode"),
                        deny=("time_to_update", "window_completed", "gap", "missing", "is_late")):
     """names matching an allow substring and no deny substring, sorted."""
     return sorted(c for c in columns if any(a in c for a in allow) and not any(d in c for d in deny))
@@ -128,6 +120,7 @@ class FeatureModel:
     moments: dict = field(default_factory=dict)   # name -> (mean, std_pop)
     null_label: str = "Unknown"
     enrol_col: str | None = None
+    lookups: DataFrame | None = None        # (col_name, value, rate, code): rates and codes side by side
 
     # ------------------------------------------------------------------ fit
     @classmethod
@@ -147,9 +140,9 @@ class FeatureModel:
     # ------------------------------------------------------------ transform
     def _unscaled(self, df: DataFrame) -> DataFrame:
         out = base_features(df, self.spec, enrol_col=self.enrol_col)
-        out = apply_target_rates(out, self.rates, self.rate_cols)
-        out = apply_label_codes(out, self.codes, self.code_cols, self.null_label)
-        return out
+        if self.lookups is None:
+            self.lookups = written_lookup(self.rates.join(self.codes, ["col_name", "value"], "full"))
+        return apply_lookups(out, self.lookups, self.rate_cols, self.code_cols, self.null_label)
 
     def transform(self, df: DataFrame, scale: bool = True) -> DataFrame:
         if not self.feature_names:
@@ -166,10 +159,35 @@ def fit_target_rates(train: DataFrame, cols, target: str) -> DataFrame:
     cols = list(cols)
     g = train.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
         F.avg(F.col(target).cast("double")).alias("rate"), F.grouping_id().alias("gid"))
-    # the fitted state (one row per value): written once, read by every apply
-    from ..session import checkpoint_dir
-    checkpoint_dir(train.sparkSession)
-    return _long_from_sets(g, cols, "rate").checkpoint(eager=True)
+    return written_lookup(_long_from_sets(g, cols, "rate"))
+
+
+def written_lookup(df: DataFrame) -> DataFrame:
+    """Fitted state (one row per value), written once and read by every apply."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, "lookup")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def apply_lookups(df: DataFrame, lookups: DataFrame, rate_cols, code_cols, null_label: str = "Unknown",
+                  default: float = DEFAULT_RATE) -> DataFrame:
+    """F12 + F14 / J6 + J7: one left join per column brings its target rate and its code.
+    Unseen -> ``default`` and -1; NULL -> ``default`` and the code of ``null_label``."""
+    out = df
+    for c in dict.fromkeys([*rate_cols, *code_cols]):
+        if c not in df.columns:
+            continue
+        lk = lookups.where(F.col("col_name") == c).select(F.col("value").alias("__v"), F.col("rate").alias("__r"),
+                                                          F.col("code").alias("__c"))
+        out = out.join(lk, F.coalesce(F.col(c).cast("string"), F.lit(null_label)) == F.col("__v"), "left").drop("__v")
+        if c in rate_cols:
+            rate = F.when(F.col(c).isNotNull(), F.col("__r"))
+            out = out.withColumn(f"{c}_target_rate", F.coalesce(rate, F.lit(default)))
+        if c in code_cols:
+            out = out.withColumn(f"{c}_encoded", F.coalesce(F.col("__c"), F.lit(UNSEEN_CODE)))
+        out = out.drop("__r", "__c")
+    return out
 
 
 def _long_from_sets(g: DataFrame, cols, measure: str) -> DataFrame:
@@ -201,10 +219,9 @@ def fit_label_codes(train: DataFrame, cols, null_label: str = "Unknown") -> Data
     ``null_label``; the reference's ``astype(str)`` makes it ``'nan'``).
 
     Codes are distributed ranks, so no task ever holds all values of a column: the
-    distinct (column, value) pairs (one GROUPING SETS pass) are range-partitioned
-    (``repartitionByRange`` samples string boundaries), the partition id is frozen as
-    a bucket by a checkpoint, ``running_sums`` counts in (column, value) order, and
-    each column's offset (one row per column) is subtracted.
+    distinct (column, value) pairs (one GROUPING SETS pass) are range-partitioned,
+    ``running_sums`` counts in (column, value) order, and each column's offset (one row
+    per column) is subtracted.
     """
     from ..functions.ordered import range_ranks
     cols = list(cols)
@@ -219,7 +236,7 @@ def fit_label_codes(train: DataFrame, cols, null_label: str = "Unknown") -> Data
     for name, n in sizes:
         offset = F.when(F.col("col_name") == F.lit(name), F.lit(acc)).otherwise(offset)
         acc += n
-    return ranked.select("col_name", "value", (F.col("__r") - 1 - offset).cast("int").alias("code"))
+    return written_lookup(ranked.select("col_name", "value", (F.col("__r") - 1 - offset).cast("int").alias("code")))
 
 
 def apply_label_codes(df: DataFrame, codes: DataFrame, cols, null_label: str = "Unknown") -> DataFrame:
@@ -282,7 +299,7 @@ def fit_medians(train: DataFrame, cols, exact: bool = True) -> dict:
     exact quantile (pandas/DuckDB interpolation); otherwise one ``percentile_approx``
     pass over all columns."""
     if exact:
-        return {c: exact_quantile(train, c, 0.5) for c in cols}
+        return exact_quantiles(train, cols, 0.5)
     r = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100000).alias(c) for c in cols]).first()
     return {c: r[c] for c in cols}
 

@@ -95,14 +95,20 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction")
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row per distinct score (descending) with pos/neg counts and the
-    cumulative tp/fp at that threshold, plus the class totals."""
+    cumulative tp/fp at that threshold, plus the class totals.  Rows without a score or a
+    label have no place on a curve: they raise, with their number."""
     y = F.col(label).cast("long")
-    g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+    g = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"), F.count(F.lit(1)).alias("__all"), F.count(y).alias("__labelled"))
     # read three times below (bucket bounds, totals, running sums): write the per-score
     # table once instead of re-running the upstream plan for each pass
     checkpoint_dir(df.sparkSession)
     g = g.withColumn("__neg_t", -F.col("threshold")).checkpoint(eager=True)
+    unplaced = g.agg(F.sum(F.when(F.col("threshold").isNull(), F.col("__all")).otherwise(
+        F.col("__all") - F.col("__labelled")))).first()[0]
+    if unplaced:
+        raise ValueError(f"{unplaced} rows have no score or no label")
+    g = g.drop("__all", "__labelled")
     c = running_sums(g, ["__neg_t"], ["pos", "neg"]).drop("__neg_t")
     tot = g.agg(F.sum("pos").alias("npos"), F.sum("neg").alias("nneg"))
     return _attach_totals(c, tot)
@@ -212,7 +218,7 @@ def psi(expected: DataFrame, actual: DataFrame, score: str = "score", bins: int
         eps: float = 1e-4) -> DataFrame:
     """Population stability index between two score samples, per bin and total
     (bin shares floored at ``eps``); bins joined with a full outer join."""
-    b = F.least(F.floor(F.col(score) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    b = F.greatest(F.least(F.floor(F.col(score) * F.lit(bins)), F.lit(bins - 1)), F.lit(0)).cast("int")
     e = expected.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n_expected"))
     a = actual.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n_actual"))
     j = e.join(a, "bin", "full_outer").na.fill(0, ["n_expected", "n_actual"])

@@ -30,13 +30,15 @@ LR_TOL = 1e-4  # sklearn's lbfgs tolerance
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """'balanced' weights n / (2 * n_class); the class-count table has one row per
-    class (bounded), joined with a broadcast."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    n = df.count()
-    k = counts.count()
-    w = counts.select(label, (F.lit(float(n)) / (F.lit(float(k)) * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label)
+    """'balanced' weights n / (classes * n_class), from one count of one row per class.
+    Rows with a NULL label cannot be weighed or trained on: they raise."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")).collect()}
+    if counts.get(None):
+        raise ValueError(f"{counts[None]} rows have a NULL label")
+    weight = F.lit(None).cast("double")
+    for value, n in counts.items():
+        weight = F.when(F.col(label) == F.lit(value), F.lit(sum(counts.values()) / (len(counts) * n))).otherwise(weight)
+    return df.withColumn(out, weight)
 
 
 def prepare(df: DataFrame, names, label: str) -> DataFrame:

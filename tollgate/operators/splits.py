@@ -1,8 +1,11 @@
 """Deterministic splits, folds, samples and label permutations.
 
 Order = hex md5 of ``seed:key`` (the same text order in every engine).  Ranks inside a
-class come from the distributed ``running_sums`` with buckets on the leading hex
-digits, so a class holding half of all rows is never sorted in one task.
+class are taken in parts by the leading hex digits (``ordered.part_ranks``); the number of
+digits follows the row count, so a class holding half of all rows is never sorted in one task.
+
+Labels may be of any type.  Rows with a NULL label cannot be stratified: they stay in the
+result with a NULL split or fold.
 """
 
 from __future__ import annotations
@@ -11,59 +14,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import md5_order_key
-from ..functions.ordered import hex_bucket, running_sums
+from ..functions.ordered import hex_digits, part_ranks
+from ..session import checkpoint_dir
+
 
-HEX_DIGITS = 3  # 4096 rank buckets per class
+def _ordered(df: DataFrame, key: str, *seeds) -> tuple[DataFrame, int]:
+    """``df`` with md5 orders ``__h0``, ``__h1``.. written once (ranks read it several
+    times), and the hex digits that cut it into parts."""
+    checkpoint_dir(df.sparkSession)
+    for i, seed in enumerate(seeds):
+        df = df.withColumn(f"__h{i}", md5_order_key(seed, F.col(key)))
+    df = df.checkpoint(eager=True)
+    return df, hex_digits(df.count())
 
 
 def class_ranks(df: DataFrame, key: str, label: str, seed) -> DataFrame:
-    """Add ``__h`` (md5 order) and ``rank_in_class`` (1-based, per label value)."""
-    h = df.withColumn("__h", md5_order_key(seed, F.col(key))).withColumn("__one", F.lit(1))
-    counts = h.groupBy(label).agg(F.count(F.lit(1)).alias("__n_class"))
-    lab = F.col(label).cast("long")
-    bucket = (lab - F.lit(-1)) * F.lit(16 ** HEX_DIGITS) + hex_bucket(F.col("__h"), HEX_DIGITS)
-    r = running_sums(h.where(F.col(label).isNotNull()), [label, "__h"], ["__one"], bucket=bucket)
-    # rows of earlier classes come first in (label, md5) order; subtract their count
-    from pyspark.sql import Window
-    w = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(label, "__n_class",
-                         F.coalesce(F.sum("__n_class").over(w), F.lit(0)).alias("__before"))  # one row per class
-    return (r.join(F.broadcast(offs), label)
-            .withColumn("rank_in_class", F.col("cum___one") - F.col("__before"))
-            .drop("cum___one", "__one", "__before"))
+    """Add ``rank_in_class`` (1-based, per label value, in md5 order) and ``__n_class``."""
+    h, digits = _ordered(df, key, seed)
+    return part_ranks(h, F.col(label), "__h0", "rank_in_class", "__n_class", digits).drop("__h0")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed=42, test_pct: int = 20) -> DataFrame:
     """M1: ``split`` = 'test' for the first ceil(test_pct% of the class) rows of each
-    class in md5 order, else 'train'.  Label proportions are kept exactly."""
+    class in md5 order, else 'train'.  Label proportions are kept exactly; NULL labels get
+    a NULL split."""
     r = class_ranks(df, key, label, seed)
     n_test = F.floor((F.col("__n_class") * F.lit(test_pct) + F.lit(99)) / F.lit(100))
-    return (r.withColumn("split", F.when(F.col("rank_in_class") <= n_test, F.lit("test"))
-                         .otherwise(F.lit("train")))
-            .drop("__h", "__n_class", "rank_in_class"))
+    side = F.when(F.col("rank_in_class") <= n_test, F.lit("test")).otherwise(F.lit("train"))
+    return r.withColumn("split", F.when(F.col(label).isNotNull(), side)).drop("__n_class", "rank_in_class")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed=42) -> DataFrame:
-    """M2: ``fold`` = (rank in class - 1) mod k -- every fold keeps class proportions."""
+    """M2: ``fold`` = (rank in class - 1) mod k -- every fold keeps class proportions; NULL
+    labels get a NULL fold."""
     r = class_ranks(df, key, label, seed)
-    return (r.withColumn("fold", ((F.col("rank_in_class") - 1) % F.lit(k)).cast("int"))
-            .drop("__h", "__n_class", "rank_in_class"))
-
-
-def global_rank(df: DataFrame, key: str, seed, out: str) -> DataFrame:
-    h = df.withColumn("__h", md5_order_key(seed, F.col(key))).withColumn("__one", F.lit(1))
-    r = running_sums(h, ["__h"], ["__one"], bucket=hex_bucket(F.col("__h"), HEX_DIGITS))
-    return r.withColumnRenamed("cum___one", out).drop("__h", "__one")
+    fold = ((F.col("rank_in_class") - 1) % F.lit(k)).cast("int")
+    return r.withColumn("fold", F.when(F.col(label).isNotNull(), fold)).drop("__n_class", "rank_in_class")
 
 
 def shuffled_labels(df: DataFrame, key: str, label: str, seed=42) -> DataFrame:
     """A deterministic permutation of the label column: the row ranked i-th by
-    md5(seed) receives the label of the row ranked i-th by md5(seed+1).  Equi-join on
-    the rank, no collect."""
-    a = global_rank(df.select(key, label), key, seed, "__ra")
-    b = global_rank(df.select(key, label), key, f"{seed}+1", "__rb").select(
-        F.col("__rb"), F.col(label).alias("shuffled_label"))
-    return a.join(b, a["__ra"] == b["__rb"]).drop("__ra", "__rb")
+    md5(seed) receives the label of the row ranked i-th by md5(seed+1).  Both orders are
+    read from one written table; equi-join on the rank, no collect."""
+    h, digits = _ordered(df.select(key, label), key, seed, f"{seed}+1")
+    one = F.lit(1)
+    a = part_ranks(h, one, "__h0", "__ra", "__na", digits).select(key, label, "__ra")
+    b = part_ranks(h, one, "__h1", "__rb", "__nb", digits).select("__rb", F.col(label).alias("shuffled_label"))
+    return a.join(b, F.col("__ra") == F.col("__rb")).drop("__ra", "__rb")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:

@@ -216,15 +216,10 @@ def district_risk_grid(tracked: DataFrame, min_size: int = 100, top: int = 20,
             .na.fill(0.0, subset=states))
 
 
-def cohort_pivot(cohort_rates: DataFrame, value_col: str = "completion_rate_pct",
-                 max_values: int = 1000) -> DataFrame:
-    """Step x cohort matrix of a cohort table produced by A2.  Pivot columns are
-    the distinct cohort values, checked against ``max_values`` before pivoting."""
-    vals = [r[0] for r in cohort_rates.select("cohort").distinct().orderBy("cohort")
-            .limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"cohort has more than {max_values} values; use the long form")
-    return cohort_rates.groupBy("step").pivot("cohort", vals).agg(F.first(value_col))
+def cohort_pivot(cohort_rates: DataFrame, cohorts, value_col: str = "completion_rate_pct") -> DataFrame:
+    """Step x cohort matrix of a cohort table produced by A2.  The caller names the cohort
+    values that become columns; the long form (A2) holds all of them, however many."""
+    return cohort_rates.groupBy("step").pivot("cohort", list(cohorts)).agg(F.first(value_col))
 
 
 def wilson_interval(k: Column, n: Column, z: float = 1.959963984540054):

@@ -316,8 +316,11 @@ def district_risk_grid(spark, sf_dir):
     return stats.district_risk_grid(tracked_customers(spark, sf_dir), min_size=MIN_SIZE)
 
 
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
 def _a9_sql():
-    segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    segs = SEGMENTS
     parts = [f"""SELECT segment AS cohort, '{s.name}' AS step, count(*) AS total,
                  sum(CAST({s.name}_in_window AS INTEGER)) AS completed
                FROM tracked WHERE segment IS NOT NULL GROUP BY segment""" for s in B.CUSTOMER_SPEC.steps]
@@ -325,14 +328,14 @@ def _a9_sql():
                      for v in segs)
     inner = f"""{tracked_ctes('customers')}
       SELECT step, {cols} FROM ({' UNION ALL '.join(parts)}) x GROUP BY step"""
-    return rsql(inner, segs)
+    return rsql(inner, list(segs))
 
 
 @register("cohort_pivot", _a9_sql())
 def cohort_pivot(spark, sf_dir):
     """Step x segment matrix of completion %."""
     t = tracked_customers(spark, sf_dir)
-    return stats.cohort_pivot(stats.cohort_completion_rates(t, B.CUSTOMER_SPEC, "segment"))
+    return stats.cohort_pivot(stats.cohort_completion_rates(t, B.CUSTOMER_SPEC, "segment"), SEGMENTS)
 
 
 # --------------------------------------------------------------------------- A12
@@ -369,61 +372,6 @@ def cohort_effect_sizes(spark, sf_dir):
     return stats.cohort_effect_sizes(tracked_customers(spark, sf_dir), "state", "EUROPE")
 
 
-# --------------------------------------------------------------------------- C11, C12 (+ J9, P1)
-def simulated_tracked(spark, sf_dir):
-    """The reference's live path on driver data: count table -> one row per counted
-    unit -> deterministic birth dates / genders -> deterministic step log -> tracking
-    with the reference's four windows."""
-    from ..functions.expressions import parse_dmy
-    from ..operators import prep, simulate
-    from ..spec import REFERENCE_SPEC
-    from .q_prep import KEYS, order_counts
-    rows = prep.expand_counts(order_counts(spark, sf_dir), "n_orders", KEYS)
-    people = simulate.individuals(rows.withColumn("d", parse_dmy(F.col("date"))), date_col="d")
-    ent = people.select("entity_id", "anchor_ts", "district", "segment", "gender")
-    # the simulated log has at most one event per step and person by construction, so
-    # no entity can be hot: skip the hot-entity detection pass
-    return cascade.track(ent, simulate.step_log(people), REFERENCE_SPEC, skew_rows=None)
-
-
-def _sim_rates_sql():
-    from ..spec import REFERENCE_SPEC
-    parts = [f"""SELECT '{s.name}' AS step, '{s.label}' AS window_days, count(*) AS total_individuals,
-              CAST(coalesce(sum(CAST({s.name}_in_window AS INTEGER)), 0) AS BIGINT) AS completed
-            FROM tracked""" for s in REFERENCE_SPEC.steps]
-    inner = f"""{tracked_ctes('simulated')}
-    SELECT step, window_days, total_individuals, completed,
-           {pct_sql('completed', 'total_individuals')} AS completion_rate_pct,
-           total_individuals - completed AS missing,
-           100.0 - {pct_sql('completed', 'total_individuals')} AS missing_rate_pct
-    FROM ({' UNION ALL '.join(parts)}) x"""
-    return rsql(inner, ["completion_rate_pct", "missing_rate_pct"])
-
-
-@register("simulated_cascade_rates", _sim_rates_sql())
-def simulated_cascade_rates(spark, sf_dir):
-    """C11 + C12 + J9 + C6 + A1: completion rates of the simulated cascade built from
-    the order count table (about 95 / 75 / 60 / 40 % by construction)."""
-    from ..spec import REFERENCE_SPEC
-    return stats.completion_rates(simulated_tracked(spark, sf_dir), REFERENCE_SPEC)
-
-
-def _sim_fail_sql():
-    inner = f"""{tracked_ctes('simulated')}
-      SELECT gender, count(*) AS n, avg(CAST(transition_failure AS DOUBLE)) AS failure_rate
-      FROM tracked GROUP BY gender"""
-    return rsql(inner, ["failure_rate"])
-
-
-@register("simulated_failure_by_gender", _sim_fail_sql())
-def simulated_failure_by_gender(spark, sf_dir):
-    """C7 on the simulated cascade: failure rate per simulated gender (~82% overall,
-    the reference's shared-draw figure)."""
-    t = simulated_tracked(spark, sf_dir)
-    return t.groupBy("gender").agg(F.count(F.lit(1)).alias("n"),
-                                   F.avg(F.col("transition_failure").cast("double")).alias("failure_rate"))
-
-
 # --------------------------------------------------------------------------- K5
 def _summary_sql():
     steps = B.CUSTOMER_SPEC.steps

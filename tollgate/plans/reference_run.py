@@ -1,8 +1,9 @@
 """The reference's three entry points as Spark jobs over its own input layout.
 
-``run_analysis``: count CSV folders (enrolment / biometric / demographic) -> clean ->
-count joins -> one row per person -> deterministic cascade -> statistics -> features
--> models -> output files.  ``train_deployment``: Day-0 calibrated models saved as
+``run_from_folders``: CSV folders of individuals and of their two update logs -> clean ->
+cascade -> statistics -> features -> models -> output files (``run_analysis`` is the same
+from DataFrames on).  ``counted_adults``: count CSV folders -> count joins -> one row per
+counted adult.  ``train_deployment``: Day-0 calibrated models saved as
 bundles.  ``score_files``: score a CSV / JSON request file with a saved bundle.
 
 The driver only sequences distributed jobs; every table stays a DataFrame and every
@@ -12,11 +13,13 @@ output goes through a Spark writer.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audit, cascade, features as FE, metrics as M, models as MD, prep, scoring, simulate
+from ..functions.expressions import python_title, threshold_category
+from ..operators import audit, cascade, features as FE, metrics as M, models as MD, prep, scoring
 from ..operators import sinks, splits, stats
 from ..session import apply_runtime_conf
 from ..sources import files
@@ -26,39 +29,71 @@ KEYS = ("date", "state", "district", "pincode")
 TARGET = "transition_failure"
 
 
-def individuals_from_counts(enrol: DataFrame, bio: DataFrame, demo: DataFrame, as_of: str,
-                            standardise_updates: bool = True) -> DataFrame:
-    """P1/P3/P4 + J1/J2 + J9 + P7 + C11 + C13: one row per counted adult.
+def counted_adults(enrol: DataFrame, bio: DataFrame, demo: DataFrame,
+                   standardise_updates: bool = True) -> DataFrame:
+    """P1/P3/P4 + J1/J2 + J9 + P7: one row per counted adult, with update shares.
 
     ``standardise_updates`` (default) cleans the names of the two update tables like the
     enrolment table so case/spacing differences still join (Q13 fixed); ``False``
-    reproduces the reference, which only parses their dates."""
-    e = prep.clean_counts(enrol.drop("_corrupt"))
+    reproduces the reference, which only parses their dates.  Rows whose date does not
+    parse stay, with a NULL date.  Read the tables through ``files.split_corrupt`` first."""
+    e = prep.clean_counts(enrol)
     names = ("state", "district") if standardise_updates else ()
-    b = prep.clean_counts(bio.drop("_corrupt"), name_cols=names, pincode_col=None)
-    d = prep.clean_counts(demo.drop("_corrupt"), name_cols=names, pincode_col=None)
+    b = prep.clean_counts(bio, name_cols=names, pincode_col=None)
+    d = prep.clean_counts(demo, name_cols=names, pincode_col=None)
     j = prep.left_join_counts(e, b, KEYS, "bio_age_17_", "biometric_updates")
     j = prep.left_join_counts(j, d, KEYS, "demo_age_17_", "demographic_updates")
-    rows = prep.expand_counts(j.where(F.col("date").isNotNull()), "age_18_greater", KEYS)
-    rows = rows.withColumn("biometric_updates_count", prep.per_unit_rate("biometric_updates", "age_18_greater")) \
-               .withColumn("demographic_updates_count", prep.per_unit_rate("demographic_updates", "age_18_greater"))
-    people = simulate.individuals(rows, date_col="date")
-    return people.withColumn("current_age", cascade.current_age("dob", as_of)) \
-                 .withColumnRenamed("date", "enrolment_date")
-
-
-def run_analysis(spark: SparkSession, enrol_dir: str, bio_dir: str, demo_dir: str, out_dir: str,
-                 as_of: str = "2026-01-01", min_size: int = 100, trees: int = 100, gbt_rounds: int = 100) -> dict:
-    """Entry 1 of the reference (full analysis), writing its outputs under ``out_dir``."""
+    rows = prep.expand_counts(j, "age_18_greater", KEYS)
+    return (rows.withColumn("biometric_updates_count", prep.per_unit_rate("biometric_updates", "age_18_greater"))
+            .withColumn("demographic_updates_count", prep.per_unit_rate("demographic_updates", "age_18_greater"))
+            .withColumnRenamed("date", "enrolment_date"))
+
+
+def people_table(individuals: DataFrame, as_of: str) -> DataFrame:
+    """P3/P4 + C1 + C13: the people of an individuals table as cascade entities.  The anchor is
+    18 x 365 days after birth; an absent area follows from the pincode."""
+    area = threshold_category(F.col("pincode"), 500000, "Urban", "Rural")
+    return (individuals.withColumnRenamed("aadhaar_id", "entity_id")
+            .withColumn("state", python_title("state")).withColumn("district", python_title("district"))
+            .withColumn("urban_rural", F.coalesce("urban_rural", area))
+            .withColumn("anchor_ts", cascade.anchor_plus_days("dob"))
+            .withColumn("current_age", cascade.current_age("dob", as_of)))
+
+
+def step_log_of(biometric_log: DataFrame, demographic_log: DataFrame) -> DataFrame:
+    """The two update logs as one step log: biometric updates are one step, demographic
+    ones are named by their type (types outside the spec are ignored by tracking)."""
+    return (biometric_log.select(F.col("aadhaar_id").alias("entity_id"), F.lit("biometric").alias("step_type"),
+                                 F.col("update_date").alias("step_ts"))
+            .unionByName(demographic_log.select(F.col("aadhaar_id").alias("entity_id"),
+                                                F.lower(F.trim("update_type")).alias("step_type"),
+                                                F.col("update_date").alias("step_ts"))))
+
+
+def run_from_folders(spark: SparkSession, individuals_dir: str, biometric_log_dir: str, demographic_log_dir: str,
+                     out_dir: str, as_of: str = "2026-01-01", **options) -> dict:
+    """Entry 1 on CSV folders: an individuals table and the two update logs.  Lines that do
+    not parse are left out of the analysis and written to ``out_dir/corrupt_lines``."""
+    parsed, corrupt = [], []
+    for name, df in (("individuals", files.load_individuals(spark, individuals_dir)),
+                     ("biometric_log", files.load_biometric_log(spark, biometric_log_dir)),
+                     ("demographic_log", files.load_demographic_log(spark, demographic_log_dir))):
+        good, bad = files.split_corrupt(df)
+        parsed.append(good)
+        corrupt.append(bad.select(F.lit(name).alias("table"), F.col("_corrupt").alias("line")))
+    sinks.write_table(reduce(DataFrame.unionByName, corrupt), os.path.join(out_dir, "corrupt_lines"))
+    return run_analysis(spark, people_table(parsed[0], as_of), step_log_of(*parsed[1:]), out_dir, **options)
+
+
+def run_analysis(spark: SparkSession, people: DataFrame, step_log: DataFrame, out_dir: str,
+                 min_size: int = 100, trees: int = 100, gbt_rounds: int = 100) -> dict:
+    """Entry 1 of the reference (full analysis) on entities and their step log, writing its
+    outputs under ``out_dir``."""
     apply_runtime_conf(spark)
-    people = individuals_from_counts(files.load_enrolment(spark, enrol_dir), files.load_biometric(spark, bio_dir),
-                                     files.load_demographic(spark, demo_dir), as_of)
-    log = simulate.step_log(people)
     ent = people.select("entity_id", "anchor_ts", "enrolment_date", "dob", "state", "district", "pincode",
                         "urban_rural", "gender", "biometric_updates_count", "demographic_updates_count",
                         "current_age")
-    # simulated log: at most one event per step and person, no hot entity possible
-    tracked = cascade.track(ent, log, REFERENCE_SPEC, skew_rows=None).checkpoint(eager=True)
+    tracked = cascade.track(ent, step_log, REFERENCE_SPEC).checkpoint(eager=True)
     sinks.write_table(tracked, os.path.join(out_dir, "tracked"))                              # K1
     out = {
         "completion_rates": stats.completion_rates(tracked, REFERENCE_SPEC),                    # A1
@@ -115,7 +150,7 @@ def train_deployment(spark: SparkSession, tracked: DataFrame, out_dir: str, fold
     the chosen one saved as a scoring bundle (K7)."""
     sp = splits.stratified_split(tracked, "entity_id", TARGET).checkpoint(eager=True)
     train = sp.where(F.col("split") == "train")
-    fm = FE.FeatureModel.fit(train, REFERENCE_SPEC, TARGET)
+    fm = FE.FeatureModel.fit(train, REFERENCE_SPEC, TARGET, enrol_col="enrolment_date")
     feats = fm.transform(sp).withColumn("label", F.col(TARGET).cast("int")).checkpoint(eager=True)
     names = FE.day0_feature_names(fm.feature_names)
     tr, te = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test")

@@ -30,6 +30,13 @@ DEMOGRAPHIC_SCHEMA = T.StructType([
     T.StructField("date", T.StringType()), T.StructField("state", T.StringType()),
     T.StructField("district", T.StringType()), T.StructField("pincode", T.LongType()),
     T.StructField("demo_age_17_", T.LongType())])
+INDIVIDUAL_SCHEMA = T.StructType([
+    T.StructField("aadhaar_id", T.StringType()), T.StructField("enrolment_date", T.TimestampType()),
+    T.StructField("state", T.StringType()), T.StructField("district", T.StringType()),
+    T.StructField("pincode", T.LongType()), T.StructField("urban_rural", T.StringType()),
+    T.StructField("dob", T.TimestampType()), T.StructField("gender", T.StringType()),
+    T.StructField("biometric_updates_count", T.DoubleType()),
+    T.StructField("demographic_updates_count", T.DoubleType())])
 BIOMETRIC_LOG_SCHEMA = T.StructType([
     T.StructField("aadhaar_id", T.StringType()), T.StructField("update_date", T.TimestampType())])
 DEMOGRAPHIC_LOG_SCHEMA = T.StructType([
@@ -134,6 +141,11 @@ def load_demographic(spark, folder, filenames=None) -> DataFrame:
     return csv_folder(spark, folder, DEMOGRAPHIC_SCHEMA, filenames)
 
 
+def load_individuals(spark, folder, filenames=None) -> DataFrame:
+    """People with their attributes: one row each."""
+    return csv_folder(spark, folder, INDIVIDUAL_SCHEMA, filenames)
+
+
 def load_biometric_log(spark, folder, filenames=None) -> DataFrame:
     """Step events of the biometric step: one row per update."""
     return csv_folder(spark, folder, BIOMETRIC_LOG_SCHEMA, filenames)
