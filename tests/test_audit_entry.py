@@ -27,6 +27,45 @@ def test_legacy_audit_reproduces_committed_counts(spark):
     assert cats == {"demographic": 4, "geographic": 0, "temporal": 9}
 
 
+# fixed values: the committed availability report of the reference
+COMMITTED_DAYS = {
+    0: """address_window_completed biometric_is_late biometric_missing biometric_time_to_update
+    biometric_time_to_update_log biometric_updates_count biometric_window_completed current_age
+    demographic_updates_count district_encoded eighteenth_birthday_dow eighteenth_birthday_month
+    eighteenth_birthday_quarter eighteenth_birthday_year gender_encoded mobile_window_completed
+    name_window_completed pincode state_encoded urban_rural_encoded years_between_enrolment_and_18""",
+    30: "gap_biometric_to_mobile mobile_is_late mobile_missing mobile_time_to_update mobile_time_to_update_log",
+    60: "address_is_late address_missing address_time_to_update address_time_to_update_log gap_mobile_to_address",
+    90: """avg_gap_between_updates gap_address_to_name max_gap_between_updates name_is_late name_missing
+    name_time_to_update name_time_to_update_log"""}
+COMMITTED_FUTURE = """address_is_late address_missing address_time_to_update address_time_to_update_log
+avg_gap_between_updates biometric_is_late biometric_missing biometric_time_to_update biometric_time_to_update_log
+gap_address_to_name gap_biometric_to_mobile gap_mobile_to_address max_gap_between_updates mobile_is_late
+mobile_missing mobile_time_to_update mobile_time_to_update_log name_is_late name_missing name_time_to_update
+name_time_to_update_log"""
+COMMITTED_AVAILABLE = """address_window_completed biometric_window_completed district_encoded eighteenth_birthday_dow
+eighteenth_birthday_month eighteenth_birthday_quarter eighteenth_birthday_year gender_encoded mobile_window_completed
+name_window_completed state_encoded urban_rural_encoded years_between_enrolment_and_18"""
+COMMITTED_DEMOGRAPHIC = "district_encoded gender_encoded state_encoded urban_rural_encoded"
+COMMITTED_TEMPORAL = """address_window_completed biometric_window_completed eighteenth_birthday_dow eighteenth_birthday_month
+eighteenth_birthday_quarter eighteenth_birthday_year mobile_window_completed name_window_completed
+years_between_enrolment_and_18"""
+
+
+def test_legacy_audit_reproduces_committed_lists(spark):
+    r = audit.legacy_availability(spark.createDataFrame([(n,) for n in REFERENCE_FEATURES], "feature string")).collect()
+
+    def listed(cond):
+        return sorted(x["feature"] for x in r if cond(x))
+    for day, names in COMMITTED_DAYS.items():
+        assert listed(lambda x: x["day"] == day) == names.split()
+    assert listed(lambda x: x["future_knowledge"]) == COMMITTED_FUTURE.split()
+    assert listed(lambda x: x["available"]) == COMMITTED_AVAILABLE.split()
+    assert listed(lambda x: x["category"] == "demographic") == COMMITTED_DEMOGRAPHIC.split()
+    assert listed(lambda x: x["category"] == "temporal") == COMMITTED_TEMPORAL.split()
+    assert listed(lambda x: x["category"] == "geographic") == []
+
+
 def test_fixed_classification_places_every_name():
     from tollgate.sources.bindings import CUSTOMER_SPEC
     names = ["urgent_time_to_update", "low_is_late", "gap_high_to_medium", "max_gap_between_updates",
