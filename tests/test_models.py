@@ -42,3 +42,20 @@ def test_calibrated_scores_are_probabilities(spark):
     assert len(s) == 600 and all(0.0 <= r["score"] <= 1.0 for r in s)
     auc = ranking_metrics(spark.createDataFrame([(r["y"], r["score"]) for r in s], "label int, score double"))
     assert auc.first()["roc_auc"] > 0.9
+
+
+def test_temporal_validation_refuses_an_empty_side(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1), 0.0, 1)], "t timestamp, x double, y int")
+    with pytest.raises(ValueError, match="0 test rows"):
+        MD.temporal_validation(df, ["x"], "y", "t", 2021)
+
+
+def test_calibrated_scores_keep_rows_and_columns(spark):
+    rows = [(i, float(i % 7), (i * 5 % 7) > 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "k long, x1 double, y boolean").selectExpr("k", "x1", "cast(y as int) as y")
+    pairs = MD.fit_calibrated(df, ["x1"], "y", "k", base="lr", folds=3)
+    both = df.unionByName(df)                                    # repeated keys do not multiply
+    s = MD.score_calibrated(pairs, both, ["x1"], "k")
+    assert s.columns == ["k", "x1", "y", "score"] and s.count() == 240

@@ -102,13 +102,14 @@ def fit_calibrated(train: DataFrame, names, label: str, key: str, base: str = "r
 
 
 def score_calibrated(pairs, df: DataFrame, names, key: str, out: str = "score") -> DataFrame:
-    """M6 apply: mean of the calibrated probabilities of every (base, isotonic) pair."""
-    acc = None
+    """M6 apply: mean of the calibrated probabilities of every (base, isotonic) pair, as a
+    chain of transforms over one DataFrame."""
+    cols, d = df.columns, df
     for i, (m, iso) in enumerate(pairs):
-        s = iso.transform(score(m, df, names, out="score")).select(key, F.col("cal").alias(f"__c{i}"))
-        acc = s if acc is None else acc.join(s, key)
+        iso = iso.copy().setFeaturesCol(f"__s{i}").setPredictionCol(f"__c{i}")
+        d = iso.transform(score(m, d, names, out=f"__s{i}"))
     mean = sum((F.col(f"__c{i}") for i in range(len(pairs))), F.lit(0.0)) / F.lit(float(len(pairs)))
-    return df.join(acc.select(key, mean.alias(out)), key)
+    return d.select(*[F.col(c) for c in cols if c != out], mean.alias(out))
 
 
 def cv_auc(df: DataFrame, names, label: str, key: str, trainer: str = "lr", k: int = 5, seed: int = 42, **over):
@@ -139,13 +140,16 @@ def accuracy_at(df: DataFrame, label: str, score_col: str = "score", threshold:
 
 def label_shuffle_check(train: DataFrame, test: DataFrame, names, label: str, key: str, seed: int = 42,
                         warn_above: float = 0.6):
-    """Refit LR on permuted training labels; accuracy on test above ``warn_above``
-    signals leakage.  Returns (accuracy, warning)."""
-    sh = shuffled_labels(train, key, label, seed=seed).drop(label).withColumnRenamed("shuffled_label", label)
-    tr = train.drop(label).join(sh.select(key, label), key)
-    m = train_logistic(tr, names, label, max_iter=100)
-    acc = accuracy_at(score(m, test, names), label)
-    return acc, acc > warn_above
+    """Refit LR on permuted training labels and score it against the permuted labels of
+    either side; test accuracy above ``warn_above`` signals leakage.  Returns (train
+    accuracy, test accuracy, warning)."""
+    def permuted(df):
+        sh = shuffled_labels(df, key, label, seed=seed).drop(label).withColumnRenamed("shuffled_label", label)
+        return df.drop(label).join(sh.select(key, label), key)
+    tr, te = permuted(train), permuted(test)
+    m = train_logistic(tr, names, label, max_iter=1000)
+    at_train, at_test = (accuracy_at(score(m, d, names), label) for d in (tr, te))
+    return at_train, at_test, at_test > warn_above
 
 
 def ablation(train: DataFrame, test: DataFrame, names, groups: dict, label: str, trainer: str = "lr", **over):
@@ -165,12 +169,16 @@ def ablation(train: DataFrame, test: DataFrame, names, groups: dict, label: str,
 
 def temporal_validation(df: DataFrame, names, label: str, ts_col: str, cutoff_year: int, trainer: str = "lr",
                         **over):
-    """Train on anchors before ``cutoff_year``, evaluate AUC on the rest."""
+    """Train on anchors before ``cutoff_year``, evaluate on the rest.  Returns (training
+    rows, test rows, test AUC); a side without rows raises."""
     y = F.year(F.col(ts_col))
     train, test = df.where(y < cutoff_year), df.where(y >= cutoff_year)
+    n_train, n_test = train.count(), test.count()
+    if not n_train or not n_test:
+        raise ValueError(f"year {cutoff_year} leaves {n_train} training and {n_test} test rows")
     m = TRAINERS[trainer](train, names, label, **over)
     s = score(m, test, names).withColumn("label", F.col(label).cast("int"))
-    return ranking_metrics(s, "label", "score").first()["roc_auc"]
+    return n_train, n_test, ranking_metrics(s, "label", "score").first()["roc_auc"]
 
 
 def horizon_models(train: DataFrame, test: DataFrame, names_by_horizon: dict, label: str, trainer: str = "lr",

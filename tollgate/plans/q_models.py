@@ -1,6 +1,7 @@
 """Model queries on B1 features (M2-M15, E13, R1-R4, S7, K7).  MLlib training has no
-SQL formulation, so these carry no oracle (rows-only check); their metric parts reuse
-the SQL-checked metric operators."""
+SQL formulation, so fits carry no oracle (rows-only check); their metric parts reuse
+the SQL-checked metric operators, and what SQL can say of them (sizes, errors) is split off
+into queries with an oracle."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from ..operators.metrics import ranking_metrics
 from ..operators.scoring import ScoringBundle, scoring_summary
 from ..session import scratch_path
 from .catalog import register
+from .sqlgen import tracked_ctes
 from .q_features import SPEC, TARGET, fitted
 
 KEY = "entity_id"
@@ -90,13 +92,12 @@ def feature_importance(spark, sf_dir):
 
 @register("sampled_shapley")
 def sampled_shapley(spark, sf_dir):
-    """Sampled-permutation Shapley values of a random forest for 100 hash-sampled
-    test rows (baseline = training mean, i.e. 0 after scaling)."""
+    """Sampled-permutation Shapley values of the random forest for all test rows
+    (baseline = training mean, i.e. 0 after scaling)."""
     f, m = model_frame(spark, sf_dir)
     names = m.feature_names
-    rf = MD.train_random_forest(f.where(F.col("split") == "train"), names, "label", numTrees=30)
-    rows = splits.hash_sample(f.where(F.col("split") == "test"), KEY, 100)
-    return MD.sampled_shapley(rf, rows, names, KEY, {n: 0.0 for n in names}, n_perm=4)
+    rf = MD.train_random_forest(f.where(F.col("split") == "train"), names, "label")
+    return MD.sampled_shapley(rf, f.where(F.col("split") == "test"), names, KEY, {n: 0.0 for n in names})
 
 
 # fixed values: feature groups for the ablation (by name part)
@@ -116,11 +117,36 @@ def ablation(spark, sf_dir):
 
 @register("temporal_validation")
 def temporal_validation(spark, sf_dir):
-    """Train on anchors before the median anchor year, test on later anchors."""
+    """Train on anchors up to the median anchor year, test on those of later years."""
     f, m = model_frame(spark, sf_dir)
-    years = f.agg(F.percentile_approx(F.year("anchor_ts"), 0.5).alias("y")).first()["y"]
-    auc = MD.temporal_validation(f, m.feature_names, "label", "anchor_ts", int(years) + 1, "lr")
-    return spark.createDataFrame([(int(years) + 1, auc)], "cutoff_year int, roc_auc double")
+    cutoff = _cutoff_year(f)
+    n_train, n_test, auc = MD.temporal_validation(f, m.feature_names, "label", "anchor_ts", cutoff, "lr")
+    return spark.createDataFrame([(cutoff, n_train, n_test, auc)], "cutoff_year int, n_train long, n_test long, roc_auc double")
+
+
+def _cutoff_year(df) -> int:
+    years = df.groupBy(F.year("anchor_ts").alias("y")).count().orderBy("y").collect()  # one row per year
+    half, seen = sum(r["count"] for r in years) / 2, 0
+    for r in years:
+        seen += r["count"]
+        if seen >= half:
+            return r["y"] + 1
+    raise ValueError("no anchors")
+
+
+@register("temporal_sizes", f"""{tracked_ctes('customers')},
+  c AS (SELECT CAST(quantile_disc(year(anchor_ts), 0.5) AS INTEGER) + 1 AS cutoff_year FROM tracked)
+  SELECT cutoff_year, CAST(count(*) FILTER (WHERE year(anchor_ts) < cutoff_year) AS BIGINT) AS n_train,
+         CAST(count(*) FILTER (WHERE year(anchor_ts) >= cutoff_year) AS BIGINT) AS n_test
+  FROM tracked, c GROUP BY cutoff_year""")
+def temporal_sizes(spark, sf_dir):
+    """M14 without the fit: the cutoff year and the rows on either side."""
+    from .q_cascade import tracked_customers
+    t = tracked_customers(spark, sf_dir).select("anchor_ts").checkpoint(eager=True)
+    cutoff = _cutoff_year(t)
+    side = splits.temporal_split(t, "anchor_ts", cutoff)
+    return t.agg(F.lit(cutoff).alias("cutoff_year"), F.count(F.when(side == "train", 1)).alias("n_train"),
+                 F.count(F.when(side == "test", 1)).alias("n_test"))
 
 
 @register("horizon_models")
@@ -136,11 +162,12 @@ def horizon_models(spark, sf_dir):
 
 @register("label_shuffle_check")
 def label_shuffle_check(spark, sf_dir):
-    """Accuracy of a model refit on permuted labels (leakage sanity check)."""
+    """Accuracy of a model refit on permuted labels, against the permuted labels of the
+    training and the test rows (leakage sanity check)."""
     f, m = model_frame(spark, sf_dir)
-    acc, warn = MD.label_shuffle_check(f.where(F.col("split") == "train"), f.where(F.col("split") == "test"),
+    at_train, acc, warn = MD.label_shuffle_check(f.where(F.col("split") == "train"), f.where(F.col("split") == "test"),
                                        m.feature_names, "label", KEY)
-    return spark.createDataFrame([(acc, warn)], "shuffled_accuracy double, leakage_warning boolean")
+    return spark.createDataFrame([(at_train, acc, warn)], "train_accuracy double, shuffled_accuracy double, leakage_warning boolean")
 
 
 @register("score_batch")
@@ -161,6 +188,14 @@ def score_batch(spark, sf_dir):
     return bundle.score(req)
 
 
+@register("score_batch_errors", """
+SELECT c_custkey AS entity_id, CASE WHEN c_custkey % 11 = 0 THEN 'Missing required field: gender' END AS error,
+       c_custkey % 11 <> 0 AS scored FROM customer""")
+def score_batch_errors(spark, sf_dir):
+    """R1/R2 without the probabilities: every request once, its error, and whether it got a score."""
+    return score_batch(spark, sf_dir).select(KEY, "error", F.col("probability").isNotNull().alias("scored"))
+
+
 @register("score_batch_summary")
 def score_batch_summary(spark, sf_dir):
     """R2 counts (processed / failed / total) and the test AUC of the Day-0 scores."""
@@ -186,7 +221,7 @@ def model_info(spark, sf_dir):
     names = day0_feature_names(m.feature_names)
     train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
     fitted_models = {"lr": MD.train_logistic(train, names, "label"),
-                     "rf": MD.train_random_forest(train, names, "label", numTrees=30)}
+                     "rf": MD.train_random_forest(train, names, "label")}
     aucs = {k: rm(MD.score(v, test, names), "label", "score").first()["roc_auc"] for k, v in fitted_models.items()}
     best = MD.choose_best(aucs)
     path = scratch_path(spark, "bundle-info")

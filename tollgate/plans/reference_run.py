@@ -127,7 +127,7 @@ def run_analysis(spark: SparkSession, people: DataFrame, step_log: DataFrame, ou
     imp = MD.feature_importances(fitted[best], names, spark) if best != "lr" else None
     if imp is not None:
         sinks.write_small(imp, os.path.join(out_dir, f"feature_importance_{best}"))           # K3
-    shuffled_acc, leak = MD.label_shuffle_check(tr, te, names, "label", "entity_id")          # M11
+    shuffled_train_acc, shuffled_acc, leak = MD.label_shuffle_check(tr, te, names, "label", "entity_id")          # M11
     avail = audit.availability_table(feats, names, REFERENCE_SPEC)
     sinks.write_json_report(audit.availability_report(avail), os.path.join(out_dir, "feature_availability"))  # K4
     overall = stats.overall_failure_rate(tracked)
@@ -142,7 +142,7 @@ def run_analysis(spark: SparkSession, people: DataFrame, step_log: DataFrame, ou
     sinks.write_policy_summary(parts, os.path.join(out_dir, "policy_summary"))                # K5
     sinks.write_markdown(parts, os.path.join(out_dir, "policy_summary_md"))
     return {**out, "tracked": tracked, "metrics": metrics, "best_model": best,
-            "shuffled_accuracy": shuffled_acc, "leakage_warning": leak, "features": feats, "feature_model": fm}
+            "shuffled_accuracy": shuffled_acc, "shuffled_train_accuracy": shuffled_train_acc, "leakage_warning": leak, "features": feats, "feature_model": fm}
 
 
 def train_deployment(spark: SparkSession, tracked: DataFrame, out_dir: str, folds: int = 3) -> dict:
