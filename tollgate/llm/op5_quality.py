@@ -41,8 +41,8 @@ class Limits:
 
     min_words: int = 10
     max_repeat_words_percent: int = 20
-    ngram_chars: tuple = ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10))
-    line_chars: float = 0.20
+    ngram_chars: tuple = ((5, 0.20), (6, 0.19), (7, 0.18), (8, 0.17), (9, 0.16), (10, 0.15))
+    line_chars: float = 0.30
     max_symbol_share: float = 0.30
 
 
@@ -202,6 +202,44 @@ def keep(docs: DataFrame, limits: Limits = Limits(), text: str = "text") -> Data
     return docs.mapInArrow(run, docs.schema)
 
 
-@register("op5_quality_rules")
+def oracle(limits: Limits = Limits()) -> str:
+    """The same measures in SQL: n-grams as joined strings, coverage by sliding windows."""
+    lengths = sorted({5, *(n for n, _ in limits.ngram_chars)})
+    blank = r"[^\x20\x09-\x0D]"
+
+    def gram(n):
+        return " || ' ' || ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, n)]])
+    shares = [f"coalesce(CAST(c.chars{n} AS DOUBLE), 0) / greatest(c.word_chars, 1) AS dup_{n}gram_share" for n, _ in limits.ngram_chars]
+    inside = " AND ".join(f"dup_{n}gram_share <= {most}" for n, most in limits.ngram_chars)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '{blank}+') AS ws FROM documents),
+w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT rid, i, word, {', '.join(f'{gram(n)} AS g{n}' for n in lengths)} FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+u AS (SELECT rid, i, word, {', '.join(f'g{n} IS NOT NULL AND count(*) OVER (PARTITION BY rid, g{n}) > 1 AS u{n}' for n in lengths)} FROM g),
+v AS (SELECT rid, length(word) AS n, {', '.join(
+        f'bool_or(u{n}) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS v{n}' for n in lengths)} FROM u),
+c AS (SELECT rid, count(*) AS n_words, sum(n) AS word_chars, count(*) FILTER (WHERE v5) AS n_repeat_words,
+             {', '.join(f'sum(n) FILTER (WHERE v{n}) AS chars{n}' for n in lengths)} FROM v GROUP BY rid),
+x AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+y AS (SELECT rid, line, row_number() OVER (PARTITION BY rid, line) > 1 AS again FROM x WHERE regexp_matches(line, '{blank}')),
+z AS (SELECT rid, count(*) FILTER (WHERE again) AS n_dup_lines,
+             CAST(coalesce(sum(strlen(line)) FILTER (WHERE again), 0) AS DOUBLE) / greatest(sum(strlen(line)), 1) AS dup_line_share
+      FROM y GROUP BY rid),
+m AS (SELECT doc_id, coalesce(c.n_words, 0) AS n_words, CAST(coalesce(c.word_chars, 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(z.n_dup_lines, 0) AS n_dup_lines,
+             coalesce(c.n_repeat_words, 0) AS n_repeat_words, coalesce(z.dup_line_share, 0) AS dup_line_share,
+             {', '.join(shares).replace('greatest(c.word_chars, 1)', 'greatest(coalesce(c.word_chars, 0), 1)')}
+      FROM d LEFT JOIN c USING (rid) LEFT JOIN z USING (rid)),
+f AS (SELECT *, n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_words_percent} * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND dup_line_share <= {limits.line_chars} AND n_symbols <= CAST({limits.max_symbol_share} AS DOUBLE) * n_words
+          AND {inside} AS kept FROM f
+"""
+
+
+ORACLE = oracle()
+
+
+@register("op5_quality_rules", ORACLE)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measures(table(spark, sf_dir, "documents"))
