@@ -67,6 +67,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     per round, and the edge set only shrinks towards one star per component.  Nothing
     is collected but two numbers per round."""
 
+    checkpoint_dir(edges.sparkSession)
+
     def fixed(e: DataFrame) -> tuple[DataFrame, tuple]:
         e = e.checkpoint()
         row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
