@@ -62,6 +62,21 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
                     f1.alias("f1"), "brier", "tp", "fp", "tn", "fn")
 
 
+EVALUATION = "model string, accuracy double, precision double, recall double, f1 double, roc_auc double, brier double, n long"
+
+
+def evaluation(scored: DataFrame, models) -> DataFrame:
+    """One row per model of a long (model, label, score) table: threshold metrics at 0.5, AUC,
+    Brier score and rows."""
+    rows = []
+    for name in models:
+        s = predictions(scored.where(F.col("model") == name))
+        b, r = binary_metrics(s).first(), ranking_metrics(s).first()
+        rows.append((name, b["accuracy"], b["precision"], b["recall"], b["f1"], r["roc_auc"], b["brier"],
+                     b["tp"] + b["fp"] + b["tn"] + b["fn"]))
+    return scored.sparkSession.createDataFrame(rows, EVALUATION)
+
+
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """E5: the four cells [[tn, fp], [fn, tp]] as rows (actual, predicted, n); empty
     cells are present with n = 0."""

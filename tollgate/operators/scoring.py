@@ -11,17 +11,19 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (GBTClassificationModel, LogisticRegressionModel,
                                        RandomForestClassificationModel)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..spec import CascadeSpec, StepWindow
 from .features import FeatureModel, apply_moments, ensure_parity, vector_column
 from .metrics import risk_band
+from .models import score_calibrated
 from .prep import validate_required
 
 REQUIRED = ("gender", "state", "district", "urban_rural", "anchor_ts")
@@ -31,10 +33,14 @@ MODEL_CLASSES = {c.__name__: c for c in (LogisticRegressionModel, RandomForestCl
 
 @dataclass
 class ScoringBundle:
+    """A fitted feature model with one classifier, or with calibrated (classifier,
+    isotonic map) pairs whose mean is the score (``model`` is then None)."""
+
     features: FeatureModel
     model: object
     names: list            # Day-0 feature names the model was trained on
     metadata: dict
+    pairs: list = field(default_factory=list)
 
     def score(self, requests: DataFrame, key: str = "entity_id", required=REQUIRED,
               threshold: float = 0.5) -> DataFrame:
@@ -46,8 +52,10 @@ class ScoringBundle:
         if self.features.moments:
             f = apply_moments(f, {n: self.features.moments[n] for n in self.names if n in self.features.moments})
         f = f.na.fill(0.0, subset=list(self.names))
-        s = self.model.transform(vector_column(f, self.names))
-        p = vector_to_array(F.col("probability"))[1]
+        if self.pairs:
+            s, p = score_calibrated(self.pairs, f, self.names, key, out="__p"), F.col("__p")
+        else:
+            s, p = self.model.transform(vector_column(f, self.names)), vector_to_array(F.col("probability"))[1]
         good = s.select(key, (p >= F.lit(threshold)).cast("int").alias("prediction"),
                         F.when(p >= F.lit(threshold), F.lit("failure")).otherwise(F.lit("success"))
                         .alias("predicted_class"),
@@ -60,11 +68,16 @@ class ScoringBundle:
         """Model with MLlib's writer, lookups as parquet, metadata as one JSON line --
         all through Spark writers so the path may be on a shared file system."""
         spark = self.features.rates.sparkSession
-        self.model.write().overwrite().save(os.path.join(path, "model"))
+        if self.model is not None:
+            self.model.write().overwrite().save(os.path.join(path, "model"))
+        for i, (base, iso) in enumerate(self.pairs):
+            base.write().overwrite().save(os.path.join(path, f"pair{i}", "base"))
+            iso.write().overwrite().save(os.path.join(path, f"pair{i}", "isotonic"))
         self.features.rates.write.mode("overwrite").parquet(os.path.join(path, "rates"))
         self.features.codes.write.mode("overwrite").parquet(os.path.join(path, "codes"))
         fm = self.features
-        meta = dict(self.metadata, model_class=type(self.model).__name__, names=list(self.names),
+        meta = dict(self.metadata, model_class=type(self.model).__name__ if self.model is not None else None,
+                    pair_classes=[type(base).__name__ for base, _ in self.pairs], names=list(self.names),
                     feature_names=list(fm.feature_names), moments={k: list(v) for k, v in fm.moments.items()},
                     target=fm.target, rate_cols=list(fm.rate_cols), code_cols=list(fm.code_cols),
                     null_label=fm.null_label, enrol_col=fm.enrol_col,
@@ -77,7 +90,10 @@ class ScoringBundle:
     def load(cls, spark: SparkSession, path: str) -> "ScoringBundle":
         """Load once per job (never per row)."""
         meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()["value"])
-        model = MODEL_CLASSES[meta["model_class"]].load(os.path.join(path, "model"))
+        model = MODEL_CLASSES[meta["model_class"]].load(os.path.join(path, "model")) if meta["model_class"] else None
+        pairs = [(MODEL_CLASSES[c].load(os.path.join(path, f"pair{i}", "base")),
+                  IsotonicRegressionModel.load(os.path.join(path, f"pair{i}", "isotonic")))
+                 for i, c in enumerate(meta["pair_classes"])]
         spec = CascadeSpec(steps=tuple(StepWindow(*s) for s in meta["spec"]["steps"]),
                            mode=meta["spec"]["mode"], policy=meta["spec"]["policy"])
         fm = FeatureModel(spec, meta["target"], tuple(meta["rate_cols"]), tuple(meta["code_cols"]),
@@ -86,11 +102,12 @@ class ScoringBundle:
                           feature_names=meta["feature_names"],
                           moments={k: tuple(v) for k, v in meta["moments"].items()},
                           null_label=meta["null_label"], enrol_col=meta["enrol_col"])
-        return cls(fm, model, meta["names"], meta)
+        return cls(fm, model, meta["names"], meta, pairs)
 
     def info(self, spark: SparkSession) -> DataFrame:
         """Model information as a one-row table."""
-        return spark.createDataFrame([(type(self.model).__name__, len(self.names), ",".join(self.names),
+        kind = type(self.model).__name__ if self.model is not None else f"calibrated {type(self.pairs[0][0]).__name__}"
+        return spark.createDataFrame([(kind, len(self.names), ",".join(self.names),
                                        json.dumps({k: v for k, v in self.metadata.items()}))],
                                      "model string, num_features int, features string, metadata string")
 

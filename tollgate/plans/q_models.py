@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, models as MD, splits
 from ..operators.features import day0_feature_names
-from ..operators.metrics import ranking_metrics
+from ..operators.metrics import evaluation, ranking_metrics
 from ..operators.scoring import ScoringBundle, scoring_summary
 from ..session import scratch_path
 from .catalog import register
@@ -73,6 +73,19 @@ def calibrated_suite(spark, sf_dir):
     return out
 
 
+@register("day0_evaluation")
+def day0_evaluation(spark, sf_dir):
+    """M7: accuracy, precision, recall, F1, AUC and Brier score of each calibrated Day-0 model
+    on the test split."""
+    return evaluation(calibrated_suite(spark, sf_dir).checkpoint(eager=True), ("lr", "rf", "gbt"))
+
+
+@register("diagnostic_evaluation")
+def diagnostic_evaluation(spark, sf_dir):
+    """M8: the same measures of the diagnostic model (boosted trees on all features)."""
+    return evaluation(train_gbt(spark, sf_dir).checkpoint(eager=True), ("gbt",))
+
+
 @register("cv_auc")
 def cv_auc(spark, sf_dir):
     """M2: 5-fold stratified cross-validated AUC of LR on the training split."""

@@ -147,23 +147,22 @@ def run_analysis(spark: SparkSession, people: DataFrame, step_log: DataFrame, ou
 
 def train_deployment(spark: SparkSession, tracked: DataFrame, out_dir: str, folds: int = 3) -> dict:
     """Entry 2: Day-0 feature set, each of LR / RF / GBT calibrated over ``folds`` folds,
-    the chosen one saved as a scoring bundle (K7)."""
+    each saved with its calibration as a scoring bundle, the preferred one named (K7)."""
     sp = splits.stratified_split(tracked, "entity_id", TARGET).checkpoint(eager=True)
     train = sp.where(F.col("split") == "train")
     fm = FE.FeatureModel.fit(train, REFERENCE_SPEC, TARGET, enrol_col="enrolment_date")
     feats = fm.transform(sp).withColumn("label", F.col(TARGET).cast("int")).checkpoint(eager=True)
     names = FE.day0_feature_names(fm.feature_names)
     tr, te = feats.where(F.col("split") == "train"), feats.where(F.col("split") == "test")
-    aucs = {}
+    aucs, paths = {}, {}
     for base in ("lr", "rf", "gbt"):
         pairs = MD.fit_calibrated(tr, names, "label", "entity_id", base=base, folds=folds)
         s = MD.score_calibrated(pairs, te.select("entity_id", "label", *names), names, "entity_id")
         aucs[base] = M.ranking_metrics(s).first()["roc_auc"]
+        paths[base] = os.path.join(out_dir, "bundles", base)
+        scoring.ScoringBundle(fm, None, names, {"model": base, "day0_auc": aucs[base]}, pairs).save(paths[base])
     best = MD.choose_best(aucs)
-    model = MD.TRAINERS[best](tr, names, "label")
-    path = os.path.join(out_dir, "bundle")
-    scoring.ScoringBundle(fm, model, names, {"model": best, "day0_auc": aucs}).save(path)
-    return {"aucs": aucs, "best": best, "bundle": path}
+    return {"aucs": aucs, "best": best, "bundle": paths[best], "bundles": paths}
 
 
 def score_files(spark: SparkSession, bundle_path: str, input_path: str, output_path: str,
