@@ -83,6 +83,16 @@ def test_query_meets_targets_and_keeps_good_documents(spark):
     assert all(abs(r.p_good + r.p_poor + r.p_toxic - 1) < 1e-9 and r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in rows)
 
 
+def reached(rows, domains=("good", "poor", "toxic")):
+    """Shares of the expected tokens at the rates."""
+    got = np.array([sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rows) for d in domains])
+    return got / got.sum()
+
+
+def test_query_reaches_the_shares(spark):
+    assert np.abs(reached(M.op3_mix_sources(spark, SF).collect()) - [0.97, 0.02, 0.01]).max() <= 1e-3
+
+
 def test_copies_round_without_bias():
     rate = np.full(20_000, 1.3)
     n = M._copies(rate, list(range(20_000)))
