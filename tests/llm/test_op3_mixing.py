@@ -63,6 +63,31 @@ def test_unreachable_targets_settle(spark):
     assert loss(r) <= loss(long) + 0.01 * loss(np.ones(len(p)))
 
 
+def test_bounded_rates_move_scarce_shares_to_their_targets(spark):
+    """Scarce c, and nothing above its target: the clipped targets left every rate at 1."""
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.5, 0.5, 0.01], 400) * [1, 1, 0.3]
+    p /= p.sum(axis=1, keepdims=True)
+    n = rng.integers(1, 500, 400).astype(float)
+    have = n @ p
+    want = np.array([have[0], have[1], 1.5 * have[2]]) / (n.sum() + 0.5 * have[2])
+    scored = spark.createDataFrame([(i, int(t), x.tolist()) for i, (t, x) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
+    assert M.fit(scored, ("a", "b", "c"), dict(zip("abc", want)), "a") == []
+    r = M.rates(p, M.fit(scored, ("a", "b", "c"), dict(zip("abc", want)), "a", most=M.MOST), M.MOST)
+    got = (r * n) @ p
+    assert r.min() >= 0 and 1 < r.max() <= M.MOST
+    assert np.abs(got / got.sum() - want).max() <= 1e-3 and abs(got[0] / have[0] - 1) <= 1e-3
+
+
+def test_bounded_rates_leave_out_domains_without_tokens(spark):
+    scored, p, n = scored_frame(spark, seed=4)
+    p = np.c_[p[:, :2] / p[:, :2].sum(axis=1, keepdims=True), np.zeros(len(p))]
+    scored = spark.createDataFrame([(i, int(t), x.tolist()) for i, (t, x) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
+    r = M.rates(p, M.fit(scored, ("a", "b", "c"), {"a": 0.6, "b": 0.2, "c": 0.2}, "a", most=M.MOST), M.MOST)
+    got = (r * n) @ p
+    assert np.abs(got / got.sum() - [0.75, 0.25, 0]).max() <= 1e-3
+
+
 def test_held_out_accuracy(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     training = labels.where("doc_id % 3 <> 0")

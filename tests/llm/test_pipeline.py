@@ -60,6 +60,26 @@ def test_run_matches_brute_force(spark, tmp_path):
     assert got == brute(rows, lambda d: 1)
 
 
+def test_run_mixes_several_domains(spark, tmp_path):
+    """run() against brute force with labelled good, poor and toxic texts and rates other than 1."""
+    rng = random.Random(5)
+    words = {d: [f"{d}{i}" for i in range(400)] for d in ("good", "poor", "toxic")}
+    kind = ["good"] * 60 + ["poor"] * 2 + ["toxic"] * 18  # poor is scarce, toxic is plentiful
+    rows = [(i, " ".join(rng.choice(words[d] + words["good"][:50]) for _ in range(120))) for i, d in enumerate(kind)]
+    folder = put(documents(spark, rows), tmp_path, "documents")
+    labels = labelled(spark, [(i, int(d != "poor"), int(d == "toxic")) for i, d in enumerate(kind)])
+    put(labels, tmp_path, "labels")
+    kept = [(d, t) for d, _, _, t in lines([r for r in rows if quality(r[1])[-1]])]
+    rates = {r.doc_id: r for r in M.document_rates(spark, documents(spark, kept), labels).collect()}
+    got = sorted(map(tuple, P.run(spark, folder).collect()), key=repr)
+    assert got == brute(rows, lambda d: rates[d].copies)
+    rate = {d: [rates[i].rate for i, x in enumerate(kind) if x == d] for d in words}
+    assert max(rate["toxic"]) < 0.6 and np.mean(rate["good"]) > 0.9 and max(map(max, rate.values())) <= M.MOST
+    share = {d: sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in rates.values()) for d in words}
+    whole = sum(share.values())
+    assert all(abs(share[d] / whole - M.TARGETS[d]) <= 5e-3 for d in words)
+
+
 def test_stages_keep_the_columns_of_documents(spark, tmp_path):
     docs = documents(spark, rows_())
     put(labelled(spark, [(i, i % 2, 0) for i in range(40)]), tmp_path, "labels")

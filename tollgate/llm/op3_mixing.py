@@ -12,16 +12,18 @@
    iteration is one pass over (tokens, posterior) that returns one number per domain; a rate
    follows from the residuals of all iterations, so no rate table is written in between.
 3. Targets are weights times a total.  Without a given total, the anchor domain keeps its
-   tokens (total = its expected tokens / its weight), and a domain that has less than its
-   target keeps what it has: documents are not repeated to fill it.  With a given total all
-   targets hold as they are, and scarce domains are repeated.
+   tokens (total = its expected tokens / its weight) and no document is used more than ``MOST``
+   times: rates are held in [0, MOST], residuals are weighted by the inverse targets, so shares
+   that such rates cannot reach come as near as they can in the chi-square distance.  Domains
+   without tokens drop out and the others share their weight.  With a given total all targets
+   hold as they are, and scarce domains are repeated.
 
 ``copies`` rounds a rate by a hash of the doc_id: floor(rate), and one more with the
 probability of the rest.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``.  Defined cases: null or empty texts have no tokens and
 the posterior of an empty text; labels that are null, of unknown documents or repeated (the
-smallest counts) do no harm; without labels the posterior is even, with one labelled domain it
+smallest counts) do no harm; without labels the posterior is even and all rates are 1, with one labelled domain it
 is that domain's; targets that no rates can meet bring the rates close after ``ITERATIONS``; without tokens all rates are 1;
 null doc_ids and repeated rows are each weighted; empty tables give empty results; ``mixed``
 keeps other columns.
@@ -30,7 +32,7 @@ keeps other columns.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -54,6 +56,8 @@ TOLERANCE = 1e-4
 #: Domain -> share of the tokens.
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 ANCHOR = "good"
+#: How often a document is used at most, without a given total.
+MOST = 2.0
 
 
 def label_domain() -> Column:
@@ -78,6 +82,11 @@ class Classifier:
     weights: np.ndarray = field(repr=False)  # chosen slots + 1 by domains
     biases: np.ndarray = field(repr=False)
 
+    @property
+    def unlabelled(self) -> bool:
+        """No labelled document: nothing tells the domains apart."""
+        return len(self.weights) == 1 and not self.biases.any()
+
     def posterior(self, slots: np.ndarray) -> np.ndarray:
         z = self.biases + self.weights[np.unique(self.place[slots])].sum(axis=0)
         p = np.exp(z - z.max())
@@ -141,24 +150,24 @@ def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, n_tokens long, p array<double>")
 
 
-def _replay(p: np.ndarray, steps: list) -> tuple[np.ndarray, np.ndarray]:
+def _replay(p: np.ndarray, steps: list, most: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
     """Rates after the given steps (one vector over domains each) for rows of posteriors, and
     the point ahead of them at which the next gradient is taken (Nesterov's acceleration)."""
     r = ahead = np.ones(len(p))
     t = 1.0
     for step in steps:
-        new = np.maximum(0.0, ahead - p @ step)
+        new = np.clip(ahead - p @ step, 0.0, most)
         after = (1 + (1 + 4 * t * t) ** 0.5) / 2
         ahead = new + (t - 1) / after * (new - r)
         r, t = new, after
     return r, ahead
 
 
-def rates(p: np.ndarray, steps: list) -> np.ndarray:
-    return _replay(p, steps)[0]
+def rates(p: np.ndarray, steps: list, most: float = np.inf) -> np.ndarray:
+    return _replay(p, steps, most)[0]
 
 
-def _totals(scored: DataFrame, k: int, steps: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _totals(scored: DataFrame, k: int, steps: list, most: float = np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected tokens of each domain at the rates after ``steps`` and at the point ahead, and
     the k by k matrix of tokens times posterior times posterior."""
 
@@ -167,7 +176,7 @@ def _totals(scored: DataFrame, k: int, steps: list) -> tuple[np.ndarray, np.ndar
         for batch in batches:
             n = batch.column(0).to_numpy(zero_copy_only=False).astype(float)
             p = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(-1, k)
-            r, ahead = _replay(p, steps)
+            r, ahead = _replay(p, steps, most)
             total[:k] += (r * n) @ p
             total[k:2 * k] += (ahead * n) @ p
             total[2 * k:] += ((p * n[:, None]).T @ p).ravel()
@@ -180,28 +189,37 @@ def _totals(scored: DataFrame, k: int, steps: list) -> tuple[np.ndarray, np.ndar
 
 
 def fit(scored: DataFrame, domains: tuple, targets: dict, anchor: str, total: float | None = None,
-        iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> list:
-    """The steps of the projected gradient; ``rates`` turns them into rates."""
+        iterations: int = ITERATIONS, tolerance: float = TOLERANCE, most: float = np.inf) -> list:
+    """The steps of the projected gradient; ``rates`` turns them into rates.  With a finite
+    ``most`` all targets hold as they are and rates stay below it; else, without a total, a
+    target above what a domain has is replaced by that."""
     k = len(domains)
     weights = np.array([targets[d] for d in domains], float)
     have, ahead, h = _totals(scored, k, [])
     tokens = have.sum()
     if not tokens:
         return []
-    at, scarce_stays = domains.index(anchor), total is None
+    bounded = most < np.inf
+    if bounded:
+        weights = np.where(have > 1e-9 * tokens, weights, 0.0)
+        if not weights.sum():
+            return []
+    at, scarce_stays = domains.index(anchor), total is None and not bounded
     if total is None:
-        total = have[at] / (weights[at] / weights.sum()) if have[at] else tokens
+        total = have[at] / (weights[at] / weights.sum()) if have[at] and weights[at] else tokens
     goal = weights / weights.sum() * total
     if scarce_stays:
         goal = np.minimum(goal, have)
     scale = 1 / np.maximum(np.diag(h), 1e-12 * tokens)  # residuals count by the mass of their domain
+    if bounded:  # by their targets; not those of domains without tokens
+        scale = np.where(have > 1e-9 * tokens, 1 / np.maximum(goal, 1e-3 * total), 0.0)
     root = np.sqrt(scale)
     step_size = 1 / max(np.linalg.eigvalsh(root[:, None] * h * root[None, :])[-1], 1e-12)
     steps: list = []
     while len(steps) < iterations and np.abs(have - goal).max() > tolerance * total:
         steps.append(step_size * scale * (ahead - goal))
         before = have
-        have, ahead, _ = _totals(scored, k, steps)
+        have, ahead, _ = _totals(scored, k, steps, most)
         if np.abs(have - before).max() <= 1e-2 * tolerance * total:  # as near as rates can come
             break
     return steps
@@ -213,24 +231,26 @@ def _copies(rate: np.ndarray, ids: list) -> np.ndarray:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict | None = None, anchor: str = ANCHOR,
-            total: float | None = None) -> tuple[Classifier, DataFrame, list]:
-    """The classifier, the written table of posteriors, and the steps of the fit."""
+            total: float | None = None) -> tuple[Classifier, DataFrame, Callable]:
+    """The classifier, the written table of posteriors, and the fitted rates of posteriors."""
     targets = targets or TARGETS
     classifier = train(docs, labels, label_domain(), tuple(sorted(targets)))
     scored = written(spark, posteriors(docs, classifier), "mix-posteriors")
-    return classifier, scored, fit(scored, classifier.domains, targets, anchor, total)
+    most = MOST if total is None else np.inf
+    steps = [] if classifier.unlabelled else fit(scored, classifier.domains, targets, anchor, total, most=most)
+    return classifier, scored, lambda p: rates(p, steps, most)
 
 
 def document_rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict | None = None,
                    anchor: str = ANCHOR, total: float | None = None) -> DataFrame:
     """doc_id, domain (the likeliest), n_tokens, p_<domain>, rate and copies of every row."""
-    classifier, scored, steps = mixture(spark, docs, labels, targets, anchor, total)
+    classifier, scored, fitted = mixture(spark, docs, labels, targets, anchor, total)
     domains = classifier.domains
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = np.array(batch.column(2).flatten().to_numpy(zero_copy_only=False)).reshape(-1, len(domains))
-            rate = rates(p, steps)
+            rate = fitted(p)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([domains[i] for i in p.argmax(axis=1)], pa.string()), batch.column(1),
                 *[pa.array(p[:, i]) for i in range(len(domains))], pa.array(rate), pa.array(_copies(rate, batch.column(0).to_pylist()))],
@@ -243,13 +263,13 @@ def document_rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, targ
 def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict | None = None, anchor: str = ANCHOR,
           total: float | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as its copies say."""
-    classifier, _, steps = mixture(spark, docs, labels, targets, anchor, total)
+    classifier, _, fitted = mixture(spark, docs, labels, targets, anchor, total)
     at, key = docs.columns.index("text"), docs.columns.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, at):
             p = np.array([classifier.posterior(features(t)[0]) for t in texts])
-            n = _copies(rates(p, steps), batch.column(key).to_pylist())
+            n = _copies(fitted(p), batch.column(key).to_pylist())
             yield batch.take(pa.array(np.repeat(np.arange(len(n)), n)))
 
     return docs.mapInArrow(run, docs.schema)
