@@ -63,6 +63,29 @@ def test_unreachable_targets_settle(spark):
     assert loss(r) <= loss(long) + 0.01 * loss(np.ones(len(p)))
 
 
+@pytest.mark.parametrize("share", [1.0, 0.9])
+def test_unreachable_targets_give_the_least_squares(spark, share):
+    scored, p, n = scored_frame(spark, seed=7)
+    weights, total = np.array([share, 0.9999 - share if share < 1 else 0.0, 0.0001 if share < 1 else 0.0]), 3 * float(n.sum())
+    r = M.rates(p, M.fit(scored, ("a", "b", "c"), dict(zip("abc", weights)), "a", total=total, most=M.MOST), M.MOST)
+    goal, h = weights * total, (p * n[:, None]).T @ p
+    scale = 1 / np.maximum(goal, 1e-3 * total)
+    eta = 1 / np.linalg.eigvalsh(np.sqrt(scale)[:, None] * h * np.sqrt(scale)[None, :])[-1]
+    x = np.ones(len(p))
+    for _ in range(20_000):
+        x = np.clip(x - eta * (p @ (scale * ((x * n) @ p - goal))), 0, M.MOST)
+
+    def loss(x):
+        return float((((x * n) @ p - goal) ** 2 * scale).sum())
+    assert loss(x) > 1e-3 * loss(np.ones(len(p))) and loss(r) <= 1.05 * loss(x)
+
+
+def test_unsettled_fit_warns(spark):
+    scored, _, n = scored_frame(spark, seed=1)
+    with pytest.warns(UserWarning, match="not settled after 3 iterations"):
+        assert len(M.fit(scored, ("a", "b", "c"), {"a": 1.0, "b": 0.0, "c": 0.0}, "a", total=float(n.sum()), iterations=3)) == 3
+
+
 def test_bounded_rates_move_scarce_shares_to_their_targets(spark):
     """Scarce c, and nothing above its target: the clipped targets left every rate at 1."""
     rng = np.random.default_rng(3)
