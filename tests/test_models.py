@@ -59,3 +59,71 @@ def test_calibrated_scores_keep_rows_and_columns(spark):
     both = df.unionByName(df)                                    # repeated keys do not multiply
     s = MD.score_calibrated(pairs, both, ["x1"], "k")
     assert s.columns == ["k", "x1", "y", "score"] and s.count() == 240
+
+
+def anchorless_table(spark, n=240):
+    """Tracked entities; every 40th has no anchor and no step, so its anchor features are NULL."""
+    return spark.range(n).selectExpr(
+        "id AS entity_id", "CASE WHEN id % 40 <> 0 THEN timestamp'2020-01-01' + make_interval(0, 0, 0, cast(id % 700 as int)) END AS anchor_ts",
+        "concat('s', id % 3) AS state", "concat('d', id % 6) AS district", "if(id % 2 = 0, 'Urban', 'Rural') AS urban_rural",
+        "if(id % 5 < 2, 'M', 'F') AS gender",
+        *[x for s, m in (("a", 7), ("b", 4)) for x in (
+            f"if(id % 40 <> 0 AND id % {m} > 1, cast(id % {m} * 3 as long), NULL) AS {s}_days_after_anchor",
+            f"id % 40 <> 0 AND id % {m} > 2 AS {s}_in_window", f"id % 40 <> 0 AND id % {m} > 1 AS {s}_updated")],
+        "id % 40 = 0 OR id % 7 <= 2 AS transition_failure")
+
+
+@pytest.fixture(scope="module")
+def anchorless(spark):
+    from tollgate.operators import features as FE
+    from tollgate.spec import CascadeSpec, StepWindow
+    df = anchorless_table(spark)
+    spec = CascadeSpec(steps=(StepWindow("a", "a", 0, 10), StepWindow("b", "b", 0, 10)))
+    fm = FE.FeatureModel.fit(df.where("entity_id >= 10"), spec)
+    f = fm.transform(df).withColumn("label", F.col("transition_failure").cast("int")).checkpoint(eager=True)
+    return df, fm, f
+
+
+def test_missing_anchors_become_training_medians(spark, anchorless):
+    df, fm, f = anchorless
+    assert {"anchor_year", "anchor_month", "anchor_quarter", "anchor_dow"} <= set(fm.medians)
+    months = sorted(r[0] for r in df.where("entity_id >= 10 AND anchor_ts IS NOT NULL").select(F.month("anchor_ts")).collect())
+    k = len(months)
+    median = (months[(k - 1) // 2] + months[k // 2]) / 2
+    mean, sd = fm.moments["anchor_month"]
+    assert f.where("entity_id = 40").first()["anchor_month"] == pytest.approx((median - mean) / sd)
+    whole = f.agg(*[F.count(F.when(F.col(n).isNull() | F.isnan(F.col(n).cast("double")), 1)).alias(n) for n in fm.feature_names]).first()
+    assert f.count() == 240 and not any(whole)
+
+
+@pytest.mark.parametrize("kind, over", [("lr", {}), ("rf", {"numTrees": 5}), ("gbt", {"maxIter": 3})])
+def test_trainers_take_entities_without_anchor(spark, anchorless, kind, over):
+    _, fm, f = anchorless
+    model = MD.TRAINERS[kind](f, fm.feature_names, "label", **over)
+    s = MD.score(model, f, fm.feature_names).select("entity_id", "score").collect()
+    assert len(s) == 240 and all(0.0 <= r.score <= 1.0 for r in s)
+
+
+def test_calibration_and_saved_bundle_take_entities_without_anchor(spark, anchorless, tmp_path):
+    from tollgate.operators.scoring import ScoringBundle
+    df, fm, f = anchorless
+    names = [n for n in fm.feature_names if "anchor" in n or "_encoded" in n or "_target_rate" in n]
+    pairs = MD.fit_calibrated(f, names, "label", "entity_id", base="lr", folds=2)
+    assert MD.score_calibrated(pairs, f, names, "entity_id").count() == 240
+    ScoringBundle(fm, None, names, {"kind": "test"}, pairs).save(str(tmp_path / "bundle"))
+    loaded = ScoringBundle.load(spark, str(tmp_path / "bundle"))
+    assert loaded.features.medians == fm.medians
+    got = {r.entity_id: r for r in loaded.score(df).collect()}
+    assert len(got) == 240 and got[40].error == "Missing required field: anchor_ts"
+    assert all((r.probability is None) == (k % 40 == 0) for k, r in got.items())
+    free = {r.entity_id: r for r in loaded.score(df, required=("gender",)).collect()}  # medians stand in
+    want = {r.entity_id: r.score for r in MD.score_calibrated(pairs, f, names, "entity_id").collect()}
+    assert all(free[k].probability == pytest.approx(want[k]) for k in want)
+
+
+def test_infinite_values_count_as_missing(spark):
+    from tollgate.operators import features as FE
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("inf"),), (float("nan"),), (None,), (8.0,)], "x double")
+    med = FE.fit_medians(df, ["x"])
+    assert med == {"x": 3.0}
+    assert sorted(r.x for r in FE.apply_medians(df, med).collect()) == [1.0, 3.0, 3.0, 3.0, 3.0, 8.0]

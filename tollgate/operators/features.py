@@ -118,6 +118,7 @@ class FeatureModel:
     codes: DataFrame | None = None          # (col_name, value, code)
     feature_names: list = field(default_factory=list)
     moments: dict = field(default_factory=dict)   # name -> (mean, std_pop)
+    medians: dict = field(default_factory=dict)   # name -> training median, of features that can be missing
     null_label: str = "Unknown"
     enrol_col: str | None = None
     lookups: DataFrame | None = None        # (col_name, value, rate, code): rates and codes side by side
@@ -134,7 +135,10 @@ class FeatureModel:
         feats = m._unscaled(train)
         m.feature_names = select_feature_names(feats.columns, target)
         if scale:
-            m.moments = fit_moments(feats, m.feature_names)
+            feats = feats.select(*m.feature_names)
+            can_miss = [f.name for f in feats.schema if f.nullable]
+            m.medians = fit_medians(feats, can_miss) if can_miss else {}
+            m.moments = fit_moments(apply_medians(feats, m.medians), m.feature_names)
         return m
 
     # ------------------------------------------------------------ transform
@@ -148,9 +152,13 @@ class FeatureModel:
         if not self.feature_names:
             raise RuntimeError("FeatureModel is not fitted")
         out = ensure_parity(self._unscaled(df), self.feature_names)
-        if scale and self.moments:
-            out = apply_moments(out, self.moments)
-        return out
+        return self.finish(out, self.feature_names) if scale else out
+
+    def finish(self, df: DataFrame, names) -> DataFrame:
+        """F19 + F15 on unscaled features: training medians for missing values, then the
+        scaler, so a model matrix holds finite numbers only."""
+        out = apply_medians(df, {n: self.medians[n] for n in names if n in self.medians})
+        return apply_moments(out, {n: self.moments[n] for n in names if n in self.moments})
 
 
 def fit_target_rates(train: DataFrame, cols, target: str) -> DataFrame:
@@ -275,11 +283,10 @@ def fit_moments(df: DataFrame, names) -> dict:
 
 def apply_moments(df: DataFrame, moments: dict) -> DataFrame:
     """F15 apply: (x - mean) / std, std 0 (or undefined) -> divide by 1."""
-    out = df
-    for n, (m, s) in moments.items():
+    def scaled(n, m, s):
         sd = s if (s is not None and s != 0) else 1.0
-        out = out.withColumn(n, (F.col(n).cast("double") - F.lit(m if m is not None else 0.0)) / F.lit(sd))
-    return out
+        return (F.col(n).cast("double") - F.lit(m if m is not None else 0.0)) / F.lit(sd)
+    return df.withColumns({n: scaled(n, m, s) for n, (m, s) in moments.items()}) if moments else df
 
 
 def leakage_correlations(df: DataFrame, names, target: str = "transition_failure",
@@ -297,19 +304,19 @@ def leakage_correlations(df: DataFrame, names, target: str = "transition_failure
 def fit_medians(train: DataFrame, cols, exact: bool = True) -> dict:
     """F19 fit: per-column median of the training rows.  ``exact`` uses the distributed
     exact quantile (pandas/DuckDB interpolation); otherwise one ``percentile_approx``
-    pass over all columns."""
+    pass over all columns.  NaN and infinities count as missing."""
+    train = train.select(*[inf_to_null(c).alias(c) for c in cols])
     if exact:
         return exact_quantiles(train, cols, 0.5)
-    r = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100000).alias(c) for c in cols]).first()
+    r = train.agg(*[F.percentile_approx(F.col(c), 0.5, 100000).alias(c) for c in cols]).first()
     return {c: r[c] for c in cols}
 
 
 def apply_medians(df: DataFrame, medians: dict) -> DataFrame:
-    """F19 apply: NULL -> training median, then 0 when the median itself is NULL."""
-    out = df
-    for c, m in medians.items():
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double"), F.lit(0.0)))
-    return out
+    """F19 apply: missing (NULL, NaN, infinite) -> training median, then 0 when the median
+    itself is NULL."""
+    return df.withColumns({c: F.coalesce(inf_to_null(c), F.lit(m).cast("double"), F.lit(0.0)) for c, m in medians.items()
+                           if c in df.columns}) if medians else df
 
 
 def vector_column(df: DataFrame, names, out: str = "features") -> DataFrame:

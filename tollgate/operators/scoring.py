@@ -2,8 +2,8 @@
 
 Scoring is one plan over the whole request table: validate required fields (rows
 with errors are kept with an ``error`` message), derive Day-0 features with the
-fitted lookups, fill gaps with 0 (= the training mean after scaling), assemble, run
-the model and band the probability.  The same function serves a stream
+fitted lookups, fill gaps with the training medians, scale, assemble, run the model and
+band the probability.  The same function serves a stream
 (``streaming.stream_scores``) because it is a stateless transformation.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..spec import CascadeSpec, StepWindow
-from .features import FeatureModel, apply_moments, ensure_parity, vector_column
+from .features import FeatureModel, ensure_parity, vector_column
 from .metrics import risk_band
 from .models import score_calibrated
 from .prep import validate_required
@@ -48,10 +48,8 @@ class ScoringBundle:
         v = validate_required(requests, [c for c in required])
         ok = v.where(F.col("error").isNull())
         bad = v.where(F.col("error").isNotNull()).select(key, "error")
-        f = ensure_parity(self.features._unscaled(ok), self.names)
-        if self.features.moments:
-            f = apply_moments(f, {n: self.features.moments[n] for n in self.names if n in self.features.moments})
-        f = f.na.fill(0.0, subset=list(self.names))
+        f = self.features.finish(ensure_parity(self.features._unscaled(ok), self.names), self.names)
+        f = f.na.fill(0.0, subset=list(self.names))  # features fitted without medians
         if self.pairs:
             s, p = score_calibrated(self.pairs, f, self.names, key, out="__p"), F.col("__p")
         else:
@@ -78,7 +76,7 @@ class ScoringBundle:
         fm = self.features
         meta = dict(self.metadata, model_class=type(self.model).__name__ if self.model is not None else None,
                     pair_classes=[type(base).__name__ for base, _ in self.pairs], names=list(self.names),
-                    feature_names=list(fm.feature_names), moments={k: list(v) for k, v in fm.moments.items()},
+                    feature_names=list(fm.feature_names), moments={k: list(v) for k, v in fm.moments.items()}, medians=fm.medians,
                     target=fm.target, rate_cols=list(fm.rate_cols), code_cols=list(fm.code_cols),
                     null_label=fm.null_label, enrol_col=fm.enrol_col,
                     spec=dict(mode=fm.spec.mode, policy=fm.spec.policy,
@@ -100,7 +98,7 @@ class ScoringBundle:
                           rates=spark.read.parquet(os.path.join(path, "rates")),
                           codes=spark.read.parquet(os.path.join(path, "codes")),
                           feature_names=meta["feature_names"],
-                          moments={k: tuple(v) for k, v in meta["moments"].items()},
+                          moments={k: tuple(v) for k, v in meta["moments"].items()}, medians=meta["medians"],
                           null_label=meta["null_label"], enrol_col=meta["enrol_col"])
         return cls(fm, model, meta["names"], meta, pairs)
 

@@ -69,5 +69,6 @@ def hash_sample(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:
 
 
 def temporal_split(df: DataFrame, ts_col: str, cutoff_year: int) -> Column:
-    """Train on anchors before ``cutoff_year``, test on the rest."""
-    return F.when(F.year(F.col(ts_col)) < F.lit(cutoff_year), F.lit("train")).otherwise(F.lit("test"))
+    """Train on anchors before ``cutoff_year``, test on the later ones; NULL without anchor."""
+    year = F.year(F.col(ts_col))
+    return F.when(year < F.lit(cutoff_year), F.lit("train")).when(year >= F.lit(cutoff_year), F.lit("test"))

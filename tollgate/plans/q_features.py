@@ -184,16 +184,20 @@ def _scale_sql():
     mom = ", ".join(f"avg(CAST({n} AS DOUBLE)) AS m_{n}, stddev_pop(CAST({n} AS DOUBLE)) AS s_{n}" for n in names)
     sel = ", ".join(f"(CAST(f.{n} AS DOUBLE) - mo.m_{n}) / (CASE WHEN mo.s_{n} IS NULL OR mo.s_{n} = 0 "
                     f"THEN 1.0 ELSE mo.s_{n} END) AS {n}" for n in names)
+    meds = ", ".join(f"median(CAST({n} AS DOUBLE)) AS d_{n}" for n in names)
+    fill = ", ".join(f"coalesce(CAST(feat.{n} AS DOUBLE), md.d_{n}, 0.0) AS {n}" for n in names)
     inner = f"""{fitted_sql()},
-      mo AS (SELECT {mom} FROM feat WHERE split = 'train')
-      SELECT f.entity_id, f.split, {sel} FROM feat f, mo"""
+      md AS (SELECT {meds} FROM feat WHERE split = 'train'),
+      filled AS (SELECT feat.entity_id, feat.split, {fill} FROM feat, md),
+      mo AS (SELECT {mom} FROM filled WHERE split = 'train')
+      SELECT f.entity_id, f.split, {sel} FROM filled f, mo"""
     return rsql(inner, names)
 
 
 @register("standard_scale", _scale_sql())
 def standard_scale(spark, sf_dir):
-    """The full fitted feature matrix (41-style set) scaled with train
-    mean and population std (std 0 -> 1)."""
+    """The full fitted feature matrix (41-style set), missing values filled
+    with the training medians, scaled with train mean and population std (std 0 -> 1)."""
     s, m = fitted(spark, sf_dir)
     return m.transform(s).select("entity_id", "split", *m.feature_names)
 

@@ -138,7 +138,7 @@ def temporal_validation(spark, sf_dir):
 
 
 def _cutoff_year(df) -> int:
-    years = df.groupBy(F.year("anchor_ts").alias("y")).count().orderBy("y").collect()  # one row per year
+    years = df.where(F.col("anchor_ts").isNotNull()).groupBy(F.year("anchor_ts").alias("y")).count().orderBy("y").collect()  # one row per year
     half, seen = sum(r["count"] for r in years) / 2, 0
     for r in years:
         seen += r["count"]
@@ -201,9 +201,16 @@ def score_batch(spark, sf_dir):
     return bundle.score(req)
 
 
-@register("score_batch_errors", """
-SELECT c_custkey AS entity_id, CASE WHEN c_custkey % 11 = 0 THEN 'Missing required field: gender' END AS error,
-       c_custkey % 11 <> 0 AS scored FROM customer""")
+def _errors_sql():
+    """Each required field in turn, written out; ``gender`` is taken away from every 11th request."""
+    missing = {"gender": "(gender IS NULL OR entity_id % 11 = 0)", "state": "state IS NULL", "district": "district IS NULL",
+               "urban_rural": "urban_rural IS NULL", "anchor_ts": "anchor_ts IS NULL"}
+    whens = " ".join(f"WHEN {c} THEN 'Missing required field: {n}'" for n, c in missing.items())
+    return (f"{tracked_ctes('customers')} SELECT entity_id, CASE {whens} END AS error, "
+            f"NOT ({' OR '.join(missing.values())}) AS scored FROM tracked")
+
+
+@register("score_batch_errors", _errors_sql())
 def score_batch_errors(spark, sf_dir):
     """R1/R2 without the probabilities: every request once, its error, and whether it got a score."""
     return score_batch(spark, sf_dir).select(KEY, "error", F.col("probability").isNotNull().alias("scored"))
