@@ -2,6 +2,7 @@
 
 * ``table`` reads a driver table with Spark's reader, so any path Spark knows works.
 * ``shared_dir`` is the folder all executors see (``spark.checkpoint.dir``).
+* ``shuffles_removed`` frees the disk of finished jobs.
 * ``text_batches`` walks Arrow batches in slices of bounded size.
 * ``connected_components`` labels graph nodes with alternating star contractions.
 * ``chunked_rank`` numbers rows of a group from 0 without one task per group.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +42,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a job's shuffle files are removed once the table written from them is there.
+    The session's own setting returns afterwards."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: int, max_rows: int = 512,
                  max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches, each of at most ``max_rows`` rows and about ``max_bytes``

@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import pickle
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import ahocorasick
 import numpy as np
@@ -41,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import get_file, put_file, shared_dir, table, text_batches, written
+from .common import get_file, put_file, shared_dir, shuffles_removed, table, text_batches, written
 from .registry import register
 
 WINDOW = 50
@@ -54,18 +53,6 @@ NO_ID = 2**63 - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-@contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files are removed when the job that wrote a table from them is over."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -286,7 +273,7 @@ def _finish(texts_too: bool):
 def without_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, tile: int = TILE, texts: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words that stay, joined by single spaces; with
     ``texts`` False their sha256) of every row of ``docs`` (doc_id, text)."""
-    with _shuffles_go(spark):
+    with shuffles_removed(spark):
         marked, spans = repeated_spans(spark, docs, window, tile, texts)
     done = marked.where(F.col("ps").isNull()).select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("words" if texts else "digest").alias("kept"))
@@ -305,7 +292,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int, tile: int,
                        F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"))
     # 1. recurring phrases
     phrases = written(spark, base.select("did", "h", "t").mapInArrow(_found_anchors(window), ANCHORS), "repeat-anchors")
+    # written tables of their own: the joins below are then dealt anew, and a hot key's rows can be split
     recurring = phrases.groupBy("a").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("a")
+    recurring = written(spark, recurring, "repeat-phrases")
     hits = phrases.join(recurring, "a").groupBy("did", "h").agg(F.sort_array(F.collect_set("p")).alias("ps"))
     marked = written(spark, base.join(hits, ["did", "h"], "left").select("did", "h", "doc_id", "t", "ps")
                      .mapInArrow(_marked(texts), MARKED), "repeat-marked")
@@ -313,6 +302,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int, tile: int,
     suspects = marked.where(F.col("ps").isNotNull())
     windows = suspects.select("did", "h", "words", "ps").mapInArrow(_windows(window), WINDOWS)
     confirmed = windows.groupBy("w").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("w", "lo")
+    confirmed = written(spark, confirmed, "repeat-confirmed")
     found = written(spark, windows.join(confirmed, "w").select("did", "h", "pos", "lo"), "repeat-windows")
     owned = found.where("did = lo")
     shards = max(1, -(-owned.count() // SHARD_WINDOWS))
