@@ -49,8 +49,12 @@ def prose(seed, n, words="the cat sat on a mat Ünder new York city zoo"):
     return "".join(r.choice(words.split()) + r.choice([" ", " ", "  ", "\t", ", ", ".\n"]) for _ in range(n))
 
 
-@pytest.mark.parametrize("min_count, shard_words", [(5, 2_000_000), (3, 40), (9, 500)])
-def test_against_plain_counts(spark, min_count, shard_words):
+@pytest.mark.parametrize("min_count, shard_words, bits, summed", [(5, 2_000_000, 28, 256), (3, 40, 6, 4), (9, 500, 10, 2)])
+def test_against_plain_counts(spark, monkeypatch, min_count, shard_words, bits, summed):
+    """One shard or many; with room for every phrase in a bucket of its own or with few buckets."""
+    monkeypatch.setattr(P, "MOST_BUCKETS", bits)
+    monkeypatch.setattr(P, "PART_BITS", 5)
+    monkeypatch.setattr(P, "SUMMED_SHARDS", summed)
     rows = [("en" if i % 3 else "de", prose(i, 150)) for i in range(30)]
     rows += [("en", "new york city zoo " * 12), ("en", "New York City. " * 40), (None, "a b c " * 20), ("und", "a b c d a b"), ("fr", None), ("fr", ""),
              ("de", " \t\n ,.;"), ("en", "z" * 100_000), ("en", "q r s t u v " * 3_000), ("en", "\x00 \x1c x y " * 10)]
@@ -81,7 +85,7 @@ def test_index_intervals_and_round_trip():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 5, 3000).astype(np.int32)
     ids[0] = 0
-    words = pa.array([b"", b"a", b"b", b"c", b"d"], pa.large_binary())
+    words = pa.table({"lang": pa.array([b"", *[b"en"] * 4], pa.large_binary()), "word": pa.array([b"", b"a", b"b", b"c", b"d"], pa.large_binary())})
     index = P.FMIndex.from_bytes(P.FMIndex(P.FMIndex.transform(ids), words).to_bytes())
     assert index.words.equals(words)
     n = np.bincount(index.bwt, minlength=5)
@@ -92,10 +96,19 @@ def test_index_intervals_and_round_trip():
         order = np.argsort(lo)
         phrases = [(int(before[i]), *phrases[which[i]]) for i in order]
         lo, size = lo[order], size[order]
+        assert list(zip(*(x.tolist() for x in index.ids(lo, k)))) == phrases
         plain = Counter(tuple(ids[i:i + k].tolist()) for i in range(len(ids) - k + 1) if ids[i:i + k].all())
         assert dict(zip(phrases, size.tolist())) == plain
 
 
+def test_bucket_sums_saturate(spark):
+    rows = [P._packed(np.array([1, 5]), np.array([3, 2]), 0, 1), P._packed(np.array([0, 5]), np.array([1, 100]), 0, 2)]
+    out = list(P._summed(3, 50)(iter(P._rows(rows).to_batches())))
+    assert len(out) == 1 and out[0].num_rows == 1
+    again = P._rows([P._sparse(np.array([1, 3, 0, 0, 0, 50, 0, 0], np.uint32), 0, 1)]).to_batches()[0]
+    assert out[0].equals(again)
+
+
 def test_empty_table(spark, tmp_path):
     put(frame(spark, []), tmp_path, "documents")
     df = P.op12_phrase_collocations(spark, str(tmp_path))

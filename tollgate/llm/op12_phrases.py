@@ -3,13 +3,18 @@
 1. ``build``: tasks turn their documents into a stream of word ids with separators between
    pieces and documents.  Every ``SHARD_WORDS`` ids become a shard: suffixes sorted by their first
    ``MAX_WORDS`` words (enough for phrases of that length), the words before them as the BWT, one
-   compressed file in the shared folder.  The shard's words come out with their interval and count.
-2. Rounds 2 to ``MAX_WORDS``.  Counts are summed over shards; phrases below ``min_count`` end
-   there, since no longer phrase can have more.  The intervals of those that go on return to their
-   shards and are extended by one word: to the left by a step through the BWT (the words before
-   an interval's suffixes, each with its new interval), to the right by nesting: a longer
-   phrase's interval lies inside that of its beginning, so extensions whose beginning ended in an
-   earlier round are cut off on the spot.  One order thus serves both directions.
+   compressed file in the shared folder.
+2. Rounds 1 to ``MAX_WORDS``.  Round 1 lists a shard's words; later rounds extend the intervals of
+   frequent phrases by one word: to the left by a step through the BWT (the words before an
+   interval's suffixes, each with its new interval), to the right by nesting: a longer phrase's
+   interval lies inside that of its beginning, so extensions whose beginning ended in an earlier
+   round are cut off on the spot.  One order thus serves both directions.  Counts are summed over
+   shards; phrases below ``min_count`` end there, since no longer phrase can have more, and the
+   intervals of the others return to their shards.
+   Before a round's phrases are spelled out, their counts are summed over shards by hash bucket: a
+   bucket below ``min_count`` holds no frequent phrase, so the many rare extensions are never
+   shuffled.  There are about as many buckets as words, ``MOST_BUCKETS`` at most (beyond that the
+   filter lets more through; the result stays the same).
 3. Scores.  A candidate's cuts look up the counts of both parts, all of which are frequent too; a
    candidate goes if an extension by one word, left or right, is as frequent (any longer phrase
    that is as frequent contains such an extension).
@@ -45,8 +50,14 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 #: Ids of a shard.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 4_000_000
+#: Bits of the number of hash buckets, at most and within one file; shards whose counts one task sums first.
+MOST_BUCKETS = 28
+PART_BITS = 20
+SUMMED_SHARDS = 256
 NODES = "shard long, lang string, phrase string, lo int, size int"
+COUNTS = "part int, shard long, places binary, counts binary"
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 _SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 
@@ -69,15 +80,22 @@ class _Ids(dict):
         return i
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 class FMIndex:
-    """BWT of a sequence of ids (0 separates) whose suffixes are sorted by ``MAX_WORDS`` ids."""
+    """BWT of a sequence of ids (0 separates) whose suffixes are sorted by ``MAX_WORDS`` ids.
+    ``words`` has columns lang and word, row i for id i."""
 
-    def __init__(self, bwt: np.ndarray, words: pa.Array):
-        self.bwt, self.words = bwt, words  # the word of id i is words[i]
-        order = np.argsort(bwt, kind="stable")
-        #: Row of the suffix one word longer, of every row: starts[id] + rank of the row among its id.
+    def __init__(self, bwt: np.ndarray, words: pa.Table):
+        self.bwt, self.words = bwt, words
+        #: Row of the suffix one word shorter, of every row; and of the suffix one word longer.
+        self.shorter = np.argsort(bwt, kind="stable").astype(np.int32)
         self.longer = np.empty(len(bwt), np.int32)
-        self.longer[order] = np.arange(len(bwt), dtype=np.int32)
+        self.longer[self.shorter] = np.arange(len(bwt), dtype=np.int32)
 
     @staticmethod
     def transform(ids: np.ndarray) -> np.ndarray:
@@ -89,7 +107,10 @@ class FMIndex:
 
         rank = ids.astype(np.int64)
         for step in (1, 2):
-            rank = np.unique(pair(rank, step, rank), return_inverse=True)[1]
+            key = pair(rank, step, rank)
+            order = np.argsort(key)
+            key = key[order]
+            rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
         order = np.argsort(pair(rank, 4, ids.astype(np.int64)), kind="stable")
         return ids[order - 1]
 
@@ -107,10 +128,30 @@ class FMIndex:
         keep = (inside >= 0) & (new < lo[inside] + size[inside])
         return which[keep], before[keep], new[keep], n[keep].astype(np.int32)
 
+    def ids(self, lo: np.ndarray, k: int) -> list:
+        """The ids of the phrases of ``k`` words whose intervals begin at ``lo``, word by word."""
+        out, row = [], lo
+        for _ in range(k):
+            row = self.shorter[row]
+            out.append(self.bwt[row])
+        return out
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of lang and word of every id, equal in all shards."""
+        both = pc.binary_join_element_wise(self.words.column("lang"), self.words.column("word"), pa.scalar(b"\t", pa.large_binary())).combine_chunks()
+        data, at = np.frombuffer(both.buffers()[2], np.uint8), np.frombuffer(both.buffers()[1], np.int64)[:len(both) + 1]
+        place = np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
+        powers = np.multiply.accumulate(np.full(int(place.max()) + 1, _BASE, np.uint64))
+        return _mix(np.add.reduceat((data[:at[-1]] + np.uint64(1)) * powers[place], at[:-1]))
+
+    def phrases(self, ids: list) -> pa.Array:
+        words = self.words.column("word").combine_chunks().cast(pa.large_string())
+        return pc.binary_join_element_wise(*[words.take(pa.array(i)) for i in ids], pa.scalar(" ", pa.large_string()))
+
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        with pa.ipc.new_file(out, pa.schema([("words", pa.large_binary())])) as f:
-            f.write(pa.record_batch([self.words], names=["words"]))
+        with pa.ipc.new_file(out, self.words.schema) as f:
+            f.write_table(self.words)
         press = zstandard.ZstdCompressor(level=3).compress
         # the four bytes of the ids one after the other: high bytes are nearly all zero
         planes = press(np.ascontiguousarray(self.bwt.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
@@ -122,60 +163,126 @@ class FMIndex:
         unpress = zstandard.ZstdDecompressor().decompress
         planes = np.frombuffer(unpress(data[8:8 + n]), np.uint8).reshape(4, -1)
         bwt = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
-        return cls(bwt, pa.ipc.open_file(io.BytesIO(unpress(data[8 + n:]))).read_all().column(0).combine_chunks())
-
-
-def _nodes(shard: int, lang: pa.Array, phrase: pa.Array, lo: np.ndarray, size: np.ndarray) -> pa.Table:
-    return pa.table([pa.array(np.full(len(lo), shard, np.int64)), lang.cast(pa.string()), phrase.cast(pa.string()),
-                     pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))], names=["shard", "lang", "phrase", "lo", "size"])
+        return cls(bwt, pa.ipc.open_file(io.BytesIO(unpress(data[8 + n:]))).read_all())
 
 
 def _build(folder: str, shard_words: int):
-    """Writes the shards of a task's documents; returns the nodes of their words."""
+    """Writes the shards of a task's documents; returns shard, lang and n (words of the language)."""
 
-    def flush(shard: int, ids: list, known: list) -> pa.RecordBatch:
+    def flush(made: int, ids: list, known: list) -> pa.RecordBatch:
+        shard = TaskContext.get().taskAttemptId() << 20 | made
+        words = pa.table({"lang": pa.array([b"", *(x.encode() for x, _ in known)], pa.large_binary()),
+                          "word": pa.array([b"", *(w for _, w in known)], pa.large_binary())})
         bwt = FMIndex.transform(np.array(ids, np.int32))
-        words = pa.array([b"", *(w for _, w in known)], pa.large_binary())
         put_file(f"{folder}/{shard:016x}.fmi", FMIndex(bwt, words).to_bytes())
-        n = np.bincount(bwt, minlength=len(known) + 1)
-        return _nodes(shard, pa.array([x for x, _ in known], pa.string()), words[1:], (np.cumsum(n) - n)[1:], n[1:])
+        n: dict = {}
+        for (x, _), f in zip(known, np.bincount(bwt, minlength=len(known) + 1)[1:].tolist()):
+            n[x] = n.get(x, 0) + f
+        return pa.RecordBatch.from_arrays([pa.array([shard] * len(n), pa.int64()), pa.array(n.keys(), pa.string()),
+                                           pa.array(n.values(), pa.int64())], names=["shard", "lang", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, ids = 0, [0]
-
-        def fresh():
-            return itertools.count(1), [], {}
-
-        counter, known, langs = fresh()
+        counter, known, langs = itertools.count(1), [], {}
         for batch, texts in text_batches(batches, 1):
             for lang, t in zip(batch.column(0).to_pylist(), texts):
                 if lang not in langs:
                     langs[lang] = _Ids(counter, known, lang)
                 ids.extend(map(langs[lang].__getitem__, tokens(t)))
                 ids.append(0)
-                if len(ids) >= shard_words:
-                    if known:
-                        yield from flush(TaskContext.get().taskAttemptId() << 20 | made, ids, known).to_batches()
-                        made += 1
-                    (counter, known, langs), ids = fresh(), [0]
+                if len(ids) >= shard_words and known:
+                    yield flush(made, ids, known)
+                    made += 1
+                    ids, counter, known, langs = [0], itertools.count(1), [], {}
         if known:
-            yield from flush(TaskContext.get().taskAttemptId() << 20 | made, ids, known).to_batches()
+            yield flush(made, ids, known)
+
+    return run
+
+
+def _sparse(dense: np.ndarray, part: int, shard: int) -> dict:
+    """A row of COUNTS from the buckets of a part that are not empty."""
+    return _packed(np.flatnonzero(dense), dense[dense > 0], part, shard)
+
+
+def _packed(places: np.ndarray, counts: np.ndarray, part: int, shard: int) -> dict:
+    press = zstandard.ZstdCompressor(level=3).compress
+    gaps = np.diff(places, prepend=0).astype("<u4")
+    return {"part": part, "shard": shard, "places": press(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes()),
+            "counts": press(counts.astype("<u4").tobytes())}
+
+
+def _rows(rows: list) -> pa.Table:
+    return pa.table({"part": pa.array([r["part"] for r in rows], pa.int32()), "shard": pa.array([r["shard"] for r in rows], pa.int64()),
+                     "places": pa.array([r["places"] for r in rows], pa.binary()), "counts": pa.array([r["counts"] for r in rows], pa.binary())})
+
+
+def _summed(bits: int, min_count: int, folder: str | None = None):
+    """Sums the counts of each part (rows sorted by part); with a folder, writes a bit for every
+    bucket that reaches ``min_count`` instead of returning the sums."""
+    size = 1 << min(bits, PART_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor().decompress
+        at, total, shard = None, None, 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if at is None:
+                return
+            if folder:
+                put_file(f"{folder}/{at:06d}.bits", np.packbits(total >= min_count).tobytes())
+            yield from _rows([_sparse(total, at, shard)] if not folder else []).to_batches()
+
+        for batch in batches:
+            for part, shard_, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != at:
+                    yield from done()
+                    at, total, shard = part, np.zeros(size, np.uint32), shard_
+                where = np.cumsum(np.ascontiguousarray(np.frombuffer(unpress(places), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
+                total[where] = np.minimum(total[where] + np.frombuffer(unpress(counts), "<u4"), min_count)
+        yield from done()
 
     return run
 
 
-def _extend(folder: str):
-    """The nodes one word longer of a shard's frequent nodes."""
+def _round(folder: str, k: int, bits: int, min_count: int, filters: str | None = None):
+    """Phrases of ``k`` words of a shard from its frequent ones of k - 1 words (``lo``, ``size``): their
+    counts by bucket, or with ``filters`` the nodes whose bucket reaches ``min_count``."""
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
-        t = t.sort_by("lo")
         index = FMIndex.from_bytes(get_file(f"{folder}/{shard:016x}.fmi"))
-        which, before, lo, size = index.extended(t.column("lo").to_numpy(), t.column("size").to_numpy())
-        words = index.words.take(pa.array(before)).cast(pa.large_string())
-        shorter = t.column("phrase").combine_chunks().cast(pa.large_string()).take(pa.array(which))
-        phrase = pc.binary_join_element_wise(words, shorter, pa.scalar(" ", pa.large_string()))
-        return _nodes(shard, t.column("lang").combine_chunks().take(pa.array(which)), phrase, lo, size)
+        if k == 1:
+            n = np.bincount(index.bwt, minlength=index.words.num_rows)
+            lo, size, ids = (np.cumsum(n) - n)[1:], n[1:], [np.arange(1, len(n))]
+        else:
+            t = t.sort_by("lo")
+            shorter = t.column("lo").to_numpy()
+            which, before, lo, size = index.extended(shorter, t.column("size").to_numpy())
+            ids = [before, *(x[which] for x in index.ids(shorter, k - 1))]
+        hashes = index.hashes()
+        h = hashes[ids[-1]]
+        for i in reversed(ids[:-1]):
+            h = _mix(hashes[i] + _BASE * h)
+        bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+        if filters is None:
+            order = np.argsort(bucket)
+            sorted_ = bucket[order]
+            first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+            sums = np.minimum(np.add.reduceat(size[order].astype(np.int64), first), min_count) if len(first) else np.zeros(0, np.int64)
+            places, part = sorted_[first], sorted_[first] >> PART_BITS
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            return _rows([_packed(p & ((1 << PART_BITS) - 1), c, int(p[0]) >> PART_BITS, shard)
+                          for p, c in zip(np.split(places, cuts), np.split(sums, cuts)) if len(p)])
+        keep = np.zeros(len(bucket), bool)
+        for part in np.unique(bucket >> PART_BITS).tolist():
+            on = np.unpackbits(np.frombuffer(get_file(f"{filters}/{part:06d}.bits"), np.uint8))
+            of = np.flatnonzero(bucket >> PART_BITS == part)
+            keep[of] = on[bucket[of] & ((1 << PART_BITS) - 1)] == 1
+        ids = [i[keep] for i in ids]
+        lang = index.words.column("lang").combine_chunks().take(pa.array(ids[0]))
+        return pa.table([pa.array(np.full(len(ids[0]), shard, np.int64)), lang.cast(pa.large_string()).cast(pa.string()), index.phrases(ids).cast(pa.string()),
+                         pa.array(lo[keep].astype(np.int32)), pa.array(size[keep].astype(np.int32))], names=["shard", "lang", "phrase", "lo", "size"])
 
     return run
 
@@ -187,17 +294,27 @@ def counted_phrases(spark: SparkSession, docs: DataFrame, min_count: int = MIN_C
     folder = shared_dir(spark, "phrase-index")
     text = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     with shuffles_removed(spark):
-        nodes = written(spark, text.mapInArrow(_build(folder, shard_words), NODES), "phrase-nodes-1")
-        n = written(spark, nodes.groupBy("lang").agg(F.sum("size").alias("n")), "phrase-totals")
+        state = written(spark, text.mapInArrow(_build(folder, shard_words), "shard long, lang string, n long"), "phrase-shards")
+        n = state.groupBy("lang").agg(F.sum("n").alias("n"))
+        totals = state.agg(F.sum("n"), F.countDistinct("shard")).first()
+        bits = min(MOST_BUCKETS, max(8, int(totals[0] or 1).bit_length() - 1))
+        salts = -(-max(1, totals[1]) // SUMMED_SHARDS)
         found = None
         for k in range(1, MAX_WORDS + 1):
+            filters = shared_dir(spark, f"phrase-buckets-{k}")
+            sums = state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count), COUNTS)
+            if salts > 1:
+                sums = sums.withColumn("salt", F.pmod("shard", F.lit(salts))).repartition("part", "salt").drop("salt")
+                sums = sums.sortWithinPartitions("part").mapInArrow(_summed(bits, min_count), COUNTS)
+            sums.repartition("part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
+            nodes = written(spark, state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count, filters), NODES), f"phrase-nodes-{k}")
             counts = nodes.groupBy("lang", "phrase").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
             counts = written(spark, counts, f"phrase-counts-{k}")
             rows = counts.select("lang", "phrase", F.lit(k).alias("k"), "f")
             found = rows if found is None else found.unionAll(rows)
             if k < MAX_WORDS:
-                on = nodes.join(counts.select("lang", "phrase"), ["lang", "phrase"]).select("shard", "lang", "phrase", "lo", "size")
-                nodes = written(spark, on.groupBy("shard").applyInArrow(_extend(folder), NODES), f"phrase-nodes-{k + 1}")
+                on = nodes.join(counts.select("lang", "phrase"), ["lang", "phrase"]).select("shard", "lo", "size")
+                state = written(spark, on, f"phrase-state-{k}")
     return found, n
 
 
