@@ -50,7 +50,7 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 #: Ids of a shard.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 8_000_000
 #: Bits of the number of hash buckets, at most and within one file; shards whose counts one task sums first.
 MOST_BUCKETS = 28
 PART_BITS = 20
@@ -299,14 +299,18 @@ def counted_phrases(spark: SparkSession, docs: DataFrame, min_count: int = MIN_C
         totals = state.agg(F.sum("n"), F.countDistinct("shard")).first()
         bits = min(MOST_BUCKETS, max(8, int(totals[0] or 1).bit_length() - 1))
         salts = -(-max(1, totals[1]) // SUMMED_SHARDS)
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # a shard's work is far larger than its rows: as many tasks as shards and parts, not as bytes ask for
+        tasks, summing = max(1, min(most, totals[1])), max(1, min(most, 1 << max(0, bits - PART_BITS)))
         found = None
         for k in range(1, MAX_WORDS + 1):
             filters = shared_dir(spark, f"phrase-buckets-{k}")
+            state = state.repartition(tasks, "shard")
             sums = state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count), COUNTS)
             if salts > 1:
                 sums = sums.withColumn("salt", F.pmod("shard", F.lit(salts))).repartition("part", "salt").drop("salt")
                 sums = sums.sortWithinPartitions("part").mapInArrow(_summed(bits, min_count), COUNTS)
-            sums.repartition("part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
+            sums.repartition(summing, "part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
             nodes = written(spark, state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count, filters), NODES), f"phrase-nodes-{k}")
             counts = nodes.groupBy("lang", "phrase").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
             counts = written(spark, counts, f"phrase-counts-{k}")
