@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("op1_topk", "op2_simhash", "op3_mixing", "op4_chat", "op5_quality", "op6_wavelet", "op7_bpe", "op8_license", "op9_lines", "op10_sharding", "op12_phrases",
+MODULES = ("op1_topk", "op2_simhash", "op3_mixing", "op4_chat", "op5_quality", "op6_wavelet", "op7_bpe", "op8_license", "op9_lines", "op10_sharding", "op11_negatives", "op12_phrases",
            "op13_repeats")
 
 
