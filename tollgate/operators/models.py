@@ -1,4 +1,5 @@
-"""Spark ML models, calibration, validation and attribution.
+"""Spark ML models, calibration, validation and attribution (M3-M16); exact tree attribution is in
+``attribution``, Newton's method and distributed isotonic pooling in ``solvers``.
 
 Training is MLlib (distributed).  Everything around it -- class weights, folds,
 out-of-fold calibration, cross-validated AUC, label-shuffle sanity, ablation,
@@ -12,7 +13,6 @@ import math
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +20,7 @@ from ..functions.expressions import md5_order_key
 from ..session import checkpoint_dir
 from .features import vector_column
 from .metrics import ranking_metrics
+from .solvers import fit_isotonic
 from .splits import shuffled_labels, stratified_folds
 
 # fixed values: the reference's hyper-parameters
@@ -87,7 +88,8 @@ def score(model, df: DataFrame, names, out: str = "score") -> DataFrame:
 def fit_calibrated(train: DataFrame, names, label: str, key: str, base: str = "rf", folds: int = 3,
                    seed: int = 42, **over):
     """M6: for each of ``folds`` stratified folds, fit the base model on the other folds
-    and an isotonic map on this fold's out-of-fold scores; returns the pairs."""
+    and an isotonic map on this fold's out-of-fold scores (``solvers.fit_isotonic``: no score
+    reaches the driver); returns the pairs."""
     checkpoint_dir(train.sparkSession)
     f = stratified_folds(train, key, label, k=folds, seed=seed).checkpoint(eager=True)  # read by every fold
     pairs = []
@@ -96,8 +98,7 @@ def fit_calibrated(train: DataFrame, names, label: str, key: str, base: str = "r
         cal_rows = f.where(F.col("fold") == i)
         m = TRAINERS[base](fit_rows, names, label, **over) if over else TRAINERS[base](fit_rows, names, label)
         s = score(m, cal_rows, names).withColumn("__label", F.col(label).cast("double"))
-        iso = IsotonicRegression(featuresCol="score", labelCol="__label", predictionCol="cal").fit(s)
-        pairs.append((m, iso))
+        pairs.append((m, fit_isotonic(s, "score", "__label", out="cal")))
     return pairs
 
 

@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audit, models as MD, splits
+from ..operators import attribution, audit, models as MD, solvers, splits
 from ..operators.features import day0_feature_names
 from ..operators.metrics import evaluation, ranking_metrics
 from ..operators.scoring import ScoringBundle, scoring_summary
 from ..session import scratch_path
 from .catalog import register
 from .sqlgen import tracked_ctes
-from .q_features import SPEC, TARGET, fitted
+from .q_cascade import rsql
+from .q_features import SPEC, TARGET, feature_names, fitted, fitted_sql, split_sql
 
 KEY = "entity_id"
 
@@ -113,6 +114,78 @@ def sampled_shapley(spark, sf_dir):
     return MD.sampled_shapley(rf, f.where(F.col("split") == "test"), names, KEY, {n: 0.0 for n in names})
 
 
+def _forest(spark, sf_dir):
+    f, m = model_frame(spark, sf_dir)
+    return f, m.feature_names, MD.train_random_forest(f.where(F.col("split") == "train"), m.feature_names, "label")
+
+
+@register("tree_attribution")
+def tree_attribution(spark, sf_dir):
+    """Exact path-dependent Shapley values of the random forest, all test rows and features."""
+    f, names, rf = _forest(spark, sf_dir)
+    return attribution.tree_attribution(f.where(F.col("split") == "test"), attribution.path_table(spark, rf), names, KEY)
+
+
+@register("tree_attribution_sums", f"""{split_sql()}
+  SELECT entity_id, CAST({len(feature_names())} AS BIGINT) AS n_features, true AS adds_up FROM split WHERE split = 'test'""")
+def tree_attribution_sums(spark, sf_dir):
+    """M12 self-check: of every test row, the attributions of all features and whether they add up
+    to the row's score less the expected score."""
+    f, names, rf = _forest(spark, sf_dir)
+    test, table = f.where(F.col("split") == "test"), attribution.path_table(spark, rf)
+    sums = attribution.tree_attribution(test, table, names, KEY).groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("n_features"), F.sum("phi").alias("total"))
+    return MD.score(rf, test, names).select(KEY, "score").join(sums, KEY, "left").select(
+        KEY, "n_features", (F.abs(F.col("total") - (F.col("score") - F.lit(table.expected))) < 1e-9).alias("adds_up"))
+
+
+def _newton(spark, sf_dir):
+    f, m = model_frame(spark, sf_dir)
+    train = MD.with_class_weights(f.where(F.col("split") == "train"), "label")
+    return f, m.feature_names, train, solvers.fit_newton(train, m.feature_names, "label", F.col("weight"))
+
+
+@register("train_lr_newton")
+def train_lr_newton(spark, sf_dir):
+    """M3: the same balanced L2 logistic regression by Newton's method; test-split scores."""
+    f, _, _, model = _newton(spark, sf_dir)
+    return f.where(F.col("split") == "test").select(F.lit("lr").alias("model"), KEY, "label", model.probability().alias("score"))
+
+
+@register("lr_gradient", f"""{fitted_sql()},
+  t AS (SELECT count(*) AS n FROM feat WHERE split = 'train')
+  SELECT unnest(list_concat({feature_names()}, ['(intercept)'])) AS feature, n, CAST(0.0 AS DOUBLE) AS gradient FROM t""")
+def lr_gradient(spark, sf_dir):
+    """M3: the gradient of the penalised weighted loss at the Newton solution, added up anew by
+    column expressions over the training rows; zero (to 6 digits) at the optimum."""
+    _, names, train, model = _newton(spark, sf_dir)
+    off = F.col("weight") * (model.probability() - F.col("label"))
+    sums = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(off * F.col(c).cast("double")).alias(f"g{i}") for i, c in enumerate(names)],
+                     F.sum(off).alias("g"))
+    rows = [F.struct(F.lit(c).alias("feature"), (F.col(f"g{i}") + F.lit(float(b))).alias("gradient"))
+            for i, (c, b) in enumerate(zip(names, model.coefficients))]
+    rows.append(F.struct(F.lit("(intercept)").alias("feature"), F.col("g").alias("gradient")))
+    zero = F.round(F.col("gradient"), 6) + F.lit(0.0)  # -0.0 is 0.0
+    return sums.select("n", F.inline(F.array(*rows))).select("feature", "n", zero.alias("gradient"))
+
+
+@register("isotonic_calibration", rsql(f"""{tracked_ctes('customers')},
+  g AS (SELECT CAST(high_days_after_anchor AS DOUBLE) AS x, count(*) AS n, sum(CAST(transition_failure AS INTEGER)) AS s
+        FROM tracked WHERE high_days_after_anchor IS NOT NULL GROUP BY x),
+  c AS (SELECT x, n, row_number() OVER (ORDER BY x) AS i, sum(n) OVER (ORDER BY x) AS cn, sum(s) OVER (ORDER BY x) AS cs FROM g),
+  d AS (SELECT i, cn, cs FROM c UNION ALL SELECT 0, 0, 0),
+  p AS (SELECT a.i AS a, b.i AS b, CAST(b.cs - a.cs AS DOUBLE) / (b.cn - a.cn) AS m FROM d a JOIN d b ON a.i < b.i),
+  lowest AS (SELECT a, b AS i, min(m) OVER (PARTITION BY a ORDER BY b DESC) AS m FROM p)
+  SELECT c.x AS score, CAST(c.n AS BIGINT) AS n, max(l.m) AS calibrated FROM c JOIN lowest l ON l.i = c.i GROUP BY c.x, c.n""", ["score", "calibrated"]))
+def isotonic_calibration(spark, sf_dir):
+    """M6 alone: the increasing map from the days until the second step to the failure rate."""
+    from .q_cascade import tracked_customers
+    t = tracked_customers(spark, sf_dir).where(F.col("high_days_after_anchor").isNotNull()).select(
+        F.col("high_days_after_anchor").cast("double").alias("score"), F.col(TARGET).cast("int").alias("label")).checkpoint(eager=True)
+    model = solvers.fit_isotonic(t, "score", "label", out="calibrated")
+    return model.transform(t.groupBy("score").agg(F.count(F.lit(1)).alias("n"))).select("score", "n", "calibrated")
+
+
 # fixed values: feature groups for the ablation (by name part)
 ABLATION_GROUPS = ("time_to_update", "window_completed", "gap", "missing", "is_late", "_encoded",
                    "_target_rate", "anchor_")
