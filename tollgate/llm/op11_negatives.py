@@ -194,12 +194,12 @@ def hard_negatives(spark: SparkSession, vectors: DataFrame, is_anchor: Column, p
                                        ANCHOR_ROWS), "negatives-asked")
     n_blocks = candidates.count()
     groups = max(1, min(n_blocks, BLOCKS_TOGETHER), n_blocks // BLOCKS_TOGETHER)
-    c = candidates.select(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), "d", "n", "data", "labels", "ids")
+    c = candidates.select(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("g"), F.col("block").alias("other"), "d", "n", "data", "labels", "ids")
 
     def met(q: DataFrame, *columns: str) -> DataFrame:
         q = q.select("block", "d", F.col("n").alias("qn"), F.col("data").alias("qdata"), F.col("labels").alias("qlabels"), *columns,
                      F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"))
-        return q.join(c, ["g", "d"]).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.rand(7))
+        return q.join(c, ["g", "d"]).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block", "other")
 
     schema = "block long, idx int, id long, score long"
     near = met(asked).mapInArrow(_pairs(lambda b, v, label, _: positives_of(b, v, label, more), schema), schema)
