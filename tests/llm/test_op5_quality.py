@@ -23,8 +23,8 @@ def brute(text):
         seen.add(x)
     chars, rep, sym = sum(map(len, words)), len(covered(5)), len(re.findall(r"[#*$%&|<>]", text or ""))
     failed = len(words) < 10 or 100 * rep > 20 * len(words)
-    kept = not failed and sym <= 0.30 * len(words) and dup_bytes <= 0.30 * max(1, sum(len(x.encode()) for x in lines))
-    for n, most in Q.Limits().ngram_chars:
+    kept = not failed and sym <= 0.30 * len(words) and dup_bytes <= 0.20 * max(1, sum(len(x.encode()) for x in lines))
+    for n, most in ((5, 0.15), (6, 0.14), (7, 0.13), (8, 0.12), (9, 0.11), (10, 0.10)):
         kept = kept and sum(len(words[j]) for j in covered(n)) <= most * max(1, chars)
     return len(words), chars, sym, dup, rep, failed, kept
 
