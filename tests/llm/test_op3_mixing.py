@@ -41,15 +41,6 @@ def test_rates_match_brute_force(spark):
     assert (r >= 0).all() and np.abs((r * n) @ p - goal).max() <= 1e-3 * n.sum()
 
 
-def test_scarce_domains_are_not_repeated(spark):
-    scored, p, n = scored_frame(spark, seed=2)
-    have = n @ p
-    r = M.rates(p, M.fit(scored, ("a", "b", "c"), {"a": 0.1, "b": 0.85, "c": 0.05}, "a"))
-    got = (r * n) @ p
-    want = np.minimum(have[0] / 0.1 * np.array([0.1, 0.85, 0.05]), have)
-    assert np.abs(got - want).max() <= 1e-3 * n.sum() and r.max() < 1.5
-
-
 def test_unreachable_targets_settle(spark):
     scored, p, n = scored_frame(spark, seed=1)
     steps = M.fit(scored, ("a", "b", "c"), {"a": 1.0, "b": 0.0, "c": 0.0}, "a", total=float(n.sum()))
@@ -60,7 +51,7 @@ def test_unreachable_targets_settle(spark):
 
     def loss(x):
         return float((((x * n) @ p - goal) ** 2 / np.diag(h)).sum())
-    assert loss(r) <= loss(long) + 0.01 * loss(np.ones(len(p)))
+    assert loss(r) <= 1.05 * loss(long) + 1e-9
 
 
 @pytest.mark.parametrize("share", [1.0, 0.9])
@@ -87,7 +78,7 @@ def test_unsettled_fit_warns(spark):
 
 
 def test_bounded_rates_move_scarce_shares_to_their_targets(spark):
-    """Scarce c, and nothing above its target: the clipped targets left every rate at 1."""
+    """Scarce c, and nothing above its target."""
     rng = np.random.default_rng(3)
     p = rng.dirichlet([0.5, 0.5, 0.01], 400) * [1, 1, 0.3]
     p /= p.sum(axis=1, keepdims=True)
@@ -95,7 +86,6 @@ def test_bounded_rates_move_scarce_shares_to_their_targets(spark):
     have = n @ p
     want = np.array([have[0], have[1], 1.5 * have[2]]) / (n.sum() + 0.5 * have[2])
     scored = spark.createDataFrame([(i, int(t), x.tolist()) for i, (t, x) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
-    assert M.fit(scored, ("a", "b", "c"), dict(zip("abc", want)), "a") == []
     r = M.rates(p, M.fit(scored, ("a", "b", "c"), dict(zip("abc", want)), "a", most=M.MOST), M.MOST)
     got = (r * n) @ p
     assert r.min() >= 0 and 1 < r.max() <= M.MOST
@@ -147,6 +137,21 @@ def test_copies_round_without_bias():
     assert set(n) == {1, 2} and abs(n.mean() - 1.3) < 0.02
 
 
+def test_rows_that_share_an_id_are_rounded_apart():
+    """A third of the rows without id, each with its own text: their copies follow the rate."""
+    n = M._copies(np.full(9_000, 0.4), [M.draw(None, b"text %d" % i) for i in range(9_000)])
+    assert abs(n.mean() - 0.4) < 0.02 and M.draw(None, b"a") == M.draw(None, b"a") != M.draw(1, b"a")
+
+
+def test_training_rows_are_bounded(spark):
+    """Many rows on one sampled id are one training row."""
+    docs = documents(spark, [(1, f"good text {i}") for i in range(300)] + [(2, "poor trash"), (3, "good too")])
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    c = M.train(docs, labels, M.label_domain(), ("good", "poor"), sample_rows=3)
+    one = M.train(docs.where("doc_id > 1 OR text = 'good text 0'"), labels, M.label_domain(), ("good", "poor"), sample_rows=3)
+    assert np.allclose(c.biases, one.biases) and np.allclose(c.weights, one.weights)
+
+
 DOCS = [(1, "good words here"), (2, None), (3, ""), (4, "stupid trash text"), (5, "x " * 50_000), (None, "no id"), (4, "stupid trash text"), (6, "plain")]
 
 

@@ -16,9 +16,9 @@
    times: rates are held in [0, MOST], residuals are weighted by the inverse targets, so shares
    that such rates cannot reach come as near as they can in the chi-square distance.  Domains
    without tokens drop out and the others share their weight.  With a given total all targets
-   hold as they are, and scarce domains are repeated.
+   hold as they are, and scarce domains are repeated without a bound.
 
-``copies`` rounds a rate by a hash of the doc_id: floor(rate), and one more with the
+``copies`` rounds a rate by a hash of doc_id and text: floor(rate), and one more with the
 probability of the rest.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``.  Defined cases: null or empty texts have no tokens and
@@ -55,7 +55,9 @@ FEATURES = 1 << 15
 CHOSEN = 300
 #: The fit ends when all targets are met to TOLERANCE (of the total), or its loss is at most
 #: 1 + LOSS times a lower bound of the least loss.
-ITERATIONS = 200
+ITERATIONS = 400
+#: Passes with the first step length, whatever the loss does.
+EVEN_STEPS = 50
 TOLERANCE = 1e-4
 LOSS = 0.05
 #: Domain -> share of the tokens.
@@ -105,7 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, domains: tuple, sa
              .groupBy("doc_id").agg(F.min("domain").alias("domain")))
     ids = docs.select("doc_id").distinct()
     sample = named.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("domain", F.col("text").alias("t"))
+    # one text an id, so that rows that share a sampled id are no more training rows than ``sample_rows``
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("t")).select("domain", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, 1):
@@ -142,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, domains: tuple, sa
 
 
 def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """doc_id, n_tokens and p (the posterior, in the order of the domains) of every row."""
+    """doc_id, n_tokens, p (the posterior, in the order of the domains) and draw of every row."""
     narrow = docs.select("doc_id", F.col("text").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,17 +153,21 @@ def posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
             got = [features(t) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([n for _, n in got], pa.int64()),
-                pa.array([classifier.posterior(s) for s, _ in got], pa.list_(pa.float64()))], names=["doc_id", "n_tokens", "p"])
+                pa.array([classifier.posterior(s) for s, _ in got], pa.list_(pa.float64())),
+                pa.array([draw(i, t) for i, t in zip(batch.column(0).to_pylist(), texts)], pa.int64())], names=["doc_id", "n_tokens", "p", "draw"])
 
-    return narrow.mapInArrow(run, "doc_id long, n_tokens long, p array<double>")
+    return narrow.mapInArrow(run, "doc_id long, n_tokens long, p array<double>, draw long")
 
 
 def _replay(p: np.ndarray, steps: list, most: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the given steps (one vector over domains each) for rows of posteriors, and
-    the point ahead of them at which the next gradient is taken (Nesterov's acceleration)."""
+    """Rates after the given steps ((one value a domain, fresh) each) for rows of posteriors, and
+    the point ahead of them at which the next gradient is taken (Nesterov's acceleration, without
+    momentum from before a fresh step)."""
     r = ahead = np.ones(len(p))
     t = 1.0
-    for step in steps:
+    for step, fresh in steps:
+        if fresh:
+            ahead, t = r, 1.0
         new = np.clip(ahead - p @ step, 0.0, most)
         after = (1 + (1 + 4 * t * t) ** 0.5) / 2
         ahead = new + (t - 1) / after * (new - r)
@@ -175,7 +182,8 @@ def rates(p: np.ndarray, steps: list, most: float = np.inf) -> np.ndarray:
 def _totals(scored: DataFrame, k: int, steps: list, most: float = np.inf,
             slope: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float]:
     """Expected tokens of each domain at the rates after ``steps`` and at the point ahead,
-    the k by k matrix of tokens times posterior times posterior, and of the documents' values
+    the k by k matrix of tokens times posterior times posterior over documents with rates inside
+    their bounds, and of the documents' values
     posterior times ``slope`` the sum of tokens times negative part and the least."""
     slope = np.zeros(k) if slope is None else slope
 
@@ -187,7 +195,8 @@ def _totals(scored: DataFrame, k: int, steps: list, most: float = np.inf,
             r, ahead = _replay(p, steps, most)
             total[:k] += (r * n) @ p
             total[k:2 * k] += (ahead * n) @ p
-            total[2 * k:-1] += ((p * n[:, None]).T @ p).ravel()
+            free = n * ((r > 0) & (r < most))
+            total[2 * k:-1] += ((p * free[:, None]).T @ p).ravel()
             value = np.minimum(p @ slope, 0.0) * (n > 0)
             total[-1] += n @ value
             least = min(least, value.min(initial=0.0))
@@ -211,9 +220,10 @@ def _least_loss(goal: np.ndarray, scale: np.ndarray, slope: np.ndarray, most: fl
 
 def fit(scored: DataFrame, domains: tuple, targets: dict, anchor: str, total: float | None = None,
         iterations: int = ITERATIONS, tolerance: float = TOLERANCE, most: float = np.inf) -> list:
-    """The steps of the projected gradient; ``rates`` turns them into rates.  With a finite
-    ``most`` all targets hold as they are and rates stay below it; else, without a total, a
-    target above what a domain has is replaced by that."""
+    """The steps of the projected gradient; ``rates`` turns them into rates of at most ``most``.
+    Steps begin with the length that is safe for all documents.  After ``EVEN_STEPS`` the length follows the
+    documents whose rates are still inside their bounds, which lets it grow as others settle
+    there; a step that raises the loss is taken back, and the next one starts without momentum."""
     k = len(domains)
     weights = np.array([targets[d] for d in domains], float)
     have, ahead, h, *_ = _totals(scored, k, [])
@@ -225,39 +235,61 @@ def fit(scored: DataFrame, domains: tuple, targets: dict, anchor: str, total: fl
         weights = np.where(have > 1e-9 * tokens, weights, 0.0)
         if not weights.sum():
             return []
-    at, scarce_stays = domains.index(anchor), total is None and not bounded
+    at = domains.index(anchor)
     if total is None:
         total = have[at] / (weights[at] / weights.sum()) if have[at] and weights[at] else tokens
     goal = weights / weights.sum() * total
-    if scarce_stays:
-        goal = np.minimum(goal, have)
     scale = 1 / np.maximum(np.diag(h), 1e-12 * tokens)  # residuals count by the mass of their domain
     if bounded:  # by their targets; not those of domains without tokens
         scale = np.where(have > 1e-9 * tokens, 1 / np.maximum(goal, 1e-3 * total), 0.0)
     root = np.sqrt(scale)
-    step_size = 1 / max(np.linalg.eigvalsh(root[:, None] * h * root[None, :])[-1], 1e-12)
+
+    def length(h: np.ndarray) -> float:
+        return 1 / max(np.linalg.eigvalsh(root[:, None] * h * root[None, :])[-1], 1e-12)
+
+    def loss_of(x: np.ndarray) -> float:
+        return 0.5 * float(scale @ (x - goal) ** 2)
+
+    every, least_length = h, length(h)
+    size, fresh, passes = least_length, False, 0
     steps: list = []
     bound = -np.inf
     while np.abs(have - goal)[scale > 0].max() > tolerance * total:
-        slope = scale * (have - goal)
-        loss = 0.5 * slope @ (have - goal)
+        loss = loss_of(have)
         if loss <= (1 + LOSS) * bound:  # as near as rates can come
             break
-        if len(steps) >= iterations:
+        if passes >= iterations:
             warnings.warn(f"mixing: not settled after {iterations} iterations: loss {loss:.6g}, least loss {bound:.6g} or more, "
                           f"tokens {dict(zip(domains, have.tolist()))}, targets {dict(zip(domains, goal.tolist()))}", stacklevel=2)
             break
-        steps.append(step_size * scale * (ahead - goal))
-        have, ahead, _, below, least = _totals(scored, k, steps, most, slope)
+        slope = scale * (have - goal)
+        trial = [*steps, (size * scale * ((have if fresh else ahead) - goal), fresh)]
+        new, new_ahead, free, below, least = _totals(scored, k, trial, most, slope)
+        passes += 1
         bound = max(bound, _least_loss(goal, scale, slope, most, below, least))
+        if passes > EVEN_STEPS and loss_of(new) > loss:
+            if fresh and size <= least_length:
+                break  # rounding: no step lowers the loss any more
+            size, fresh = max(least_length, size / 2) if fresh else size, True
+            continue
+        steps, have, ahead, fresh = trial, new, new_ahead, False
+        if passes >= EVEN_STEPS:
+            size = length(free + 1e-9 * every)
     return steps
 
 
-def _copies(rate: np.ndarray, ids: list) -> np.ndarray:
-    u = np.array([zlib.crc32(b"mix%d" % (i if i is not None else -1)) for i in ids], float) / 2**32
+def _copies(rate: np.ndarray, draws: list) -> np.ndarray:
+    """Rates rounded at random, by a draw for each row."""
+    u = np.array([zlib.crc32(b"mix%d" % d) for d in draws], float) / 2**32
     return np.floor(rate + u).astype(np.int64)
 
 
+def draw(doc_id: int | None, text: bytes | None) -> int:
+    """A number from a row's id and text: rows that share an id, or have none, are rounded apart
+    (rows equal in both are the same document and are rounded alike)."""
+    return zlib.crc32(text or b"", zlib.crc32(b"%d" % (doc_id if doc_id is not None else -1)))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict | None = None, anchor: str = ANCHOR,
             total: float | None = None) -> tuple[Classifier, DataFrame, Callable]:
     """The classifier, the written table of posteriors, and the fitted rates of posteriors."""
@@ -281,7 +313,7 @@ def document_rates(spark: SparkSession, docs: DataFrame, labels: DataFrame, targ
             rate = fitted(p)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([domains[i] for i in p.argmax(axis=1)], pa.string()), batch.column(1),
-                *[pa.array(p[:, i]) for i in range(len(domains))], pa.array(rate), pa.array(_copies(rate, batch.column(0).to_pylist()))],
+                *[pa.array(p[:, i]) for i in range(len(domains))], pa.array(rate), pa.array(_copies(rate, batch.column(3).to_pylist()))],
                 names=["doc_id", "domain", "n_tokens", *[f"p_{d}" for d in domains], "rate", "copies"])
 
     shares = ", ".join(f"p_{d} double" for d in domains)
@@ -297,7 +329,7 @@ def mixed(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: dict
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, at):
             p = np.array([classifier.posterior(features(t)[0]) for t in texts])
-            n = _copies(fitted(p), batch.column(key).to_pylist())
+            n = _copies(fitted(p), [draw(i, t) for i, t in zip(batch.column(key).to_pylist(), texts)])
             yield batch.take(pa.array(np.repeat(np.arange(len(n)), n)))
 
     return docs.mapInArrow(run, docs.schema)
