@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import range_buckets
+from ..session import checkpoint_dir
 
 #: Blocks that one task pools in the last merge without another round of buckets.
 MERGE_ROWS = 100_000
@@ -52,18 +53,21 @@ def isotonic_blocks(df: DataFrame, score: str, label: str, weight: Column | None
     checkpointed.  Rows with a NULL or NaN score or a NULL label raise."""
     x, w = F.col(score).cast("double"), weight if weight is not None else F.lit(1.0)
     g = df.select((x + F.lit(0.0)).alias("lo"), F.col(label).cast("double").alias("l"), w.cast("double").alias("w"))  # -0.0 is 0.0
-    bad = g.where(F.col("lo").isNull() | F.isnan("lo") | F.col("l").isNull()).limit(1).count()
+    checkpoint_dir(df.sparkSession)
+    g = g.groupBy("lo").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("l")).alias("y"), F.count(F.when(F.col("l").isNull(), 1)).alias("bad"))
+    g = g.checkpoint(eager=True)  # one row a score
+    n, bad = g.agg(F.count(F.lit(1)), F.count(F.when(F.col("lo").isNull() | F.isnan("lo") | (F.col("bad") > 0), 1))).first()
     if bad:
         raise ValueError("rows without score or label cannot be calibrated")
-    g = g.groupBy("lo").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("l")).alias("y")).select("lo", F.col("lo").alias("hi"), "w", "y")
-    blocks = range_buckets(g, ["lo"]).drop("__bucket")  # partitions are ranges of scores now
-    n, before = blocks.count(), None
+    g = g.select("lo", F.col("lo").alias("hi"), "w", "y")
+    # partitions are ranges of scores from here on
+    blocks = g.repartition(1) if n <= MERGE_ROWS else range_buckets(g, ["lo"]).drop("__bucket")
     while True:
         blocks = blocks.sortWithinPartitions("lo").mapInArrow(_pooled, BLOCKS).checkpoint(eager=True)
         parts = blocks.rdd.getNumPartitions()
-        before, n = n, blocks.count()
         if parts == 1:
             return blocks
+        before, n = n, blocks.count()
         # fewer, adjacent ranges: coalescing by order keeps them adjacent
         parts = 1 if n <= MERGE_ROWS or n == before else max(1, min(parts // 2, -(-n // MERGE_ROWS)))
         blocks = blocks.repartitionByRange(parts, "lo") if parts > 1 else blocks.repartition(1)
