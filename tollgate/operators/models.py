@@ -1,5 +1,6 @@
 """Spark ML models, calibration, validation and attribution (M3-M16); exact tree attribution is in
-``attribution``, Newton's method and distributed isotonic pooling in ``solvers``.
+``attribution``, Newton's method and distributed isotonic pooling in ``solvers``, second-order boosting in
+``boosting``.
 
 Training is MLlib (distributed).  Everything around it -- class weights, folds,
 out-of-fold calibration, cross-validated AUC, label-shuffle sanity, ablation,
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import md5_order_key
 from ..session import checkpoint_dir
+from .boosting import fit_boosted
 from .features import vector_column
 from .metrics import ranking_metrics
 from .solvers import fit_isotonic
@@ -75,7 +77,12 @@ def train_gbt(train: DataFrame, names, label: str, **over):
     return gbt.fit(prepare(train, names, label))
 
 
-TRAINERS = {"lr": train_logistic, "rf": train_random_forest, "gbt": train_gbt}
+def train_boosted(train: DataFrame, names, label: str, **over):
+    """M5: the same boosting with second-order leaf weights and quantile bins (``boosting``)."""
+    return fit_boosted(train, names, label, **over)
+
+
+TRAINERS = {"lr": train_logistic, "rf": train_random_forest, "gbt": train_gbt, "boosted": train_boosted}
 
 
 def score(model, df: DataFrame, names, out: str = "score") -> DataFrame:

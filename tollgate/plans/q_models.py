@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attribution, audit, models as MD, solvers, splits
+from ..operators import attribution, audit, boosting, models as MD, solvers, splits
 from ..operators.features import day0_feature_names
 from ..operators.metrics import evaluation, ranking_metrics
 from ..operators.scoring import ScoringBundle, scoring_summary
@@ -58,6 +58,49 @@ def train_gbt(spark, sf_dir):
     return _test_scores(g, f, m.feature_names, "gbt")
 
 
+#: Rounds of the registered second-order fit (a job a level and round; ``fit_boosted`` takes 100 by default).
+BOOST_ROUNDS = 20
+
+
+@register("train_boosted")
+def train_boosted(spark, sf_dir):
+    """M5: second-order boosting on all features (depth 6, rate 0.1, 0.8 row and column sampling,
+    ``BOOST_ROUNDS`` rounds); test-split scores."""
+    f, m = model_frame(spark, sf_dir)
+    g = boosting.fit_boosted(f.where(F.col("split") == "train"), m.feature_names, "label", key=KEY, rounds=BOOST_ROUNDS)
+    return _test_scores(g, f, m.feature_names, "boosted")
+
+
+FLAGS = [f"{s.name}_in_window" for s in SPEC.steps]
+
+
+@register("boosted_first_split", rsql(f"""{tracked_ctes('customers')},
+  f AS (SELECT unnest(['anchor_month', 'anchor_day', {', '.join(f"'{c}'" for c in FLAGS)}]) AS feature,
+               unnest([month(anchor_ts), day(anchor_ts), {', '.join(f'CAST({c} AS INTEGER)' for c in FLAGS)}]) AS x,
+               CAST({TARGET} AS INTEGER) AS y FROM tracked WHERE anchor_ts IS NOT NULL AND {TARGET} IS NOT NULL),
+  v AS (SELECT feature, x, count(*) AS n, sum(0.5 - y) AS g FROM f GROUP BY feature, x),
+  c AS (SELECT feature, x, sum(n) OVER (PARTITION BY feature ORDER BY x) AS nl, sum(g) OVER (PARTITION BY feature ORDER BY x) AS gl,
+               sum(n) OVER (PARTITION BY feature) AS n, sum(g) OVER (PARTITION BY feature) AS g FROM v),
+  s AS (SELECT *, CAST(gl * gl AS DOUBLE) / (0.25 * nl + 1) + CAST((g - gl) * (g - gl) AS DOUBLE) / (0.25 * (n - nl) + 1)
+                  - CAST(g * g AS DOUBLE) / (0.25 * n + 1) AS gain FROM c WHERE nl >= 4 AND n - nl >= 4)
+  SELECT feature, CAST(x AS DOUBLE) AS cut, CAST(n AS BIGINT) AS n, CAST(nl AS BIGINT) AS n_left, gain FROM s
+  QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, x) = 1""", ["gain"]))
+def boosted_first_split(spark, sf_dir):
+    """M5 split finding alone: of each feature, the cut of highest gain at the root of the first tree."""
+    from .q_cascade import tracked_customers
+    names = ["anchor_month", "anchor_day", *FLAGS]
+    t = tracked_customers(spark, sf_dir).where(F.col("anchor_ts").isNotNull() & F.col(TARGET).isNotNull()).select(
+        KEY, F.month("anchor_ts").alias("anchor_month"), F.dayofmonth("anchor_ts").alias("anchor_day"),
+        *[F.col(c).cast("int").alias(c) for c in FLAGS], F.col(TARGET).cast("int").alias("label")).checkpoint(eager=True)
+    cuts = boosting.quantile_cuts(t, names)
+    data = boosting.binned(t, names, "label", cuts, KEY)
+    best = boosting.best_splits(data, len(names), [], boosting.Tree(), [0], list(range(len(names))), 0, 256).where("best IS NOT NULL")
+    at = F.element_at(F.element_at(F.array(*[F.array(*[F.lit(float(v)) for v in c]).cast("array<double>") for c in cuts]), F.col("feature") + 1),
+                      1 - F.col("best.minus_at"))
+    return best.select(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("feature") + 1).alias("feature"), at.alias("cut"), "n",
+                       F.round(F.col("best.hl") / 0.25).cast("long").alias("n_left"), F.col("best.gain").alias("gain"))
+
+
 @register("calibrated_suite")
 def calibrated_suite(spark, sf_dir):
     """M6 + M7: Day-0 models (LR, RF, GBT), each isotonic-calibrated over 3 folds;
