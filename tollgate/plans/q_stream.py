@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import table
+from ..streaming import keyed as K
 from ..streaming import stream as S
 from .catalog import register
 from .q_cascade import rsql
@@ -113,7 +115,6 @@ def stream_score(spark, sf_dir):
     from ..operators import models as MD
     from ..operators.features import day0_feature_names
     from ..operators.scoring import ScoringBundle
-    from ..session import scratch_path
     from .q_cascade import tracked_customers
     from .q_models import model_frame
     f, m = model_frame(spark, sf_dir)
@@ -194,3 +195,52 @@ def stream_daily_completion(spark, sf_dir):
     closed = F.col("day_start") + F.make_dt_interval(F.lit(1 + hi)) <= (
         F.lit(wm).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(DELAY_S)))
     return spark.read.parquet(out).where(closed)
+
+
+#: Micro-batches of the keyed-state queries.
+SLICES = 4
+
+
+def _first_steps_sql():
+    from ..sources.bindings import USER_SPEC
+    types = ("signup", *[s.value for s in USER_SPEC.steps])
+    last = max(s.hi for s in USER_SPEC.steps) + 1
+    parts = [f"""SELECT a.event_id AS anchor_id, a.user_id AS entity_id, a.ts AS anchor_ts, '{s.name}' AS step,
+                        arg_min(b.event_id, (b.ts, b.event_id)) AS step_id, min(b.ts) AS step_ts
+                 FROM a LEFT JOIN events b ON b.user_id = a.user_id AND b.event_type = '{s.value}'
+                      AND b.ts >= a.ts + INTERVAL {s.lo} DAY AND b.ts < a.ts + INTERVAL {s.hi + 1} DAY
+                 GROUP BY a.event_id, a.user_id, a.ts""" for s in USER_SPEC.steps]
+    tl = ", ".join(f"'{t}'" for t in types)
+    return f"""WITH a AS (SELECT * FROM events WHERE event_type = 'signup' AND ts + INTERVAL {last} DAY <
+      (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL {DELAY_S} SECOND FROM events WHERE event_type IN ({tl})))
+      {' UNION ALL '.join(parts)}"""
+
+
+@register("stream_first_steps", _first_steps_sql())
+def stream_first_steps(spark, sf_dir):
+    """R6 as keyed state: the first step event in each step's window of every signup whose windows
+    the watermark has closed, over several micro-batches."""
+    from ..sources.bindings import USER_SPEC
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    at = scratch_path(spark, "first-steps")
+    K.in_slices(events, "ts", SLICES, lambda rows: S.run_available_now(
+        K.first_steps(rows, "signup", USER_SPEC, DELAY), "first-steps", at=at))
+    return spark.read.parquet(f"{at}/out")
+
+
+@register("stream_running_counts", rsql("""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS day_start, event_type, count(*) AS n, sum(value) AS total_value
+FROM events GROUP BY 1, 2""", ["total_value"]))
+def stream_running_counts(spark, sf_dir):
+    """R7 in update mode: running counts of every day and event type, upserted micro-batch by
+    micro-batch; all rows of the table count, open days too."""
+    events = table(spark, sf_dir, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    path, checkpoint = scratch_path(spark, "running"), scratch_path(spark, "running-ckpt")
+
+    def run(rows):
+        counts = rows.withWatermark("ts", DELAY).groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("value").alias("total_value"))
+        K.upsert_running_counts(counts.select(F.col("w.start").alias("day_start"), "event_type", "n", "total_value"), path, checkpoint)
+
+    K.in_slices(events, "ts", SLICES, run)
+    return K.running_counts(spark, path, ["day_start", "event_type"])

@@ -33,10 +33,11 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.Str
     return r.parquet(sf_dir)
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> str:
-    """Run a streaming plan to completion into parquet; returns the output path."""
+def run_available_now(df: DataFrame, name: str, output_mode: str = "append", at: str | None = None) -> str:
+    """Run a streaming plan to completion into parquet; returns the output path.  A run with the
+    same folder ``at`` goes on where the last one stopped."""
     spark = df.sparkSession
-    out, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    out, ck = (f"{at}/out", f"{at}/ckpt") if at else (scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt"))
     q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .outputMode(output_mode).trigger(availableNow=True).queryName(f"{name}_{abs(hash(out)) % 10**8}").start())
     q.awaitTermination()
