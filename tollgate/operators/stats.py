@@ -8,6 +8,8 @@ tracked table.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -264,3 +266,46 @@ def cohort_effect_sizes(tracked: DataFrame, cohort: str, reference: str,
         (rate - ref_rate).alias("risk_difference"),
         (F.lit(2.0) * F.asin(F.sqrt(rate)) - F.lit(2.0) * F.asin(F.sqrt(ref_rate))).alias("cohens_h"),
         safe_div(F.col("m_mean") - F.col("ref_mean"), pooled).alias("cohens_d"))
+
+
+def poisson_cdf(limit: float = 2.0**-32) -> list:
+    """P(at most k) of a Poisson(1) draw for k = 0, 1, ... until the rest is below ``limit``."""
+    term, total, out = math.exp(-1.0), 0.0, []
+    while not out or 1.0 - total >= limit:
+        total += term
+        out.append(total)
+        term /= len(out)
+    return out
+
+
+def bootstrap_intervals(tracked: DataFrame, cohort: str, reference: str, key: str = "entity_id", target: str = "transition_failure",
+                        replicates: int = 200, seed: int = 42, level: float = 0.95) -> DataFrame:
+    """Percentile intervals of each cohort's failure rate, and of its difference from a
+    reference cohort's, by the Poisson bootstrap.
+
+    A row counts Poisson(1) times in a replicate, drawn from a hash of seed, key and replicate (one
+    md5 serves four), so any partitioning and any repeated task draws alike.  Replicates are made and
+    summed row by row before anything moves: the shuffle holds tasks x cohorts x replicates rows.
+    Rows with a NULL cohort or target are left out; a replicate that draws none of a cohort's (or of
+    the reference's) rows says nothing of its rate (or difference).  Rows of equal keys draw alike."""
+    if replicates < 4 or replicates % 4:
+        raise ValueError("replicates come in fours")
+    rows = tracked.where(F.col(cohort).isNotNull() & F.col(target).isNotNull()).select(
+        F.col(cohort).cast("string").alias("cohort_value"), F.col(target).cast("int").alias("y"),
+        F.col(key).cast("string").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(replicates // 4 - 1))).alias("four"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce("k", F.lit("")), F.col("four").cast("string")))
+    rows = rows.select("cohort_value", "y", "four", digest.alias("digest"))
+    draws = [F.struct((F.col("four") * 4 + i).alias("replicate"), (F.conv(F.substring("digest", 8 * i + 1, 8), 16, 10).cast("double")
+                                                                 / F.lit(2.0**32)).alias("u")) for i in range(4)]
+    rows = rows.select("cohort_value", "y", F.inline(F.array(*draws)))
+    times = sum(((F.col("u") >= F.lit(t)).cast("int") for t in poisson_cdf()), F.lit(0))
+    sums = rows.groupBy("cohort_value", "replicate").agg(F.sum(times).alias("w"), F.sum(times * F.col("y")).alias("s"),
+                                                         F.count(F.lit(1)).alias("n"), F.sum("y").alias("failures"))
+    rate = safe_div(F.col("s"), F.col("w"))
+    ref = F.max(F.when(F.col("cohort_value") == F.lit(reference), rate)).over(Window.partitionBy("replicate"))
+    low, high = (1 - level) / 2, (1 + level) / 2
+    each = sums.select("cohort_value", "n", "failures", rate.alias("rate"), (rate - ref).alias("difference"))
+    return each.groupBy("cohort_value").agg(
+        F.max("n").alias("n"), safe_div(F.max("failures"), F.max("n")).alias("failure_rate"),
+        F.percentile("rate", low).alias("rate_low"), F.percentile("rate", high).alias("rate_high"),
+        F.percentile("difference", low).alias("difference_low"), F.percentile("difference", high).alias("difference_high"))

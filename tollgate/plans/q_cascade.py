@@ -372,6 +372,31 @@ def cohort_effect_sizes(spark, sf_dir):
     return stats.cohort_effect_sizes(tracked_customers(spark, sf_dir), "state", "EUROPE")
 
 
+BOOTSTRAP_REPLICATES = 200
+
+
+def _bootstrap_sql():
+    draw = "CAST(('0x' || substr(md5('42:' || CAST(entity_id AS VARCHAR) || ':' || (r // 4)), 8 * (r % 4) + 1, 8)) AS BIGINT) / 4294967296.0"
+    times = " + ".join(f"CAST(u >= CAST({t!r} AS DOUBLE) AS INTEGER)" for t in stats.poisson_cdf())
+    inner = f"""{tracked_ctes('customers')},
+      d AS (SELECT CAST(state AS VARCHAR) AS cohort_value, CAST(transition_failure AS INTEGER) AS y, r, CAST({draw} AS DOUBLE) AS u
+            FROM tracked, range(0, {BOOTSTRAP_REPLICATES}) t(r) WHERE state IS NOT NULL AND transition_failure IS NOT NULL),
+      s AS (SELECT cohort_value, r, sum(k) AS w, CAST(sum(k * y) AS DOUBLE) / NULLIF(sum(k), 0) AS rate, count(*) AS n, sum(y) AS failures
+            FROM (SELECT *, {times} AS k FROM d) GROUP BY cohort_value, r),
+      e AS (SELECT *, rate - max(CASE WHEN cohort_value = 'EUROPE' THEN rate END) OVER (PARTITION BY r) AS difference FROM s)
+      SELECT cohort_value, max(n) AS n, CAST(max(failures) AS DOUBLE) / max(n) AS failure_rate,
+             quantile_cont(rate, 0.025) AS rate_low, quantile_cont(rate, 0.975) AS rate_high,
+             quantile_cont(difference, 0.025) AS difference_low, quantile_cont(difference, 0.975) AS difference_high
+      FROM e GROUP BY cohort_value"""
+    return rsql(inner, ["failure_rate", "rate_low", "rate_high", "difference_low", "difference_high"])
+
+
+@register("cohort_bootstrap", _bootstrap_sql())
+def cohort_bootstrap(spark, sf_dir):
+    """Poisson-bootstrap intervals of each region's failure rate and of its difference from EUROPE."""
+    return stats.bootstrap_intervals(tracked_customers(spark, sf_dir), "state", "EUROPE", replicates=BOOTSTRAP_REPLICATES)
+
+
 # --------------------------------------------------------------------------- K5
 def _summary_sql():
     steps = B.CUSTOMER_SPEC.steps
