@@ -48,3 +48,30 @@ def test_markdown_and_nested_availability_report(spark):
     assert doc["total_features"] == 3 and doc["available_at_day0"]["count"] == 2
     assert doc["available_at_day365"]["features"] == ["urgent_time_to_update"]
     assert doc["categories"]["geographic"] == ["state_target_rate"]
+
+
+def test_bucketed_tables_track_without_a_shuffle_of_the_log(spark):
+    from conftest import SF_SMALL
+    from tollgate.operators.cascade import per_entity_steps
+    from tollgate.session import scratch_path
+    from tollgate.sources import bindings as B
+    ent, log, spec = B.customers(spark, SF_SMALL)
+    ent = ent.select("entity_id", "anchor_ts").checkpoint(eager=True)
+    hot = log.limit(1).crossJoin(spark.range(3000)).drop("id").withColumn("entity_id", F.lit(1).cast(log.schema["entity_id"].dataType))
+    nulls = log.limit(5).withColumn("entity_id", F.lit(None).cast(log.schema["entity_id"].dataType))
+    log = log.unionByName(hot).unionByName(nulls).checkpoint(eager=True)
+    a, b = (sinks.write_bucketed(t, f"bucketed_{n}", scratch_path(spark, n), "entity_id", 4) for n, t in (("ent", ent), ("log", log)))
+    assert sorted(map(str, b.collect())) == sorted(map(str, log.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, plain = per_entity_steps(a, b, spec), per_entity_steps(ent, log, spec)
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+        empty = sinks.write_bucketed(log.where("1 = 0"), "bucketed_none", scratch_path(spark, "none"), "entity_id", 4)
+        assert per_entity_steps(a, empty, spec).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for n in ("ent", "log", "none"):
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{n}")

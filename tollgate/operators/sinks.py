@@ -22,6 +22,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
     w.save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by=(), spread: int = 4) -> DataFrame:
+    """K1 for tables that are joined by ``key`` again and again: an external table of hash buckets,
+    sorted within files, returned as its scan.  Two such tables of as many buckets join, and then
+    aggregate by the key, without a shuffle.
+
+    A bucket is written by ``spread`` tasks (a hash of the other columns deals its rows), so a hot key
+    does not fall on one.  A join of buckets does read a bucket in one task: with a hot key, read the
+    files by path instead (``spark.read.parquet``), and adaptive execution splits it.  A NULL key has a bucket too."""
+    others = [F.col(f"`{c}`") for c in df.columns if c != key]
+    salt = F.pmod(F.xxhash64(*others), F.lit(spread)) if others and spread > 1 else F.lit(0)
+    bucket = F.pmod(F.hash(F.col(key)), F.lit(buckets))
+    (df.repartition(buckets * max(1, spread), bucket, salt).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key, *sort_by).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def write_small(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """K2/K3: tiny result tables (one row per step/cohort/feature) as one file."""
     write_table(df.coalesce(1), path, fmt)
