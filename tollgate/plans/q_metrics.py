@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import drift as D
 from ..operators import metrics as M
 from ..sources import bindings as B
 from .catalog import register
@@ -187,6 +188,22 @@ def psi_drift(spark, sf_dir):
     return M.psi(s.where(F.col("anchor_ts") < cut), s.where(F.col("anchor_ts") >= cut))
 
 
+@register("sketch_drift", f"""{SCORED_SQL},
+  b AS (SELECT year(anchor_ts) AS period, unnest(range(0, 10)) AS bin, CAST(least(floor(score * 10), 9) AS INTEGER) AS mine FROM scored)
+  SELECT CAST(period AS INTEGER) AS period, CAST(bin AS INTEGER) AS bin, count(*) AS n, CAST(count(*) FILTER (WHERE mine = bin) AS BIGINT) AS in_bin,
+         true AS within FROM b GROUP BY ALL""")
+def sketch_drift(spark, sf_dir):
+    """M16 over time: scores by anchor year, counted, and whether each bin's share from the year's
+    sketch is within twice the sketch's stated error."""
+    s = scored(spark, sf_dir).select(F.year("anchor_ts").alias("period"), "score").checkpoint(eager=True)
+    bins = s.groupBy("period", F.least(F.floor(F.col("score") * 10), F.lit(9)).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("in_bin"))
+    shares = D.bin_shares(D.period_sketches(s, F.col("period"))).alias("a")
+    same = F.col("a.period").eqNullSafe(F.col("b.period")) & (F.col("a.bin") == F.col("b.bin"))
+    count = F.coalesce("in_bin", F.lit(0))
+    return shares.join(bins.alias("b"), same, "left").select(
+        "a.period", "a.bin", "n", count.alias("in_bin"), (F.abs(F.col("share") - count / F.col("n")) <= 2 * D.rank_error(4096)).alias("within"))
+
+
 # --------------------------------------------------------------------------- A13
 def _fair_sql():
     parts = []
