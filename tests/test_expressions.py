@@ -56,3 +56,14 @@ def test_yates_chi_square_goldens(spark, fa, na, fb, nb, chi2, p):
 def test_weekday_monday_zero(spark):
     rows = [(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 7),)]  # Monday, Sunday
     assert one(spark, X.weekday_monday0(F.col("t")), rows, "t timestamp") == [0, 6]
+
+
+def test_chi_square_tail_against_erfc(spark):
+    import math
+    xs = [0.0, 1e-12, 1e-6, 0.01, 0.5, 1.0, 2.8213825, 3.841458820694124, 6.634896601021213, 7.999999, 8.0, 8.000001, 10.827566170662733,
+          25.0, 60.0, 300.0, 1200.0]
+    rows = [(x,) for x in xs] + [(None,)]
+    got = one(spark, X.chi2_sf_1dof(F.col("x")), rows, "x double")
+    assert got[-1] is None
+    for x, g in zip(xs, got):
+        assert g == pytest.approx(math.erfc(math.sqrt(x / 2)), rel=1e-11)

@@ -29,6 +29,17 @@ def test_policy_summary_sections(spark):
     assert sum(1 for r in rows if r["section"] == "high_risk") <= 10
 
 
+def test_policy_report_adds_gaps_to_the_summary(spark):
+    from conftest import SF_SMALL
+
+    import __spark_entry__ as E
+    rows = E.queries()["policy_report"](spark, SF_SMALL).collect()
+    rest = {(r["section"], r["key"], r["value"]) for r in E.queries()["policy_summary"](spark, SF_SMALL).collect()}
+    assert rest <= {tuple(r) for r in rows}
+    assert {r["section"] for r in rows} - {"gender"} == {"overview", "completion", "tests", "high_risk", "lag"}
+    assert all(r["value"] > 5.0 for r in rows if r["section"] == "gender")
+
+
 def test_markdown_and_nested_availability_report(spark):
     import json
 

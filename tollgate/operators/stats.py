@@ -218,10 +218,36 @@ def district_risk_grid(tracked: DataFrame, min_size: int = 100, top: int = 20,
             .na.fill(0.0, subset=states))
 
 
-def cohort_pivot(cohort_rates: DataFrame, cohorts, value_col: str = "completion_rate_pct") -> DataFrame:
+def cohort_pivot(cohort_rates: DataFrame, cohorts, value_col: str = "completion_rate_pct",
+                 other: str | None = None) -> DataFrame:
     """Step x cohort matrix of a cohort table produced by A2.  The caller names the cohort
-    values that become columns; the long form (A2) holds all of them, however many."""
-    return cohort_rates.groupBy("step").pivot("cohort", list(cohorts)).agg(F.first(value_col))
+    values that become columns; the long form (A2) holds all of them, however many.  ``other`` names
+    two more columns: the completion % of all further cohorts together (NULL without any), and
+    ``<other>_cohorts``, how many they are."""
+    named = [F.first(F.when(F.col("cohort") == F.lit(c), F.col(value_col)), ignorenulls=True).alias(c) for c in cohorts]
+    if other:
+        rest = ~F.col("cohort").isin(list(cohorts))
+        share = _pct(F.sum(F.when(rest, F.col("completed"))), F.sum(F.when(rest, F.col("total"))))
+        n = F.count(F.when(rest, 1))
+        named += [F.when(n > 0, share).alias(other), n.alias(f"{other}_cohorts")]
+    return cohort_rates.groupBy("step").agg(*named)
+
+
+def wide_risks(risks: DataFrame, types=HIGH_RISK_TYPES) -> DataFrame:
+    """The long risk table (A5) with one column per cohort type, NULL in the rows of other types."""
+    cols = [F.when(F.col("cohort_type") == F.lit(c), F.col("cohort_value")).alias(c) for c, _, _ in types]
+    return risks.select(*cols, "failure_rate", F.col("n").alias("count"), "cohort_type")
+
+
+#: fixed value: the gap in points beyond which the reference's report names a gender difference
+NOTABLE_GAP = 5.0
+
+
+def gap_lines(tracked: DataFrame, spec: CascadeSpec, gap: float = NOTABLE_GAP) -> list:
+    """K5 sections: [steps whose completion differs between the genders by more than ``gap`` points,
+    lag of every step between the areas]."""
+    gender = binary_divergence(tracked, spec)
+    return [gender.where(F.abs("relative_divergence") > F.lit(gap)), area_lag(tracked, spec)]
 
 
 def wilson_interval(k: Column, n: Column, z: float = 1.959963984540054):

@@ -217,13 +217,13 @@ def area_lag(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- A5
-def _a5_sql():
+def _a5_sql(min_size=MIN_SIZE):
     parts = [f"""SELECT '{c}' AS cohort_type, CAST({c} AS VARCHAR) AS cohort_value,
                   avg(CAST(transition_failure AS DOUBLE)) AS failure_rate, count(*) AS n
                 FROM tracked WHERE {c} IS NOT NULL GROUP BY {c}"""
              for c, _, _ in stats.HIGH_RISK_TYPES]
     keep = " OR ".join(
-        f"(cohort_type = '{c}'{f' AND n >= {MIN_SIZE}' if m else ''})" for c, _, m in stats.HIGH_RISK_TYPES)
+        f"(cohort_type = '{c}'{f' AND n >= {min_size}' if m else ''})" for c, _, m in stats.HIGH_RISK_TYPES)
     lim = " AND ".join(f"NOT (cohort_type = '{c}' AND rank_in_type > {k})"
                        for c, k, _ in stats.HIGH_RISK_TYPES if k is not None)
     inner = f"""{tracked_ctes('customers')},
@@ -241,6 +241,17 @@ def high_risk_cohorts(spark, sf_dir):
     return stats.high_risk_cohorts(tracked_customers(spark, sf_dir), min_size=MIN_SIZE)
 
 
+def _wide_sql():
+    cols = ", ".join(f"CASE WHEN cohort_type = '{c}' THEN cohort_value END AS {c}" for c, _, _ in stats.HIGH_RISK_TYPES)
+    return f"SELECT {cols}, failure_rate, n AS count, cohort_type FROM ({_a5_sql(100)}) r"
+
+
+@register("high_risk_cohorts_wide", _wide_sql())
+def high_risk_cohorts_wide(spark, sf_dir):
+    """A5 + W5 as the reference lays them out: a column per cohort type, its size floor of 100."""
+    return stats.wide_risks(stats.high_risk_cohorts(tracked_customers(spark, sf_dir), min_size=100))
+
+
 # --------------------------------------------------------------------------- A6
 def _a6_sql():
     from .sqlgen import tracked_ctes as tc
@@ -254,7 +265,8 @@ def _a6_sql():
           FROM tracked"""
     t = (f"{chi('gender_failure_chi2', 'gender', 'M', 'F', 'Male', 'Female')} UNION ALL "
          f"{chi('urban_rural_failure_chi2', 'urban_rural', 'Urban', 'Rural', 'Urban', 'Rural')}")
-    # Yates-corrected 2x2 statistic and the A&S 7.1.26 upper tail, as in the library
+    # Yates-corrected 2x2 statistic; its upper tail by the midpoint rule on the integral of
+    # exp(-x / (2 sin(t)^2)) over t in (0, pi/2), times 2/pi
     inner = f"""{tc('customers')},
       t AS ({t}),
       c AS (SELECT *, CAST(fa AS DOUBLE) AS a, CAST(na - fa AS DOUBLE) AS b, CAST(fb AS DOUBLE) AS c2,
@@ -262,10 +274,8 @@ def _a6_sql():
       s AS (SELECT *, CASE WHEN (a + b) * (c2 + d) * (a + c2) * (b + d) > 0 THEN
                  (a + b + c2 + d) * pow(greatest(abs(a * d - b * c2) - (a + b + c2 + d) / 2.0, 0.0), 2)
                  / ((a + b) * (c2 + d) * (a + c2) * (b + d)) ELSE 0.0 END AS statistic FROM c),
-      p AS (SELECT *, 1.0 / (1.0 + 0.3275911 * sqrt(statistic / 2.0)) AS tt FROM s),
-      q AS (SELECT *, tt * (0.254829592 + tt * (-0.284496736 + tt * (1.421413741 + tt * (-1.453152027
-                  + tt * 1.061405429)))) * exp(-(sqrt(statistic / 2.0) * sqrt(statistic / 2.0))) AS p_value
-            FROM p)
+      q AS (SELECT *, list_avg([exp(-statistic / (2.0 * pow(sin((k + 0.5) * pi() / 40000.0), 2)))
+                                for k in range(20000)]) AS p_value FROM s)
       SELECT test, statistic, p_value, p_value < 0.05 AS significant,
              la || ' (n=' || CAST(na AS VARCHAR) || ')' AS cohort1,
              lb || ' (n=' || CAST(nb AS VARCHAR) || ')' AS cohort2
@@ -338,6 +348,32 @@ def cohort_pivot(spark, sf_dir):
     return stats.cohort_pivot(stats.cohort_completion_rates(t, B.CUSTOMER_SPEC, "segment"), SEGMENTS)
 
 
+#: Districts that get a column of their own; the rest are one ``other`` column.
+NAMED_DISTRICTS = ("NATION_0", "NATION_1", "NATION_2")
+
+
+def _a9_other_sql():
+    names = ", ".join(f"'{d}'" for d in NAMED_DISTRICTS)
+    parts = [f"""SELECT upper(district) AS cohort, '{s.name}' AS step, count(*) AS total,
+                 sum(CAST({s.name}_in_window AS INTEGER)) AS completed
+               FROM tracked WHERE district IS NOT NULL GROUP BY 1""" for s in B.CUSTOMER_SPEC.steps]
+    cols = ", ".join(f"max(CASE WHEN cohort = '{d}' THEN {pct_sql('completed', 'total')} END) AS \"{d}\"" for d in NAMED_DISTRICTS)
+    rest = f"FILTER (WHERE cohort NOT IN ({names}))"
+    inner = f"""{tracked_ctes('customers')}
+      SELECT step, {cols},
+             CASE WHEN count(*) {rest} > 0 THEN {pct_sql(f'sum(completed) {rest}', f'sum(total) {rest}')} END AS other,
+             count(*) {rest} AS other_cohorts
+      FROM ({' UNION ALL '.join(parts)}) x GROUP BY step"""
+    return rsql(inner, [*(f'"{d}"' for d in NAMED_DISTRICTS), "other"])
+
+
+@register("cohort_pivot_other", _a9_other_sql())
+def cohort_pivot_other(spark, sf_dir):
+    """A9 over many cohorts: step x three districts, and all others together."""
+    t = tracked_customers(spark, sf_dir).withColumn("district", F.upper("district"))
+    return stats.cohort_pivot(stats.cohort_completion_rates(t, B.CUSTOMER_SPEC, "district"), NAMED_DISTRICTS, other="other")
+
+
 # --------------------------------------------------------------------------- A12
 def _a12_sql():
     inner = f"""{tracked_ctes('customers')},
@@ -438,6 +474,23 @@ def policy_summary(spark, sf_dir):
     return union_by_name([n, fail, comp, tests, top])
 
 
+def _report_sql():
+    inner = f"""SELECT * FROM ({_summary_sql()}) s
+      UNION ALL SELECT 'gender', step, divergence_pct_points FROM ({_a3_sql()}) g WHERE abs(relative_divergence) > 5.0
+      UNION ALL SELECT 'lag', step, completion_lag_pct_points FROM ({_a4_sql()}) l"""
+    return rsql(inner, ["value"])
+
+
+@register("policy_report", _report_sql())
+def policy_report(spark, sf_dir):
+    """K5 with the reference's remaining sections: gender gaps of over five points, lag between areas."""
+    gender, lag = stats.gap_lines(tracked_customers(spark, sf_dir).checkpoint(eager=True), B.CUSTOMER_SPEC)
+    from ..operators.prep import union_by_name
+    return union_by_name([policy_summary(spark, sf_dir),
+                          gender.select(F.lit("gender").alias("section"), F.col("step").alias("key"), F.col("divergence_pct_points").alias("value")),
+                          lag.select(F.lit("lag").alias("section"), F.col("step").alias("key"), F.col("completion_lag_pct_points").alias("value"))])
+
+
 # --------------------------------------------------------------------------- C9, C10 on B2
 def _days_only_sql():
     cols = []

@@ -139,6 +139,25 @@ def cv_auc(spark, sf_dir):
                                  "fold int, roc_auc double, mean_auc double, std_auc double")
 
 
+def _cv_trees(spark, sf_dir, trainer):
+    f, m = model_frame(spark, sf_dir)
+    mean, std, aucs = MD.cv_auc(f.where(F.col("split") == "train"), m.feature_names, "label", KEY, trainer, k=5)
+    return spark.createDataFrame([(trainer, i, a, mean, std) for i, a in enumerate(aucs)],
+                                 "model string, fold int, roc_auc double, mean_auc double, std_auc double")
+
+
+@register("cv_auc_rf")
+def cv_auc_rf(spark, sf_dir):
+    """M2: 5-fold stratified cross-validated AUC of the random forest on the training split."""
+    return _cv_trees(spark, sf_dir, "rf")
+
+
+@register("cv_auc_gbt")
+def cv_auc_gbt(spark, sf_dir):
+    """M2: 5-fold stratified cross-validated AUC of the boosted trees on the training split."""
+    return _cv_trees(spark, sf_dir, "gbt")
+
+
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """Random-forest feature importances, sorted."""

@@ -131,8 +131,11 @@ def run_analysis(spark: SparkSession, people: DataFrame, step_log: DataFrame, ou
     avail = audit.availability_table(feats, names, REFERENCE_SPEC)
     sinks.write_json_report(audit.availability_report(avail), os.path.join(out_dir, "feature_availability"))  # K4
     overall = stats.overall_failure_rate(tracked)
+    gender, lag = stats.gap_lines(tracked, REFERENCE_SPEC)
     parts = [sinks.report_rows("overview", overall, "n", ["failure_rate"]),
-             sinks.report_rows("completion", out["completion_rates"], "step", ["completion_rate_pct"]),
+             sinks.report_rows("completion", out["completion_rates"], "step", ["completion_rate_pct", "missing_rate_pct", "window_days"]),
+             sinks.report_rows("gender", gender, "step", ["divergence_pct_points", "male_completion_rate_pct", "female_completion_rate_pct"]),
+             sinks.report_rows("lag", lag, "step", ["completion_lag_pct_points", "urban_completion_rate_pct", "rural_completion_rate_pct"]),
              sinks.report_rows("tests", out["statistical_tests"], "test", ["statistic", "p_value"]),
              sinks.report_rows("models", metrics, "model", ["accuracy", "f1", "roc_auc"]),
              sinks.report_rows("high_risk", out["high_risk_cohorts"].orderBy(F.desc("failure_rate"),
