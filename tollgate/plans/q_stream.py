@@ -5,13 +5,16 @@ the batch SQL on windows that the final watermark has closed."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sources.tables import table
 from ..streaming import keyed as K
+from ..streaming import requests as R
 from ..streaming import stream as S
 from .catalog import register
 from .q_cascade import rsql
+from .sqlgen import tracked_ctes
 
 DELAY = "1 hour"
 DELAY_S = 3600
@@ -129,6 +132,42 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+REQUEST_SCHEMA = T.StructType([*(T.StructField(c, T.StringType()) for c in ("entity_id", "gender", "state", "district", "urban_rural")),
+                               T.StructField("anchor_ts", T.TimestampType())])
+
+
+def _requests_sql():
+    fields = ("gender", "state", "district", "urban_rural", "anchor_ts")
+    whens = " ".join(f"WHEN {c} IS NULL THEN 'Missing required field: {c}'" for c in fields)
+    return f"""{tracked_ctes('customers')},
+      r AS (SELECT entity_id, gender, state, district, urban_rural, anchor_ts FROM tracked
+            UNION SELECT entity_id, gender, state, district, urban_rural, NULL FROM tracked)
+      SELECT entity_id, error, error IS NULL AS scored, count(*) AS n
+      FROM (SELECT entity_id, CASE {whens} END AS error FROM r) x GROUP BY entity_id, error"""
+
+
+@register("stream_requests_csv", _requests_sql())
+def stream_requests_csv(spark, sf_dir):
+    """R5 + S5: every customer as a CSV request in three layouts -- as declared; the same requests again,
+    reordered and with one more column; without the anchor -- through the request stream, two files a
+    micro-batch: repeats once, refused rows with their error."""
+    from ..operators import models as MD
+    from ..operators.features import day0_feature_names
+    from ..operators.scoring import ScoringBundle
+    from .q_cascade import tracked_customers
+    from .q_models import model_frame
+    f, m = model_frame(spark, sf_dir)
+    names = day0_feature_names(m.feature_names)
+    bundle = ScoringBundle(m, MD.train_logistic(f.where(F.col("split") == "train"), names, "label"), names, {})
+    asked = tracked_customers(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in REQUEST_SCHEMA.names]).checkpoint(eager=True)
+    folder, at = scratch_path(spark, "requests"), scratch_path(spark, "requests-scored")
+    for part in (asked, asked.select(F.lit("again").alias("note"), *reversed(asked.columns)), asked.drop("anchor_ts")):
+        part.write.mode("append").option("header", True).csv(folder)
+    scores = R.run(spark, folder, at, REQUEST_SCHEMA, bundle, max_files=2)
+    return scores.groupBy(F.col("entity_id").cast("long").alias("entity_id"), "error").agg(
+        F.max(F.col("probability").isNotNull()).alias("scored"), F.count(F.lit(1)).alias("n"))
+
+
 def _steps_sql():
     from ..sources.bindings import USER_SPEC
     spec = USER_SPEC
