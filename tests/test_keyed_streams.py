@@ -66,6 +66,32 @@ def test_micro_batches_equal_brute_force(spark):
     assert run(spark, shuffled, bucket_days=1) == want  # finer buckets, same rows
 
 
+def test_entities_share_state_keys(spark):
+    rng = random.Random(3)
+    rows = sorted(((i, rng.choice([*range(40), None]), rng.choice(["signup", "view", "click"]),
+                    START + timedelta(seconds=rng.randrange(6 * 86400))) for i in range(500)), key=lambda r: r[3])
+    want = brute(rows, rows[-1][3] - timedelta(hours=1))
+    assert len(want) > 100
+    batches = [rows[:250], rows[250:]]
+    assert run(spark, batches, shards=1) == want and run(spark, batches, shards=7) == want
+    path = scratch_path(spark, "events")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(path)
+    at = scratch_path(spark, "shared")
+    S.run_available_now(K.first_steps(one_file_a_batch(spark, path), "signup", SPEC, shards=2), "shared", at=at)
+    state = spark.read.format("statestore").load(f"{at}/ckpt")
+    assert 0 < state.count() <= 2 * 5 + 5  # two shards and the missing entity, not 40 entities, in each open bucket
+
+
+def test_entities_of_other_types(spark):
+    rows = events(200, 6)
+    want = brute(rows, max(t for _, _, k, t in rows if k != "other") - timedelta(hours=1))
+    path = scratch_path(spark, "events")
+    spark.createDataFrame(rows, SCHEMA).withColumn("user_id", F.concat(F.lit("u"), "user_id")).coalesce(1).write.parquet(path)
+    out = S.run_available_now(K.first_steps(one_file_a_batch(spark, path), "signup", SPEC), "named")
+    got = sorted(((r["anchor_id"], r["entity_id"] and int(r["entity_id"][1:]), r["step"], r["step_id"]) for r in spark.read.parquet(out).collect()), key=repr)
+    assert got == want
+
+
 def test_late_rows_inside_the_delay_count_and_older_ones_are_dropped(spark):
     def at(**k):
         return START + timedelta(**k)

@@ -3,12 +3,14 @@
 ``first_steps`` keeps, for every anchor event and step, the first step event inside its day window
 (earliest time, then smallest event id), as a batch run over all events would.
 
-* State is keyed by entity and time bucket, so that a hot entity is spread over its buckets.  An
-  anchor lies in one bucket; a step event goes to the buckets whose anchors its window reaches: two
-  or three for buckets as long as the longest window.  A key holds one entity's rows of one bucket
-  and the windows behind it; ``bucket_days`` makes buckets finer.
+* State is keyed by time bucket and, for whole-number entities, by one of ``shards`` groups of them
+  (each key costs a call to Python); other entities are keyed one by one.  So a hot entity is spread over
+  its buckets.  An anchor lies in one bucket; a step event goes to the buckets whose anchors its window
+  reaches: two or three for buckets as long as the longest window.  A key holds its entities' rows of
+  one bucket and the windows behind it; ``bucket_days`` and ``shards`` make keys finer.
 * A key's state holds anchors whose windows are still open and step events that these, or anchors
-  still to come, can use.  Each anchor searches the sorted step events: nothing is emitted pair by pair.
+  still to come, can use.  All anchors of a key search the sorted step events at once: nothing is
+  emitted pair by pair.
 * An event-time timer at the first closing window emits that anchor's rows; a key without open
   anchors goes when the watermark has passed its bucket.
 * Rows older than the watermark (of the micro-batch before) are dropped, as by every watermarked
@@ -29,20 +31,34 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import scratch_path
 
 DAY = 86_400_000_000  # microseconds
 ANCHOR = -1
+#: Groups of entities in a time bucket.
+SHARDS = 512
 
 
 def _state_columns(blob, width: int) -> np.ndarray:
     return np.frombuffer(bytes(blob), np.int64).reshape(width, -1)
 
 
+def first_at(found: np.ndarray, who: np.ndarray, since: np.ndarray) -> np.ndarray:
+    """How many of the events (times, ids, entities; sorted by entity, then time) come before (who, since)."""
+    n = found.shape[1]
+    is_event = np.arange(n + len(who)) < n
+    order = np.lexsort((is_event, np.concatenate([found[0], since]), np.concatenate([found[2], who])))
+    before = np.empty(len(order), np.int64)
+    before[order] = np.cumsum(is_event[order])
+    return before[n:]
+
+
 def first_steps(events: DataFrame, anchor_type: str, spec, delay: str = "1 hour", bucket_days: int | None = None,
-                entity: str = "user_id", ts: str = "ts", kind: str = "event_type", event_id: str = "event_id") -> DataFrame:
+                entity: str = "user_id", ts: str = "ts", kind: str = "event_type", event_id: str = "event_id",
+                shards: int = SHARDS) -> DataFrame:
     """(anchor_id, entity_id, anchor_ts, step, step_id, step_ts) of every anchor and step of ``spec``,
     once the watermark has passed the anchor's last window.  A window of lo to hi days holds
     step times of at least lo and less than hi + 1 days after the anchor."""
@@ -66,17 +82,23 @@ def first_steps(events: DataFrame, anchor_type: str, spec, delay: str = "1 hour"
     roles = F.concat(*[F.coalesce(r, F.array().cast("array<struct<bucket: bigint, role: int>>")) for r in (
         role(ANCHOR, anchor_type, 0, 0),
         *[role(i, v, -(hi + 1) * DAY + 1, -lo * DAY) for i, (_, v, lo, hi) in enumerate(steps)])])
-    rows = ev.select("event_id", "entity_id", "ts", "us", F.explode(roles).alias("r")).select(
-        "event_id", "entity_id", "ts", "us", F.col("r.bucket").alias("bucket"), F.col("r.role").alias("role"))
+    sharded = isinstance(events.schema[entity].dataType, T.IntegralType)
+    if sharded:  # without an entity: no shard
+        shard = F.when(F.col("entity_id").isNotNull(), F.pmod(F.xxhash64("entity_id"), F.lit(shards)).cast("int"))
+        who = F.coalesce(F.col("entity_id").cast("long"), F.lit(0).cast("long"))
+    else:
+        shard, who = F.col("entity_id"), F.lit(0).cast("long")
+    rows = ev.select("event_id", "ts", "us", shard.alias("shard"), who.alias("who"), F.explode(roles).alias("r")).select(
+        "event_id", "ts", "us", "shard", "who", F.col("r.bucket").alias("bucket"), F.col("r.role").alias("role"))
 
     def advance(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         end = (int(key[1]) + 1) * width
-        anchors, found = np.empty((2, 0), np.int64), np.empty((3, 0), np.int64)  # (time, id), (time, id, role)
+        anchors, found = np.empty((3, 0), np.int64), np.empty((4, 0), np.int64)  # (time, id, who), (time, id, who, role)
         if state.exists:
-            anchors, found = (_state_columns(b, n) for b, n in zip(state.get, (2, 3)))
+            anchors, found = (_state_columns(b, n) for b, n in zip(state.get, (3, 4)))
         for f in frames if not state.hasTimedOut else ():
-            new, is_anchor = f[["us", "event_id", "role"]].to_numpy(np.int64).T, (f["role"] == ANCHOR).to_numpy()
-            anchors = np.concatenate([anchors, new[:2, is_anchor]], axis=1)
+            new, is_anchor = f[["us", "event_id", "who", "role"]].to_numpy(np.int64).T, (f["role"] == ANCHOR).to_numpy()
+            anchors = np.concatenate([anchors, new[:3, is_anchor]], axis=1)
             if not pd.isna(key[0]):
                 found = np.concatenate([found, new[:, ~is_anchor]], axis=1)
         now = state.getCurrentWatermarkMs() * 1000
@@ -93,18 +115,19 @@ def first_steps(events: DataFrame, anchor_type: str, spec, delay: str = "1 hour"
         state.update((anchors.tobytes(), found.tobytes()))
         state.setTimeoutTimestamp(max(1, int(anchors[0].min() + last if len(anchors[0]) else end) // 1000))
 
-    def matches(who, anchors: np.ndarray, found: np.ndarray) -> pd.DataFrame:
-        out, found = [], found[:, np.lexsort((found[1], found[0]))]
+    def matches(shard, anchors: np.ndarray, found: np.ndarray) -> pd.DataFrame:
+        out, found = [], found[:, np.lexsort((found[1], found[0], found[2]))]
+        entities = pd.Series(anchors[2], dtype="Int64") if sharded and not pd.isna(shard) else None if sharded else shard
         for number, (name, _, lo, hi) in enumerate(steps):
-            mine = found[:, found[2] == number]
-            at = np.searchsorted(mine[0], anchors[0] + lo * DAY, side="left")
-            times, ids = (np.append(mine[i], np.iinfo(np.int64).max)[at] for i in (0, 1))
-            hit = (at < mine.shape[1]) & (times < anchors[0] + (hi + 1) * DAY)
-            out.append(pd.DataFrame({"anchor_id": anchors[1], "entity_id": who, "anchor_us": anchors[0], "step": name,
+            mine = found[:, found[3] == number]
+            at = first_at(mine, anchors[2], anchors[0] + lo * DAY)
+            times, ids, whose = (np.append(mine[i], np.iinfo(np.int64).max)[at] for i in range(3))
+            hit = (at < mine.shape[1]) & (whose == anchors[2]) & (times < anchors[0] + (hi + 1) * DAY)
+            out.append(pd.DataFrame({"anchor_id": anchors[1], "entity_id": entities, "anchor_us": anchors[0], "step": name,
                                      "step_id": pd.Series(ids, dtype="Int64").where(hit), "step_us": pd.Series(times, dtype="Int64").where(hit)}))
         return pd.concat(out, ignore_index=True)
 
-    kept = rows.groupBy("entity_id", "bucket").applyInPandasWithState(
+    kept = rows.groupBy("shard", "bucket").applyInPandasWithState(
         advance, f"anchor_id long, entity_id {events.schema[entity].dataType.simpleString()}, anchor_us long, step string, step_id long, step_us long",
         "anchors binary, steps binary", "append", GroupStateTimeout.EventTimeTimeout)
     return kept.select("anchor_id", "entity_id", F.timestamp_micros("anchor_us").alias("anchor_ts"), "step", "step_id",
