@@ -63,6 +63,28 @@ def test_attribution_equals_all_subsets(d, depth):
     assert np.isclose(table.expected, sum(w * subset_value(t, None, set()) for w, t in zip((0.5, 2.0, 1.0), trees)))
 
 
+@pytest.mark.parametrize("d, depth, edges", [(1, 3, 1), (3, 4, 10_000), (5, 6, 20), (4, 0, 1)])
+def test_attribution_by_edges_equals_all_subsets(monkeypatch, d, depth, edges):
+    monkeypatch.setattr(AT, "EDGES", edges)
+    monkeypatch.setattr(AT, "EDGE_CHUNK", 100)
+    rng = np.random.default_rng(d + 7 * depth)
+    trees = [(w, random_tree(rng, d, depth)) for w in (0.5, 2.0, 1.0)]
+    table = AT.table_of([(w, AT.paths_of(t)) for w, t in trees])
+    x = rng.normal(size=(6, d))
+    by_leaves = table.attribution(x, d)
+    table.edges = AT.edge_tables(trees)
+    got = table.attribution(x, d)
+    want = np.array([sum(w * brute_shapley(t, row, d) for w, t in trees) for row in x])
+    assert np.allclose(got, want, atol=1e-12) and np.allclose(got, by_leaves, atol=1e-12)
+
+
+def test_attribution_takes_products_once_an_edge():
+    rng = np.random.default_rng(5)
+    tree = random_tree(rng, 6, 7)
+    table, (edges,) = AT.table_of([(1.0, AT.paths_of(tree))]), AT.edge_tables([(1.0, tree)])
+    assert len(edges.parent) < table.feature.size / 2  # not leaves times path
+
+
 def frame(spark, n=600):
     return spark.range(n).selectExpr("id AS k", "id % 7 / 3.0 AS x1", "id % 5 / 2.0 - 1 AS x2", "cast(id % 3 as double) AS x3",
                                      "cast(id * 37 % 11 as double) AS x4", "cast((id % 7 + id % 3 > 4) <> (id % 13 = 0) as int) AS y")
