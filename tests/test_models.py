@@ -127,3 +127,24 @@ def test_infinite_values_count_as_missing(spark):
     med = FE.fit_medians(df, ["x"])
     assert med == {"x": 3.0}
     assert sorted(r.x for r in FE.apply_medians(df, med).collect()) == [1.0, 3.0, 3.0, 3.0, 3.0, 8.0]
+
+
+def test_independent_fits_run_at_once(spark, monkeypatch):
+    import threading
+
+    def meets(n):
+        gate, plain = threading.Barrier(n), MD.train_logistic
+
+        def train(*args, **over):
+            gate.wait(timeout=60)  # broken unless n fits are under way
+            return plain(*args, max_iter=5)
+        monkeypatch.setitem(MD.TRAINERS, "met", train)
+    df = spark.range(90).selectExpr("id AS k", "id % 7 / 3.0 AS x1", "id % 5 - 1.0 AS x2", "cast(id % 7 > 3 as int) AS y")
+    meets(3)
+    mean, _, aucs = MD.cv_auc(df, ["x1", "x2"], "y", "k", "met", k=3)
+    assert len(aucs) == 3 and mean == pytest.approx(sum(aucs) / 3)
+    meets(2)
+    assert [r[0] for r in MD.ablation(df, df, ["x1", "x2"], {"b": ["x2"]}, "y", "met")] == ["<none>", "b"]
+    meets(3)
+    assert len(MD.fit_calibrated(df, ["x1", "x2"], "y", "k", base="met", folds=3)) == 3
+    assert MD.side_by_side(spark, [lambda i=i: i for i in range(9)]) == list(range(9))

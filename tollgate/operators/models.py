@@ -5,16 +5,21 @@
 Training is MLlib (distributed).  Everything around it -- class weights, folds,
 out-of-fold calibration, cross-validated AUC, label-shuffle sanity, ablation,
 temporal and per-horizon validation, sampled Shapley values -- is DataFrame work over
-the same partitioned data; the driver only loops over a handful of model fits.
+the same partitioned data; the driver only starts a handful of model fits, independent ones
+side by side.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import md5_order_key
@@ -30,6 +35,15 @@ RF_PARAMS = dict(numTrees=100, maxDepth=10, minInstancesPerNode=10, seed=42)
 GBT_PARAMS = dict(maxIter=100, maxDepth=6, stepSize=0.1, subsamplingRate=0.8, seed=42)
 LR_MAX_ITER = 1000
 LR_TOL = 1e-4  # sklearn's lbfgs tolerance
+#: Independent fits at once.  A fit is hundreds of short jobs, one after another, that leave cores idle.
+FITS_AT_ONCE = 5
+
+
+def side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
+    """The results of independent tasks in their order, ``FITS_AT_ONCE`` running at a time."""
+    checkpoint_dir(spark)
+    with ThreadPool(max(1, min(FITS_AT_ONCE, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks], chunksize=1)
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -99,14 +113,12 @@ def fit_calibrated(train: DataFrame, names, label: str, key: str, base: str = "r
     reaches the driver); returns the pairs."""
     checkpoint_dir(train.sparkSession)
     f = stratified_folds(train, key, label, k=folds, seed=seed).checkpoint(eager=True)  # read by every fold
-    pairs = []
-    for i in range(folds):
-        fit_rows = f.where(F.col("fold") != i)
-        cal_rows = f.where(F.col("fold") == i)
-        m = TRAINERS[base](fit_rows, names, label, **over) if over else TRAINERS[base](fit_rows, names, label)
-        s = score(m, cal_rows, names).withColumn("__label", F.col(label).cast("double"))
-        pairs.append((m, fit_isotonic(s, "score", "__label", out="cal")))
-    return pairs
+
+    def pair(i):
+        m = TRAINERS[base](f.where(F.col("fold") != i), names, label, **over)
+        s = score(m, f.where(F.col("fold") == i), names).withColumn("__label", F.col(label).cast("double"))
+        return m, fit_isotonic(s, "score", "__label", out="cal")
+    return side_by_side(train.sparkSession, [partial(pair, i) for i in range(folds)])
 
 
 def score_calibrated(pairs, df: DataFrame, names, key: str, out: str = "score") -> DataFrame:
@@ -124,11 +136,12 @@ def cv_auc(df: DataFrame, names, label: str, key: str, trainer: str = "lr", k: i
     """M2: k-fold stratified cross-validated ROC AUC: (mean, std, per-fold list)."""
     checkpoint_dir(df.sparkSession)
     f = stratified_folds(df, key, label, k=k, seed=seed).checkpoint(eager=True)  # read by every fold
-    aucs = []
-    for i in range(k):
+
+    def auc_of(i):
         m = TRAINERS[trainer](f.where(F.col("fold") != i), names, label, **over)
         s = score(m, f.where(F.col("fold") == i), names).withColumn("label", F.col(label).cast("int"))
-        aucs.append(ranking_metrics(s, "label", "score").first()["roc_auc"])
+        return ranking_metrics(s, "label", "score").first()["roc_auc"]
+    aucs = side_by_side(df.sparkSession, [partial(auc_of, i) for i in range(k)])
     mean = sum(aucs) / k
     std = math.sqrt(sum((a - mean) ** 2 for a in aucs) / k)
     return mean, std, aucs
@@ -166,13 +179,9 @@ def ablation(train: DataFrame, test: DataFrame, names, groups: dict, label: str,
         m = TRAINERS[trainer](train, cols, label, **over)
         s = score(m, test, cols).withColumn("label", F.col(label).cast("int"))
         return ranking_metrics(s, "label", "score").first()["roc_auc"]
-    full = auc_of(list(names))
-    rows = [("<none>", full, 0.0)]
-    for g, cols in groups.items():
-        keep = [n for n in names if n not in set(cols)]
-        a = auc_of(keep)
-        rows.append((g, a, full - a))
-    return rows
+    kept = [list(names), *[[n for n in names if n not in set(cols)] for cols in groups.values()]]
+    full, *aucs = side_by_side(train.sparkSession, [partial(auc_of, cols) for cols in kept])
+    return [("<none>", full, 0.0), *[(g, a, full - a) for g, a in zip(groups, aucs)]]
 
 
 def temporal_validation(df: DataFrame, names, label: str, ts_col: str, cutoff_year: int, trainer: str = "lr",

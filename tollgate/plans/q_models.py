@@ -5,6 +5,8 @@ into queries with an oracle."""
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import attribution, audit, boosting, models as MD, solvers, splits
@@ -108,13 +110,11 @@ def calibrated_suite(spark, sf_dir):
     f, m = model_frame(spark, sf_dir)
     names = day0_feature_names(m.feature_names)
     train, test = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
-    out = None
-    for base in ("lr", "rf", "gbt"):
-        pairs = MD.fit_calibrated(train, names, "label", KEY, base=base, folds=3)
-        s = MD.score_calibrated(pairs, test.select(KEY, "label", *names), names, KEY).select(
-            F.lit(base).alias("model"), KEY, "label", "score")
-        out = s if out is None else out.unionByName(s)
-    return out
+    bases = ("lr", "rf", "gbt")
+    fits = MD.side_by_side(spark, [partial(MD.fit_calibrated, train, names, "label", KEY, base=b, folds=3) for b in bases])
+    scores = [MD.score_calibrated(pairs, test.select(KEY, "label", *names), names, KEY).select(
+        F.lit(b).alias("model"), KEY, "label", "score") for b, pairs in zip(bases, fits)]
+    return reduce(lambda a, b: a.unionByName(b), scores)
 
 
 @register("day0_evaluation")
