@@ -148,3 +148,16 @@ def test_independent_fits_run_at_once(spark, monkeypatch):
     meets(3)
     assert len(MD.fit_calibrated(df, ["x1", "x2"], "y", "k", base="met", folds=3)) == 3
     assert MD.side_by_side(spark, [lambda i=i: i for i in range(9)]) == list(range(9))
+
+
+def test_sampled_shapley_shuffles_no_vectors_and_shares_repeated_keys(spark):
+    df = spark.range(60).selectExpr("id AS k", "id % 7 / 3.0 AS x1", "id % 5 - 1.0 AS x2", "cast(id % 7 > 3 as int) AS y")
+    names = ["x1", "x2"]
+    m = MD.train_random_forest(df, names, "y", numTrees=5, maxDepth=3)
+    zero = {n: 0.0 for n in names}
+    phi = MD.sampled_shapley(m, df, names, "k", zero, n_perm=4)
+    plan = phi._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    one = {(r.k, r.feature): r.phi for r in phi.collect()}
+    twice = {(r.k, r.feature): r.phi for r in MD.sampled_shapley(m, df.unionByName(df), names, "k", zero, n_perm=4).collect()}
+    assert len(one) == 120 and all(twice[at] == pytest.approx(v / 2, abs=1e-12) for at, v in one.items())

@@ -19,7 +19,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import md5_order_key
@@ -242,28 +242,29 @@ def sampled_shapley(model, rows: DataFrame, names, key: str, baseline: dict, n_p
     intermediate vector (one ``transform`` over the exploded table) and the change
     in probability is credited to the switched feature.  Output: (key, feature, phi)
     averaged over permutations.  Permutation orders are md5 ranks, so they are
-    deterministic.
+    deterministic.  What is shuffled is the rows and their values, not the vectors.
     """
-    d = len(names)
-    idx = list(range(d))
-    x = rows.select(key, F.array(*[F.col(n).cast("double") for n in names]).alias("__x"))
-    base = F.array(*[F.lit(float(baseline[n])) for n in names])
-    perms = x.select(key, "__x", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("__p"))
-    # rank of each feature inside permutation p: order of md5(seed:p:i)
-    ranks = F.array(*[F.lit(0)] * d)
-    keyed = F.array(*[md5_order_key(seed, F.concat(F.col("__p").cast("string"), F.lit(f":{i}"))) for i in idx])
-    ranks = F.transform(keyed, lambda h: F.size(F.filter(keyed, lambda o: o < h)))
-    steps = perms.withColumn("__rank", ranks).withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(d))))
-    vec = F.zip_with(F.col("__x"), base, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    mixed = F.transform(F.arrays_zip(vec.alias("v"), F.col("__rank").alias("r")),
-                        lambda z: F.when(z["r"] < F.col("__j"), z["v"]["a"]).otherwise(z["v"]["b"]))
-    scored = model.transform(steps.withColumn("features", array_to_vector(mixed)))
+    d, spark = len(names), rows.sparkSession
+    x = rows.select(key, *[F.col(n).cast("double").alias(f"__x{i}") for i, n in enumerate(names)])
+    x = x.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))  # a row becomes n_perm * (d + 1)
+    # rank of each feature inside permutation p: order of md5(seed:p:i); one row per permutation
+    keyed = F.array(*[md5_order_key(seed, F.concat(F.col("id").cast("string"), F.lit(f":{i}"))) for i in range(d)])
+    orders = [r[0] for r in spark.range(n_perm).orderBy("id").select(keyed).collect()]
+    ranks = [[sum(o < h for o in order) for h in order] for order in orders]
+    plan = F.array(*[F.struct(*[F.lit(r).alias(f"r{i}") for i, r in enumerate(rank)],
+                              F.array(*[F.lit(rank.index(j)) for j in range(d)]).alias("switched")) for rank in ranks])
+    steps = x.select("*", F.explode(plan).alias("__p")).select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("__j"))
+    mixed = F.array(*[F.when(F.col(f"__p.r{i}") < F.col("__j"), F.col(f"__x{i}")).otherwise(F.lit(float(baseline[n])))
+                      for i, n in enumerate(names)])
+    scored = model.transform(steps.select(key, F.col("__p.switched").alias("__switched"), "__j", array_to_vector(mixed).alias("features")))
     p = vector_to_array(F.col("probability"))[1]
-    w = Window.partitionBy(key, "__p").orderBy("__j")  # d + 1 rows per (row, permutation)
-    deltas = scored.select(key, "__p", "__j", "__rank", p.alias("__prob")).withColumn(
-        "__delta", F.col("__prob") - F.lag("__prob").over(w)).where(F.col("__j") > 0)
-    # the feature switched at step j is the one whose rank is j - 1
-    feat = F.array_position(F.col("__rank"), F.col("__j") - 1) - 1
-    names_arr = F.array(*[F.lit(n) for n in names])
-    return (deltas.withColumn("feature", F.element_at(names_arr, (feat + 1).cast("int")))
-            .groupBy(key, "feature").agg(F.avg("__delta").alias("phi")))
+    # whole multiples of 2^-53 add up exactly, in any order
+    units = scored.select(key, "__switched", "__j", F.round(p * F.lit(2.0**53)).cast("long").alias("__u"))
+    # a score is added to the feature switched last and taken from the one switched next: a row's
+    # terms meet in its own task, before the shuffle
+    term = lambda j, sign: F.struct(F.get("__switched", j).alias("__f"), (F.col("__u") * sign).alias("__u"), F.lit(max(sign, 0)).alias("__n"))
+    sums = units.select(key, F.inline(F.array(term(F.col("__j") - 1, 1), term(F.col("__j"), -1)))).where(
+        F.col("__f").isNotNull()).groupBy(key, "__f").agg(F.sum("__u").alias("__u"), F.sum("__n").alias("__n"))
+    # rows that repeat a key (__n / n_perm of them) share its value
+    phi = F.col("__u") / F.lit(2.0**53) / F.col("__n") / (F.col("__n") / F.lit(n_perm))
+    return sums.select(key, F.element_at(F.array(*[F.lit(n) for n in names]), F.col("__f") + 1).alias("feature"), phi.alias("phi"))
