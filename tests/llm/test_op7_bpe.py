@@ -81,3 +81,20 @@ def test_empty_table_and_ids(spark):
     assert B.codec(B.VOCABULARY).decode(row.ids) == row.decoded
     with pytest.raises(ValueError):
         B.TextCodec(B.vocabulary_path("byte_bpe_50k.json"))
+
+
+def test_plain_words_skip_the_pattern(library):
+    """Letters, also before punctuation, are cut at white space; only other pieces meet the pattern."""
+    class Seen:
+        def __init__(self, pattern):
+            self.pattern, self.texts = pattern, []
+
+        def findall(self, text):
+            self.texts.append(text)
+            return self.pattern.findall(text)
+
+    c = B.TextCodec(B.vocabulary_path(B.VOCABULARY))
+    c.pattern = Seen(c.pattern)
+    text = "Hello, wörld!! (so) it's 12 a\x85b'\nend.'s ''' x²"
+    assert c.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert c.pattern.texts == ["(so)", "it's", "12", "end.'s", "'''", "x²"]

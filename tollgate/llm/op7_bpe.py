@@ -9,8 +9,10 @@ exact ids, without running merges.
 
 Words are cut and normalised as the vocabulary file says (NFC, lower case, white space
 dropped, special tokens first); texts with code points that are newer than Python's Unicode
-tables are cut by the library.  Each distinct word of a task is encoded once; a bounded
-table keeps encoded words.  Texts stay where Spark reads them; nothing is shuffled.
+tables are cut by the library.  No word reaches across white space, so texts are split there
+and only what is not all letters, or letters before ASCII punctuation, meets the pattern.  Each
+distinct word of a task is encoded once; a bounded table keeps encoded words.  Texts stay where
+Spark reads them; nothing is shuffled.
 
 The vocabulary is a parameter: a file that every executor can open, or the name of a file of
 the installed ``public_tokenizers``.  Supported files: BPE with one merge for each token,
@@ -28,6 +30,7 @@ import functools
 import hashlib
 import json
 import os
+import string
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -44,13 +47,16 @@ from .common import table, text_batches
 from .registry import register
 
 VOCABULARY = "word_bpe_49k.json"
-#: Encoded words, and checked token pairs, that a task keeps.
-KEEP_WORDS = 250_000
+#: Encoded words (and their characters), and checked token pairs, that a task keeps.
+KEEP_WORDS = 500_000
+KEEP_CHARS = 8_000_000
 KEEP_PAIRS = 500_000
 
 # fixed values: white space as the tokenizers library's patterns know it
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 WHITE = "".join(f"\\u{c:04x}" for c in WHITE_SPACE)
+#: White space to ``str.split``, but not to the library.
+SPLIT_ONLY = "\x1c\x1d\x1e\x1f"
 
 
 def vocabulary_path(name: str) -> str:
@@ -118,9 +124,16 @@ class Bpe:
             if t not in self.rank or (self.left[t] in whole and self.right[t] in whole
                                       and self._apart(self.left[t], self.right[t], self.rank[t])):
                 whole.add(t)  # a token that its own string encodes to
-                self.automaton.add_word(s, (t, len(s)))
+                self.automaton.add_word(s, (t, len(s), {}))
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
+        self._fresh_pairs()
+
+    def _fresh_pairs(self) -> None:
+        """For each token, as far as known, whether it fits a token before it; -2 is a word's start, -1 a gap."""
+        self.pairs = 0
+        for _, _, fits in self.automaton.values():
+            fits.clear()
+            fits[-2], fits[-1] = True, False
 
     def _apart(self, l: int, r: int, limit: float) -> bool:
         """No merge of rank below ``limit`` joins symbols across the border of l and r: undo
@@ -147,28 +160,22 @@ class Bpe:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each non-empty word."""
         marked = [self.symbols_of(w) for w in words]
-        text = "\x00".join(marked)
-        last, length = [-1] * (len(text) + 1), [0] * (len(text) + 1)
+        text = "\x00" + "\x00".join(marked)
+        last, length = [-1] * len(text), [0] * len(text)
         start = 0
         for s in marked:
             last[start] = -2
             start += len(s) + 1
-        pairs = self.pairs
-        if len(pairs) > KEEP_PAIRS:
-            pairs.clear()
-        for end, (token, n) in self.automaton.iter(text):
-            end += 1
-            if last[end] != -1:
-                continue
-            before = last[end - n]
-            if before == -2:
-                last[end], length[end] = token, n
-            elif before >= 0:
-                key = before << 32 | token
-                fits = pairs.get(key)
-                if fits is None:
-                    fits = pairs[key] = self._apart(before, token, float("inf"))
-                if fits:
+        if self.pairs > KEEP_PAIRS:
+            self._fresh_pairs()
+        for end, (token, n, fits) in self.automaton.iter(text):
+            if last[end] == -1:
+                before = last[end - n]
+                fit = fits.get(before)
+                if fit is None:
+                    fit = fits[before] = self._apart(before, token, float("inf"))
+                    self.pairs += 1
+                if fit:
                     last[end], length[end] = token, n
         out, start = [], 0
         for s in marked:
@@ -206,6 +213,7 @@ class TextCodec:
         # a special token stands under its name behind a space, which no word holds
         self.ids = {" " + s: struct.pack("<I", i) for s, i in self.special.items()}
         self.decoded = {" " + s: s for s in self.special}
+        self.chars = 0
 
     def words(self, text: str) -> list[str]:
         if "<" in text and self.special and self.split.search(text):
@@ -217,10 +225,23 @@ class TextCodec:
 
     def _plain(self, text: str) -> list[str]:
         if not text.isascii():
-            if recent().search(text):
+            if recent().search("".join(set(text))):
                 return self._by_library(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case goes letter by letter
-        return self.pattern.findall(text.lower())
+        text = text.lower()
+        if any(c in text for c in SPLIT_ONLY):
+            return self.pattern.findall(text)
+        out, cut = [], self.pattern.findall
+        for piece in text.split():
+            if piece.isalpha():
+                out.append(piece)
+            else:
+                front = piece.rstrip(string.punctuation)
+                if front.isalpha():
+                    out += (front, piece[len(front):])
+                else:
+                    out += cut(piece)
+        return out
 
     def _by_library(self, text: str) -> list[str]:
         if self.library is None:
@@ -231,9 +252,10 @@ class TextCodec:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encodes the words not seen so far."""
-        if len(self.ids) > KEEP_WORDS:
+        if len(self.ids) > KEEP_WORDS or self.chars > KEEP_CHARS:
             self._fresh()
-        new = list({w for words in texts for w in words}.difference(self.ids))
+        new = list(set().union(*texts).difference(self.ids))
+        self.chars += sum(map(len, new))
         for at in range(0, len(new), 20_000):
             part = new[at:at + 20_000]
             for w, ids in zip(part, self.bpe.encode_words(part)):
