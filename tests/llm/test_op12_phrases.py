@@ -113,3 +113,23 @@ def test_empty_table(spark, tmp_path):
     put(frame(spark, []), tmp_path, "documents")
     df = P.op12_phrase_collocations(spark, str(tmp_path))
     assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and df.count() == 0
+
+
+def test_phrases_move_packed(spark, monkeypatch):
+    """Longer phrases pass between shards and sums as one row for each part of the keys, not one a phrase."""
+    monkeypatch.setattr(P, "PART_WORDS", 2_500)
+    rows_of, write = {}, P.written
+
+    def counting(spark, df, name):
+        out = write(spark, df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(P, "written", counting)
+    rows = [("en" if i % 4 else "de", prose(i, 300)) for i in range(40)]
+    assert got(P.collocations(spark, frame(spark, rows), 3, shard_words=700)) == brute(rows, 3)
+    shards, parts = rows_of["phrase-shards"], 8
+    assert 10 <= shards <= 40 and rows_of["phrase-counts-2"] > 100
+    moved = [rows_of[f"phrase-answers-{k}"] for k in range(2, 6)]
+    assert all(x <= (shards + 1) * parts for x in moved), moved
+    assert not {f"phrase-{x}-{k}" for x in ("nodes", "state") for k in range(2, 6)} & set(rows_of)

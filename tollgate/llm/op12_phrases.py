@@ -9,12 +9,16 @@
    interval's suffixes, each with its new interval), to the right by nesting: a longer phrase's
    interval lies inside that of its beginning, so extensions whose beginning ended in an earlier
    round are cut off on the spot.  One order thus serves both directions.  Counts are summed over
-   shards; phrases below ``min_count`` end there, since no longer phrase can have more, and the
-   intervals of the others return to their shards.
-   Before a round's phrases are spelled out, their counts are summed over shards by hash bucket: a
-   bucket below ``min_count`` holds no frequent phrase, so the many rare extensions are never
-   shuffled.  There are about as many buckets as words, ``MOST_BUCKETS`` at most (beyond that the
-   filter lets more through; the result stays the same).
+   shards; phrases below ``min_count`` end there, since no longer phrase can have more.
+   Frequent words and phrases have numbers.  A longer phrase is the number of its first word and
+   that of the rest, exactly, in one 64-bit key.  A shard sends its keys and counts sorted and packed, a
+   row for each part of the keys, and gets back for each part which of its keys are frequent and their
+   numbers; it keeps the intervals itself in a file.  Only words, and phrases known to be frequent,
+   are spelled out.  So what moves is a few bytes for a phrase of a shard, at most as many phrases
+   as the shard has words, in each round.
+   Before that, counts are summed over shards by hash bucket: a bucket below ``min_count`` holds no
+   frequent phrase, so the many rare extensions end there.  There is a bucket for every 16 to 32 words,
+   ``MOST_BUCKETS`` at most (beyond that the filter lets more through; the result stays the same).
 3. Scores.  A candidate's cuts look up the counts of both parts, all of which are frequent too; a
    candidate goes if an extension by one word, left or right, is as frequent (any longer phrase
    that is as frequent contains such an extension).
@@ -33,6 +37,7 @@ from __future__ import annotations
 
 import io
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +60,10 @@ SHARD_WORDS = 8_000_000
 MOST_BUCKETS = 28
 PART_BITS = 20
 SUMMED_SHARDS = 256
+#: Words of the input for each part of the phrase keys, which one task sums.
+PART_WORDS = 1 << 22
 NODES = "shard long, lang string, phrase string, lo int, size int"
+FREQUENT = "g long, word long, rest long, f long"
 COUNTS = "part int, shard long, places binary, counts binary"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -205,11 +213,27 @@ def _sparse(dense: np.ndarray, part: int, shard: int) -> dict:
     return _packed(np.flatnonzero(dense), dense[dense > 0], part, shard)
 
 
-def _packed(places: np.ndarray, counts: np.ndarray, part: int, shard: int) -> dict:
-    press = zstandard.ZstdCompressor(level=3).compress
-    gaps = np.diff(places, prepend=0).astype("<u4")
-    return {"part": part, "shard": shard, "places": press(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes()),
-            "counts": press(counts.astype("<u4").tobytes())}
+def _press(x: np.ndarray, kind: str = "<u4") -> bytes:
+    """The bytes of the numbers one after the other: high bytes are nearly all zero."""
+    kind = np.dtype(kind)
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(x.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T).tobytes())
+
+
+def _unpress(data: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64)
+
+
+def _packed(places: np.ndarray, counts: np.ndarray, part: int, shard: int | None, kind: str = "<u4") -> dict:
+    return {"part": part, "shard": shard, "places": _press(np.diff(places, prepend=0), kind), "counts": _press(counts, kind)}
+
+
+def _store(path: str, *columns: np.ndarray) -> None:
+    put_file(path, _press(np.concatenate(columns).astype(np.int64), "<u8"))
+
+
+def _load(path: str, n: int) -> np.ndarray:
+    return _unpress(get_file(path), "<u8").reshape(n, -1)
 
 
 def _rows(rows: list) -> pa.Table:
@@ -223,7 +247,6 @@ def _summed(bits: int, min_count: int, folder: str | None = None):
     size = 1 << min(bits, PART_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpress = zstandard.ZstdDecompressor().decompress
         at, total, shard = None, None, 0
 
         def done() -> Iterator[pa.RecordBatch]:
@@ -238,33 +261,59 @@ def _summed(bits: int, min_count: int, folder: str | None = None):
                 if part != at:
                     yield from done()
                     at, total, shard = part, np.zeros(size, np.uint32), shard_
-                where = np.cumsum(np.ascontiguousarray(np.frombuffer(unpress(places), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
-                total[where] = np.minimum(total[where] + np.frombuffer(unpress(counts), "<u4"), min_count)
+                where = np.cumsum(_unpress(places))
+                total[where] = np.minimum(total[where] + _unpress(counts), min_count)
         yield from done()
 
     return run
 
 
-def _round(folder: str, k: int, bits: int, min_count: int, filters: str | None = None):
-    """Phrases of ``k`` words of a shard from its frequent ones of k - 1 words (``lo``, ``size``): their
-    counts by bucket, or with ``filters`` the nodes whose bucket reaches ``min_count``."""
+def _frequent(folder: str, k: int, t: pa.Table, index: FMIndex) -> np.ndarray:
+    """lo, size and number of a shard's frequent phrases of ``k`` words, by lo: from rows of words, else from
+    the answers to the keys sent."""
+    shard = t.column("shard")[0].as_py()
+    if k == 1:
+        out = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("lo", "size", "g")])
+        numbers = np.full(index.words.num_rows, -1)
+        numbers[index.ids(out[0], 1)[0]] = out[2]
+        _store(f"{folder}/{shard:016x}.numbers", numbers)
+    else:
+        part, lo, size = _load(f"{folder}/{shard:016x}-{k}.nodes", 3)
+        parts = t.column("parts")[0].as_py()
+        rows, numbers = [], []
+        for at, mask, ranks in zip(*(t.column(c).to_pylist() for c in ("part", "places", "counts"))):
+            first, end = np.searchsorted(part, [at, at + 1])
+            mask = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(mask), np.uint8), count=int(end - first))
+            rows.append(first + np.flatnonzero(mask))
+            numbers.append(np.cumsum(_unpress(ranks)) * parts + at)
+        rows = np.concatenate(rows)
+        out = np.stack([lo[rows], size[rows], np.concatenate(numbers)])
+    return out[:, np.argsort(out[0])]
+
+
+def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters: str | None = None, parts: int = 1):
+    """Phrases of ``k`` words of a shard from its frequent ones of k - 1 words, whose numbers are below ``space``:
+    their counts by bucket, or with ``filters`` those whose bucket reaches ``min_count``, words as nodes, longer
+    ones as keys and counts in ``parts`` parts."""
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
         index = FMIndex.from_bytes(get_file(f"{folder}/{shard:016x}.fmi"))
         if k == 1:
             n = np.bincount(index.bwt, minlength=index.words.num_rows)
-            lo, size, ids = (np.cumsum(n) - n)[1:], n[1:], [np.arange(1, len(n))]
+            lo, size, ids = (np.cumsum(n) - n)[1:], n[1:], np.arange(1, len(n))
+            hashes = index.hashes()[1:]
         else:
-            t = t.sort_by("lo")
-            shorter = t.column("lo").to_numpy()
-            which, before, lo, size = index.extended(shorter, t.column("size").to_numpy())
-            ids = [before, *(x[which] for x in index.ids(shorter, k - 1))]
-        hashes = index.hashes()
-        h = hashes[ids[-1]]
-        for i in reversed(ids[:-1]):
-            h = _mix(hashes[i] + _BASE * h)
-        bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+            path = f"{folder}/{shard:016x}-{k - 1}.frequent"
+            if filters is None:
+                known = _frequent(folder, k - 1, t, index)
+                _store(path, *known)
+            else:
+                known = _load(path, 3)
+            which, before, lo, size = index.extended(known[0], known[1])
+            key = _load(f"{folder}/{shard:016x}.numbers", 1)[0][before] * space + known[2][which]
+            hashes = _mix(key.astype(np.uint64) + _BASE)
+        bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
         if filters is None:
             order = np.argsort(bucket)
             sorted_ = bucket[order]
@@ -279,10 +328,56 @@ def _round(folder: str, k: int, bits: int, min_count: int, filters: str | None =
             on = np.unpackbits(np.frombuffer(get_file(f"{filters}/{part:06d}.bits"), np.uint8))
             of = np.flatnonzero(bucket >> PART_BITS == part)
             keep[of] = on[bucket[of] & ((1 << PART_BITS) - 1)] == 1
-        ids = [i[keep] for i in ids]
-        lang = index.words.column("lang").combine_chunks().take(pa.array(ids[0]))
-        return pa.table([pa.array(np.full(len(ids[0]), shard, np.int64)), lang.cast(pa.large_string()).cast(pa.string()), index.phrases(ids).cast(pa.string()),
-                         pa.array(lo[keep].astype(np.int32)), pa.array(size[keep].astype(np.int32))], names=["shard", "lang", "phrase", "lo", "size"])
+        lo, size = lo[keep], size[keep]
+        if k == 1:
+            ids = ids[keep]
+            lang = index.words.column("lang").combine_chunks().take(pa.array(ids))
+            return pa.table([pa.array(np.full(len(ids), shard, np.int64)), lang.cast(pa.large_string()).cast(pa.string()), index.phrases([ids]).cast(pa.string()),
+                             pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))], names=["shard", "lang", "phrase", "lo", "size"])
+        place, part = np.divmod(key[keep], parts)
+        order = np.lexsort((place, part))
+        place, part, lo, size = place[order], part[order], lo[order], size[order]
+        _store(f"{folder}/{shard:016x}-{k}.nodes", part, lo, size)
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        return _rows([_packed(p, c, int(at[0]), shard, "<u8")
+                      for p, c, at in zip(np.split(place, cuts), np.split(size, cuts), np.split(part, cuts)) if len(p)])
+
+    return run
+
+
+def _answers(min_count: int):
+    """Sums the counts of a part's keys over shards.  For each shard: which of its keys are frequent, and the gaps
+    of their ranks among the part's frequent keys; and without a shard, the frequent keys and their counts."""
+
+    def run(t: pa.Table) -> pa.Table:
+        part, shards = t.column("part")[0].as_py(), t.column("shard").to_pylist()
+        places = [np.cumsum(_unpress(x, "<u8")) for x in t.column("places").to_pylist()]
+        counts = np.concatenate([_unpress(x, "<u8") for x in t.column("counts").to_pylist()])
+        keys, where = np.unique(np.concatenate(places), return_inverse=True)
+        f = np.zeros(len(keys), np.int64)
+        np.add.at(f, where, counts)
+        frequent = f >= min_count
+        rank = np.cumsum(frequent) - 1
+        out = [_packed(keys[frequent], f[frequent], part, None, "<u8")] if frequent.any() else []
+        for shard, own in zip(shards, np.split(where, np.cumsum([len(p) for p in places])[:-1])):
+            mask = frequent[own]
+            if mask.any():
+                out.append({"part": part, "shard": shard, "places": zstandard.ZstdCompressor(level=3).compress(np.packbits(mask).tobytes()),
+                            "counts": _press(np.diff(rank[own[mask]], prepend=0))})
+        return _rows(out)
+
+    return run
+
+
+def _unpacked(space: int, parts: int):
+    """Frequent keys as rows: the phrase's number, those of its first word and of the rest, its count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                key = np.cumsum(_unpress(places, "<u8")) * parts + part
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.arange(len(key)) * parts + part, key // space, key % space, _unpress(counts, "<u8"))],
+                                                 names=["g", "word", "rest", "f"])
 
     return run
 
@@ -297,28 +392,49 @@ def counted_phrases(spark: SparkSession, docs: DataFrame, min_count: int = MIN_C
         state = written(spark, text.mapInArrow(_build(folder, shard_words), "shard long, lang string, n long"), "phrase-shards")
         n = state.groupBy("lang").agg(F.sum("n").alias("n"))
         totals = state.agg(F.sum("n"), F.countDistinct("shard")).first()
-        bits = min(MOST_BUCKETS, max(8, int(totals[0] or 1).bit_length() - 1))
+        total = int(totals[0] or 0)
+        bits = min(MOST_BUCKETS, max(8, total.bit_length() - 5))
         salts = -(-max(1, totals[1]) // SUMMED_SHARDS)
         most = int(spark.conf.get("spark.sql.shuffle.partitions"))
         # a shard's work is far larger than its rows: as many tasks as shards and parts, not as bytes ask for
         tasks, summing = max(1, min(most, totals[1])), max(1, min(most, 1 << max(0, bits - PART_BITS)))
-        found = None
+        found = words = shorter = None
+        space, parts = 1, 1
         for k in range(1, MAX_WORDS + 1):
             filters = shared_dir(spark, f"phrase-buckets-{k}")
-            state = state.repartition(tasks, "shard")
-            sums = state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count), COUNTS)
+            sums = state.repartition(tasks, "shard").groupBy("shard").applyInArrow(_round(folder, k, bits, min_count, space), COUNTS)
             if salts > 1:
                 sums = sums.withColumn("salt", F.pmod("shard", F.lit(salts))).repartition("part", "salt").drop("salt")
                 sums = sums.sortWithinPartitions("part").mapInArrow(_summed(bits, min_count), COUNTS)
             sums.repartition(summing, "part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
-            nodes = written(spark, state.groupBy("shard").applyInArrow(_round(folder, k, bits, min_count, filters), NODES), f"phrase-nodes-{k}")
-            counts = nodes.groupBy("lang", "phrase").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
-            counts = written(spark, counts, f"phrase-counts-{k}")
+            shards = state.select("shard").distinct().repartition(tasks, "shard").groupBy("shard")
+            if k == 1:
+                nodes = written(spark, shards.applyInArrow(_round(folder, k, bits, min_count, space, filters), NODES), "phrase-nodes-1")
+                counts = nodes.groupBy("lang", "phrase").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
+                part = F.pmod(F.xxhash64("lang", "phrase"), F.lit(most))
+                rank = F.row_number().over(Window.partitionBy("part").orderBy("lang", "phrase"))
+                counts = counts.withColumn("part", part).select(((rank - 1) * F.lit(most) + F.col("part")).cast("long").alias("g"), "lang", "phrase", "f")
+                words = counts = written(spark, counts, "phrase-counts-1")
+                state = written(spark, nodes.join(counts.select("g", "lang", "phrase"), ["lang", "phrase"]).select("shard", "lo", "size", "g"), "phrase-state-1")
+            else:
+                parts = -(-max(1, total) // PART_WORDS)
+                while math.gcd(parts, space) > 1:  # else a part may hold all phrases with the same end
+                    parts += 1
+                keys = shards.applyInArrow(_round(folder, k, bits, min_count, space, filters, parts), COUNTS)
+                answers = keys.repartition(min(most, parts), "part").groupBy("part").applyInArrow(_answers(min_count), COUNTS)
+                answers = written(spark, answers, f"phrase-answers-{k}")
+                state = answers.where("shard IS NOT NULL").withColumn("parts", F.lit(parts))
+                counts = answers.where("shard IS NULL").select("part", "places", "counts").mapInArrow(_unpacked(space, parts), FREQUENT)
+                counts = (counts.join(words.select(F.col("g").alias("word"), "lang", F.col("phrase").alias("first")), "word")
+                          .join(shorter.select(F.col("g").alias("rest"), F.col("phrase").alias("later")), "rest")
+                          .select("g", "lang", F.concat_ws(" ", "first", "later").alias("phrase"), "f"))
+                counts = written(spark, counts, f"phrase-counts-{k}")
             rows = counts.select("lang", "phrase", F.lit(k).alias("k"), "f")
             found = rows if found is None else found.unionAll(rows)
-            if k < MAX_WORDS:
-                on = nodes.join(counts.select("lang", "phrase"), ["lang", "phrase"]).select("shard", "lo", "size")
-                state = written(spark, on, f"phrase-state-{k}")
+            shorter, space = counts, (counts.agg(F.max("g")).first()[0] or 0) + 1
+            first = space if k == 1 else first
+            if first * space >= 1 << 63:
+                raise ValueError("too many frequent phrases for 64-bit keys")
     return found, n
 
 
