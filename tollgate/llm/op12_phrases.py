@@ -10,11 +10,11 @@
    interval lies inside that of its beginning, so extensions whose beginning ended in an earlier
    round are cut off on the spot.  One order thus serves both directions.  Counts are summed over
    shards; phrases below ``min_count`` end there, since no longer phrase can have more.
-   Frequent words and phrases have numbers.  A longer phrase is the number of its first word and
-   that of the rest, exactly, in one 64-bit key.  A shard sends its keys and counts sorted and packed, a
+   Frequent words and phrases have numbers.  A word's key is its language and itself; a longer phrase's
+   is the number of its first word and that of the rest, exactly, in 64 bits.  A shard sends its keys and counts sorted and packed, a
    row for each part of the keys, and gets back for each part which of its keys are frequent and their
-   numbers; it keeps the intervals itself in a file.  Only words, and phrases known to be frequent,
-   are spelled out.  So what moves is a few bytes for a phrase of a shard, at most as many phrases
+   numbers; it keeps the intervals itself in a file.  Only phrases known to be frequent are spelled out
+   as rows.  So what moves after the words is a few bytes for a phrase of a shard, at most as many phrases
    as the shard has words, in each round.
    Before that, counts are summed over shards by hash bucket: a bucket below ``min_count`` holds no
    frequent phrase, so the many rare extensions end there.  There is a bucket for every 16 to 32 words,
@@ -62,7 +62,7 @@ PART_BITS = 20
 SUMMED_SHARDS = 256
 #: Words of the input for each part of the phrase keys, which one task sums.
 PART_WORDS = 1 << 22
-NODES = "shard long, lang string, phrase string, lo int, size int"
+WORDS = "g long, lang string, phrase string, f long"
 FREQUENT = "g long, word long, rest long, f long"
 COUNTS = "part int, shard long, places binary, counts binary"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -144,18 +144,18 @@ class FMIndex:
             out.append(self.bwt[row])
         return out
 
+    def keys(self) -> pa.Array:
+        """Lang, a tab and the word of every id; no word holds a tab."""
+        return pc.binary_join_element_wise(self.words.column("lang"), self.words.column("word"), pa.scalar(b"\t", pa.large_binary())).combine_chunks()
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of lang and word of every id, equal in all shards."""
-        both = pc.binary_join_element_wise(self.words.column("lang"), self.words.column("word"), pa.scalar(b"\t", pa.large_binary())).combine_chunks()
+        both = self.keys()
         data, at = np.frombuffer(both.buffers()[2], np.uint8), np.frombuffer(both.buffers()[1], np.int64)[:len(both) + 1]
         place = np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))
         powers = np.multiply.accumulate(np.full(int(place.max()) + 1, _BASE, np.uint64))
         return _mix(np.add.reduceat((data[:at[-1]] + np.uint64(1)) * powers[place], at[:-1]))
 
-    def phrases(self, ids: list) -> pa.Array:
-        words = self.words.column("word").combine_chunks().cast(pa.large_string())
-        return pc.binary_join_element_wise(*[words.take(pa.array(i)) for i in ids], pa.scalar(" ", pa.large_string()))
-
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
         with pa.ipc.new_file(out, self.words.schema) as f:
@@ -228,6 +228,17 @@ def _packed(places: np.ndarray, counts: np.ndarray, part: int, shard: int | None
     return {"part": part, "shard": shard, "places": _press(np.diff(places, prepend=0), kind), "counts": _press(counts, kind)}
 
 
+def _packed_words(keys: pa.Array, counts: np.ndarray, part: int, shard: int | None) -> dict:
+    out, words = io.BytesIO(), pa.table({"key": keys})
+    with pa.ipc.new_file(out, words.schema) as f:
+        f.write_table(words)
+    return {"part": part, "shard": shard, "places": zstandard.ZstdCompressor(level=3).compress(out.getvalue()), "counts": _press(counts, "<u8")}
+
+
+def _words(data: bytes) -> pa.Array:
+    return pa.ipc.open_file(io.BytesIO(zstandard.ZstdDecompressor().decompress(data))).read_all().column("key").combine_chunks()
+
+
 def _store(path: str, *columns: np.ndarray) -> None:
     put_file(path, _press(np.concatenate(columns).astype(np.int64), "<u8"))
 
@@ -269,32 +280,28 @@ def _summed(bits: int, min_count: int, folder: str | None = None):
 
 
 def _frequent(folder: str, k: int, t: pa.Table, index: FMIndex) -> np.ndarray:
-    """lo, size and number of a shard's frequent phrases of ``k`` words, by lo: from rows of words, else from
-    the answers to the keys sent."""
-    shard = t.column("shard")[0].as_py()
+    """lo, size and number of a shard's frequent phrases of ``k`` words, by lo, from the answers to the keys sent."""
+    shard, parts = t.column("shard")[0].as_py(), t.column("parts")[0].as_py()
+    part, lo, size = _load(f"{folder}/{shard:016x}-{k}.nodes", 3)
+    rows, numbers = [], []
+    for at, mask, ranks in zip(*(t.column(c).to_pylist() for c in ("part", "places", "counts"))):
+        first, end = np.searchsorted(part, [at, at + 1])
+        mask = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(mask), np.uint8), count=int(end - first))
+        rows.append(first + np.flatnonzero(mask))
+        numbers.append(np.cumsum(_unpress(ranks)) * parts + at)
+    rows = np.concatenate(rows)
+    out = np.stack([lo[rows], size[rows], np.concatenate(numbers)])
     if k == 1:
-        out = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("lo", "size", "g")])
-        numbers = np.full(index.words.num_rows, -1)
-        numbers[index.ids(out[0], 1)[0]] = out[2]
-        _store(f"{folder}/{shard:016x}.numbers", numbers)
-    else:
-        part, lo, size = _load(f"{folder}/{shard:016x}-{k}.nodes", 3)
-        parts = t.column("parts")[0].as_py()
-        rows, numbers = [], []
-        for at, mask, ranks in zip(*(t.column(c).to_pylist() for c in ("part", "places", "counts"))):
-            first, end = np.searchsorted(part, [at, at + 1])
-            mask = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(mask), np.uint8), count=int(end - first))
-            rows.append(first + np.flatnonzero(mask))
-            numbers.append(np.cumsum(_unpress(ranks)) * parts + at)
-        rows = np.concatenate(rows)
-        out = np.stack([lo[rows], size[rows], np.concatenate(numbers)])
+        by_id = np.full(index.words.num_rows, -1)
+        by_id[index.ids(out[0], 1)[0]] = out[2]
+        _store(f"{folder}/{shard:016x}.numbers", by_id)
     return out[:, np.argsort(out[0])]
 
 
 def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters: str | None = None, parts: int = 1):
     """Phrases of ``k`` words of a shard from its frequent ones of k - 1 words, whose numbers are below ``space``:
-    their counts by bucket, or with ``filters`` those whose bucket reaches ``min_count``, words as nodes, longer
-    ones as keys and counts in ``parts`` parts."""
+    their counts by bucket, or with ``filters`` keys and counts of those whose bucket reaches ``min_count``, in
+    ``parts`` parts."""
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
@@ -330,10 +337,12 @@ def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters:
             keep[of] = on[bucket[of] & ((1 << PART_BITS) - 1)] == 1
         lo, size = lo[keep], size[keep]
         if k == 1:
-            ids = ids[keep]
-            lang = index.words.column("lang").combine_chunks().take(pa.array(ids))
-            return pa.table([pa.array(np.full(len(ids), shard, np.int64)), lang.cast(pa.large_string()).cast(pa.string()), index.phrases([ids]).cast(pa.string()),
-                             pa.array(lo.astype(np.int32)), pa.array(size.astype(np.int32))], names=["shard", "lang", "phrase", "lo", "size"])
+            key, part = index.keys().take(pa.array(ids[keep])), (hashes[keep] % np.uint64(parts)).astype(np.int64)
+            order = pc.sort_indices(pa.table({"part": part, "key": key}), sort_keys=[("part", "ascending"), ("key", "ascending")]).to_numpy()
+            key, part, lo, size = key.take(pa.array(order)), part[order], lo[order], size[order]
+            _store(f"{folder}/{shard:016x}-{k}.nodes", part, lo, size)
+            at = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
+            return _rows([_packed_words(key.slice(a, b - a), size[a:b], int(part[a]), shard) for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
         place, part = np.divmod(key[keep], parts)
         order = np.lexsort((place, part))
         place, part, lo, size = place[order], part[order], lo[order], size[order]
@@ -345,20 +354,30 @@ def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters:
     return run
 
 
-def _answers(min_count: int):
+def _answers(min_count: int, words: bool = False):
     """Sums the counts of a part's keys over shards.  For each shard: which of its keys are frequent, and the gaps
     of their ranks among the part's frequent keys; and without a shard, the frequent keys and their counts."""
 
     def run(t: pa.Table) -> pa.Table:
         part, shards = t.column("part")[0].as_py(), t.column("shard").to_pylist()
-        places = [np.cumsum(_unpress(x, "<u8")) for x in t.column("places").to_pylist()]
+        places = [_words(x) if words else np.cumsum(_unpress(x, "<u8")) for x in t.column("places").to_pylist()]
         counts = np.concatenate([_unpress(x, "<u8") for x in t.column("counts").to_pylist()])
-        keys, where = np.unique(np.concatenate(places), return_inverse=True)
+        if words:
+            coded = pa.concat_arrays(places).dictionary_encode()
+            order = pc.sort_indices(coded.dictionary).to_numpy()
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            keys, where = coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()]
+        else:
+            keys, where = np.unique(np.concatenate(places), return_inverse=True)
         f = np.zeros(len(keys), np.int64)
         np.add.at(f, where, counts)
         frequent = f >= min_count
         rank = np.cumsum(frequent) - 1
-        out = [_packed(keys[frequent], f[frequent], part, None, "<u8")] if frequent.any() else []
+        out = []
+        if frequent.any():
+            out.append(_packed_words(keys.filter(pa.array(frequent)), f[frequent], part, None) if words
+                       else _packed(keys[frequent], f[frequent], part, None, "<u8"))
         for shard, own in zip(shards, np.split(where, np.cumsum([len(p) for p in places])[:-1])):
             mask = frequent[own]
             if mask.any():
@@ -369,6 +388,20 @@ def _answers(min_count: int):
     return run
 
 
+def _unpacked_words(parts: int):
+    """Frequent words as rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                both = pc.split_pattern(_words(places), b"\t", max_splits=1, reverse=True)
+                lang, word = (pc.list_element(both, i).cast(pa.large_string()).cast(pa.string()) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(lang)) * parts + part), lang, word, pa.array(_unpress(counts, "<u8"))],
+                                                 names=["g", "lang", "phrase", "f"])
+
+    return run
+
+
 def _unpacked(space: int, parts: int):
     """Frequent keys as rows: the phrase's number, those of its first word and of the rest, its count."""
 
@@ -408,27 +441,23 @@ def counted_phrases(spark: SparkSession, docs: DataFrame, min_count: int = MIN_C
                 sums = sums.sortWithinPartitions("part").mapInArrow(_summed(bits, min_count), COUNTS)
             sums.repartition(summing, "part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
             shards = state.select("shard").distinct().repartition(tasks, "shard").groupBy("shard")
+            parts = -(-max(1, total) // PART_WORDS)
+            while math.gcd(parts, space) > 1:  # else a part may hold all phrases with the same end
+                parts += 1
+            keys = shards.applyInArrow(_round(folder, k, bits, min_count, space, filters, parts), COUNTS)
+            answers = keys.repartition(min(most, parts), "part").groupBy("part").applyInArrow(_answers(min_count, k == 1), COUNTS)
+            answers = written(spark, answers, f"phrase-answers-{k}")
+            state = answers.where("shard IS NOT NULL").withColumn("parts", F.lit(parts))
+            counts = answers.where("shard IS NULL").select("part", "places", "counts")
             if k == 1:
-                nodes = written(spark, shards.applyInArrow(_round(folder, k, bits, min_count, space, filters), NODES), "phrase-nodes-1")
-                counts = nodes.groupBy("lang", "phrase").agg(F.sum("size").alias("f")).where(F.col("f") >= min_count)
-                part = F.pmod(F.xxhash64("lang", "phrase"), F.lit(most))
-                rank = F.row_number().over(Window.partitionBy("part").orderBy("lang", "phrase"))
-                counts = counts.withColumn("part", part).select(((rank - 1) * F.lit(most) + F.col("part")).cast("long").alias("g"), "lang", "phrase", "f")
-                words = counts = written(spark, counts, "phrase-counts-1")
-                state = written(spark, nodes.join(counts.select("g", "lang", "phrase"), ["lang", "phrase"]).select("shard", "lo", "size", "g"), "phrase-state-1")
+                counts = counts.mapInArrow(_unpacked_words(parts), WORDS)
             else:
-                parts = -(-max(1, total) // PART_WORDS)
-                while math.gcd(parts, space) > 1:  # else a part may hold all phrases with the same end
-                    parts += 1
-                keys = shards.applyInArrow(_round(folder, k, bits, min_count, space, filters, parts), COUNTS)
-                answers = keys.repartition(min(most, parts), "part").groupBy("part").applyInArrow(_answers(min_count), COUNTS)
-                answers = written(spark, answers, f"phrase-answers-{k}")
-                state = answers.where("shard IS NOT NULL").withColumn("parts", F.lit(parts))
-                counts = answers.where("shard IS NULL").select("part", "places", "counts").mapInArrow(_unpacked(space, parts), FREQUENT)
-                counts = (counts.join(words.select(F.col("g").alias("word"), "lang", F.col("phrase").alias("first")), "word")
+                counts = (counts.mapInArrow(_unpacked(space, parts), FREQUENT)
+                          .join(words.select(F.col("g").alias("word"), "lang", F.col("phrase").alias("first")), "word")
                           .join(shorter.select(F.col("g").alias("rest"), F.col("phrase").alias("later")), "rest")
                           .select("g", "lang", F.concat_ws(" ", "first", "later").alias("phrase"), "f"))
-                counts = written(spark, counts, f"phrase-counts-{k}")
+            counts = written(spark, counts, f"phrase-counts-{k}")
+            words = counts if k == 1 else words
             rows = counts.select("lang", "phrase", F.lit(k).alias("k"), "f")
             found = rows if found is None else found.unionAll(rows)
             shorter, space = counts, (counts.agg(F.max("g")).first()[0] or 0) + 1
