@@ -133,3 +133,53 @@ def test_phrases_move_packed(spark, monkeypatch):
     moved = [rows_of[f"phrase-answers-{k}"] for k in range(1, 6)]
     assert all(x <= (shards + 1) * parts for x in moved), moved
     assert not {f"phrase-{x}-{k}" for x in ("nodes", "state") for k in range(1, 6)} & set(rows_of)
+
+
+def test_narrowed_rows_extend_as_the_whole_index():
+    """Rounds from the third on read the rows of frequent phrases alone, and find the same phrases and counts."""
+    rng = np.random.default_rng(6)
+    ids = np.minimum(rng.geometric(0.2, 20_000), 60).astype(np.int32) - 1
+    ids[0] = 0
+    index = P.FMIndex(P.FMIndex.transform(ids), pa.table({c: pa.array([b"w"] * 60, pa.large_binary()) for c in ("lang", "word")}))
+    n = np.bincount(index.bwt, minlength=60)
+    whole = rows = index
+    lo, size = (np.cumsum(n) - n)[1:], n[1:]
+    own, names = lo, [(i,) for i in range(1, 60)]
+    for k in range(2, P.MAX_WORDS + 1):
+        which, before, new, n = whole.extended(lo, size)
+        narrow = rows.extended(own, size)
+        assert all((a == b).all() for a, b in zip((which, before, n), (narrow[0], narrow[1], narrow[3])))
+        names = [(int(b), *names[w]) for w, b in zip(which, before)]
+        plain = Counter(tuple(ids[i:i + k].tolist()) for i in range(len(ids) - k + 1) if ids[i:i + k].all())
+        known = set(names)
+        assert dict(zip(names, n.tolist())) == {p: c for p, c in plain.items() if p in known}
+        assert {p for p, c in plain.items() if c >= 20} <= known
+        keep = n >= 20
+        lo, size, names = new[keep], n[keep], [p for p, on in zip(names, keep) if on]
+        rows = rows.narrowed(narrow[2][keep], size)
+        own = np.cumsum(size) - size
+        assert len(rows.shorter) == size.sum() < len(ids)
+
+
+def test_tokens_are_numbered_by_language():
+    texts = [b"New  York,\tnew\x00york..", b"", b" a\r\nb ", b"\x1c NEW"]
+    data, begins = P.tokens(texts)
+    cut = [bytes(x) for x in np.split(data, begins[1:])]
+    pieces = [re.findall(rb"[^\x20\x09]+", piece) for t in texts for piece in re.split(rb"[.,;:!?\x0A-\x0D]", t.lower())]
+    assert cut == [w for piece in pieces for w in [*piece, b"\n"]]
+    ids, words = P._numbered([(data, begins), P.tokens([b"york b c"])], 7)
+    assert words.to_pylist() == [b"new", b"york", b"new\x00york", b"a", b"b", b"\x1c", b"c"]
+    assert ids.tolist() == [7, 8, 0, 9, 0, 0, 0, 0, 10, 0, 0, 11, 0, 12, 7, 0, 8, 11, 13, 0]
+
+
+@pytest.mark.parametrize("numbers", [[3, 0, 3, 1, 0], [], [5], [2**40, 7, 2**62, 7, 0], [2**62] * 3])
+def test_order_is_stable(numbers):
+    assert P._order(np.array(numbers, np.int64)).tolist() == sorted(range(len(numbers)), key=lambda i: (numbers[i], i))
+
+
+def test_shards_are_dealt_over_all_salts(spark):
+    """Names of shards end in twenty zeros; with two salts, all shards had the same."""
+    shards = spark.range(400).selectExpr("id << 20 AS shard")
+    for salts in (2, 8):
+        n = [r["count"] for r in shards.groupBy(P._salt(salts).alias("salt")).count().collect()]
+        assert len(n) == salts and min(n) > 400 / salts / 2

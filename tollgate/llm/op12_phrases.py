@@ -1,6 +1,6 @@
 """Phrase collocations from one FM-index per shard over word ids.
 
-1. ``build``: tasks turn their documents into a stream of word ids with separators between
+1. ``build``: tasks turn their documents into a stream of word ids, language by language, with separators between
    pieces and documents.  Every ``SHARD_WORDS`` ids become a shard: suffixes sorted by their first
    ``MAX_WORDS`` words (enough for phrases of that length), the words before them as the BWT, one
    compressed file in the shared folder.
@@ -8,7 +8,8 @@
    frequent phrases by one word: to the left by a step through the BWT (the words before an
    interval's suffixes, each with its new interval), to the right by nesting: a longer phrase's
    interval lies inside that of its beginning, so extensions whose beginning ended in an earlier
-   round are cut off on the spot.  One order thus serves both directions.  Counts are summed over
+   round are cut off on the spot.  One order thus serves both directions.  As a longer phrase's rows all lie in
+   those intervals, from round 3 on a shard keeps and reads only the rows of its frequent phrases.  Counts are summed over
    shards; phrases below ``min_count`` end there, since no longer phrase can have more.
    Frequent words and phrases have numbers.  A word's key is its language and itself; a longer phrase's
    is the number of its first word and that of the rest, exactly, in 64 bits.  A shard sends its keys and counts sorted and packed, a
@@ -36,9 +37,9 @@ order; empty tables give empty results; other columns are ignored.
 from __future__ import annotations
 
 import io
-import itertools
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -70,22 +71,37 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 
 
-def tokens(text: bytes) -> list:
-    """Words and, between pieces, b"\\n"."""
-    return [w for w in text.lower().translate(_SEPARATORS).replace(b"\n", b" \n ").split(b" ") if w]
+def tokens(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """The words of the texts and, between pieces and after each text, b"\\n": the bytes of all, and where each begins."""
+    data = np.frombuffer(b"\n".join([*texts, b""]).lower().translate(_SEPARATORS), np.uint8)
+    word, cut = data != 32, data == 10
+    begins = cut.copy()
+    begins[0] = word[0]
+    begins[1:] |= word[1:] & ~(word[:-1] & ~cut[:-1])
+    return data[word], np.flatnonzero(begins[word])
 
 
-class _Ids(dict):
-    """Numbers for the words of a language, from one counter for all."""
+def _numbered(parts: list, first: int) -> tuple[np.ndarray, pa.Array]:
+    """Ids of tokens, which are words of one language from id ``first`` on or separators (0), and the words in order of their ids."""
+    at = np.cumsum([0, *(len(data) for data, _ in parts)])
+    begins = np.concatenate([*(b + x for (_, b), x in zip(parts, at.tolist())), at[-1:]])
+    data = np.concatenate([data for data, _ in parts])
+    coded = pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins), pa.py_buffer(data)]).dictionary_encode()
+    cut = pc.index(coded.dictionary, pa.scalar(b"\n", pa.large_binary())).as_py()
+    ids = np.arange(first, first + len(coded.dictionary), dtype=np.int32)
+    ids[cut + 1:] -= 1
+    ids[cut] = 0
+    return ids[coded.indices.to_numpy()], pa.concat_arrays([coded.dictionary[:cut], coded.dictionary[cut + 1:]])
 
-    def __init__(self, counter: Iterator, known: list, lang: str):
-        super().__init__({b"\n": 0})
-        self.counter, self.known, self.lang = counter, known, lang
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = i = next(self.counter)
-        self.known.append((self.lang, word))
-        return i
+def _order(x: np.ndarray) -> np.ndarray:
+    """Places of the numbers from 0 on in rising order, equal ones as they stand."""
+    bits = len(x).bit_length()
+    if int(x.max(initial=0)).bit_length() + bits > 63:
+        return np.argsort(x, kind="stable").astype(np.int32)
+    both = x.astype(np.int64) << bits | np.arange(len(x))  # plain numbers sort several times faster than places
+    both.sort()
+    return (both & ((1 << bits) - 1)).astype(np.int32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -94,47 +110,73 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class FMIndex:
+class Rows:
+    """Rows of sorted suffixes.  ``first`` and ``n`` are runs of their first ids, ``shorter`` is the row of the suffix
+    one word shorter, of every row; the number of rows if that is not among them."""
+
+    def __init__(self, shorter: np.ndarray, first: np.ndarray, n: np.ndarray):
+        self.shorter, self.first, self.n = shorter, first, n
+
+    def at(self, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Which of the disjoint intervals, sorted by ``lo``, each row lies in, or -1; and a last -1."""
+        rows, which = int(self.n.sum()), np.full(2 * len(lo) + 1, -1, np.int32)
+        which[1::2] = np.arange(len(lo))
+        runs = np.empty(len(which), np.int64)
+        runs[1::2], runs[::2] = size, np.diff(np.concatenate([lo, [rows + 1]]), prepend=0) - np.concatenate([[0], size])
+        return np.repeat(which, runs)
+
+    def extended(self, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(interval, id before it, new lo, new size) of all extensions to the left of disjoint
+        intervals sorted by ``lo`` whose beginning also lies in one of these intervals; sorted by new lo."""
+        at, ends = self.at(lo, size), int(self.n[:1].sum()) if len(self.n) and self.first[0] == 0 else 0
+        # rows stand in the order of their first id and, with that, of the suffixes one word shorter
+        which = at[self.shorter[ends:]]
+        new = np.flatnonzero((which >= 0) & (at[ends:-1] >= 0))
+        which, first = which[new], np.repeat(self.first, self.n)[ends:][new]
+        begins = np.flatnonzero(np.concatenate([np.ones(min(1, len(new)), bool), (which[1:] != which[:-1]) | (first[1:] != first[:-1])]))
+        return which[begins].astype(np.int64), first[begins], new[begins] + ends, np.diff(begins, append=len(new)).astype(np.int32)
+
+    def narrowed(self, lo: np.ndarray, size: np.ndarray) -> Rows:
+        """The rows of disjoint intervals of phrases alone, sorted by ``lo``: all that longer phrases ask for."""
+        rows = np.flatnonzero(self.at(lo, size)[:-1] >= 0)
+        new = np.full(int(self.n.sum()) + 1, len(rows), np.int32)
+        new[rows] = np.arange(len(rows))
+        return Rows(new[self.shorter[rows]], self.first[np.searchsorted(np.cumsum(self.n), lo, "right")], size)
+
+
+class FMIndex(Rows):
     """BWT of a sequence of ids (0 separates) whose suffixes are sorted by ``MAX_WORDS`` ids.
     ``words`` has columns lang and word, row i for id i."""
 
     def __init__(self, bwt: np.ndarray, words: pa.Table):
         self.bwt, self.words = bwt, words
-        #: Row of the suffix one word shorter, of every row; and of the suffix one word longer.
-        self.shorter = np.argsort(bwt, kind="stable").astype(np.int32)
-        self.longer = np.empty(len(bwt), np.int32)
-        self.longer[self.shorter] = np.arange(len(bwt), dtype=np.int32)
+
+    @cached_property
+    def shorter(self) -> np.ndarray:
+        return _order(self.bwt)
+
+    @cached_property
+    def n(self) -> np.ndarray:
+        return np.bincount(self.bwt, minlength=self.words.num_rows)
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return np.arange(len(self.n))
 
     @staticmethod
     def transform(ids: np.ndarray) -> np.ndarray:
-        """The BWT: ranks of 1, 2 and 4 ids by sorting pairs, then by MAX_WORDS = 4 + 1."""
-        def pair(a: np.ndarray, step: int, b: np.ndarray) -> np.ndarray:
-            after = np.zeros(len(a), np.int64)
-            after[:len(b) - step] = b[step:] + 1
-            return a.astype(np.int64) * (int(b.max(initial=0)) + 2) + after
-
-        rank = ids.astype(np.int64)
-        for step in (1, 2):
-            key = pair(rank, step, rank)
-            order = np.argsort(key)
-            key = key[order]
-            rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
-        order = np.argsort(pair(rank, 4, ids.astype(np.int64)), kind="stable")
-        return ids[order - 1]
-
-    def extended(self, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(interval, id before it, new lo, new size) of all extensions to the left of disjoint
-        intervals sorted by ``lo`` whose beginning also lies in one of these intervals."""
-        which = np.repeat(np.arange(len(lo)), size)
-        row = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which]
-        before = self.bwt[row].astype(np.int64)
-        word = before > 0
-        which, row, before = which[word], row[word], before[word]
-        key, first, n = np.unique(which * (int(self.bwt.max(initial=0)) + 1) + before, return_index=True, return_counts=True)
-        which, before, new = which[first], before[first], self.longer[row[first]]
-        inside = np.searchsorted(lo, new, "right") - 1
-        keep = (inside >= 0) & (new < lo[inside] + size[inside])
-        return which[keep], before[keep], new[keep], n[keep].astype(np.int32)
+        """The BWT: order by 2 ids, by pairs of their ranks, then by MAX_WORDS = 4 + 1; the first id follows the last."""
+        def before(order: np.ndarray, step: int, by: np.ndarray) -> np.ndarray:
+            order = order - step
+            order[order < 0] += len(order)
+            return order[_order(by[order])]
+
+        pairs = ids.astype(np.int64) * (int(ids.max(initial=0)) + 1) + np.roll(ids, -1)
+        order = _order(pairs)
+        pairs = pairs[order]
+        rank = np.empty(len(ids), np.int32)
+        rank[order] = np.cumsum(np.concatenate([[False], pairs[1:] != pairs[:-1]]))
+        return ids[before(before(order, 2, rank), 1, ids) - 1]
 
     def ids(self, lo: np.ndarray, k: int) -> list:
         """The ids of the phrases of ``k`` words whose intervals begin at ``lo``, word by word."""
@@ -177,33 +219,43 @@ class FMIndex:
 def _build(folder: str, shard_words: int):
     """Writes the shards of a task's documents; returns shard, lang and n (words of the language)."""
 
-    def flush(made: int, ids: list, known: list) -> pa.RecordBatch:
+    def flush(made: int, known: dict) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().taskAttemptId() << 20 | made
-        words = pa.table({"lang": pa.array([b"", *(x.encode() for x, _ in known)], pa.large_binary()),
-                          "word": pa.array([b"", *(w for _, w in known)], pa.large_binary())})
-        bwt = FMIndex.transform(np.array(ids, np.int32))
-        put_file(f"{folder}/{shard:016x}.fmi", FMIndex(bwt, words).to_bytes())
-        n: dict = {}
-        for (x, _), f in zip(known, np.bincount(bwt, minlength=len(known) + 1)[1:].tolist()):
-            n[x] = n.get(x, 0) + f
-        return pa.RecordBatch.from_arrays([pa.array([shard] * len(n), pa.int64()), pa.array(n.keys(), pa.string()),
-                                           pa.array(n.values(), pa.int64())], names=["shard", "lang", "n"])
+        ids, langs, words, ends = [np.zeros(1, np.int32)], [], [], [1]
+        while known:
+            lang, parts = known.popitem()
+            own, of = _numbered(parts, ends[-1])
+            ids.append(own)
+            if len(of):
+                langs.append(lang)
+                words.append(of)
+                ends.append(ends[-1] + len(of))
+        if not langs:
+            return
+        bwt = FMIndex.transform(np.concatenate(ids))
+        empty, lang = pa.array([b""], pa.large_binary()), pa.array([x.encode() for x in langs], pa.large_binary())
+        table = pa.table({"lang": pa.concat_arrays([empty, lang.take(pa.array(np.repeat(np.arange(len(langs)), np.diff(ends))))]),
+                          "word": pa.concat_arrays([empty, *words])})
+        put_file(f"{folder}/{shard:016x}.fmi", FMIndex(bwt, table).to_bytes())
+        n = np.add.reduceat(np.bincount(bwt, minlength=ends[-1]), ends[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array([shard] * len(n), pa.int64()), pa.array(langs, pa.string()), pa.array(n, pa.int64())],
+                                         names=["shard", "lang", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, ids = 0, [0]
-        counter, known, langs = itertools.count(1), [], {}
-        for batch, texts in text_batches(batches, 1):
+        made, size, words, known = 0, 0, False, {}
+        for batch, texts in text_batches(batches, 1, max_bytes=min(4 << 20, shard_words)):
+            of: dict = {}
             for lang, t in zip(batch.column(0).to_pylist(), texts):
-                if lang not in langs:
-                    langs[lang] = _Ids(counter, known, lang)
-                ids.extend(map(langs[lang].__getitem__, tokens(t)))
-                ids.append(0)
-                if len(ids) >= shard_words and known:
-                    yield flush(made, ids, known)
-                    made += 1
-                    ids, counter, known, langs = [0], itertools.count(1), [], {}
-        if known:
-            yield flush(made, ids, known)
+                of.setdefault(lang, []).append(t)
+            for lang, own in of.items():
+                data, begins = tokens(own)
+                known.setdefault(lang, []).append((data, begins))
+                size += len(begins)
+                words = words or bool((data != 10).any())
+            if size >= shard_words and words:
+                yield from flush(made, known)
+                made, size, words, known = made + 1, 0, False, {}
+        yield from flush(made, known)
 
     return run
 
@@ -252,6 +304,11 @@ def _rows(rows: list) -> pa.Table:
                      "places": pa.array([r["places"] for r in rows], pa.binary()), "counts": pa.array([r["counts"] for r in rows], pa.binary())})
 
 
+def _salt(salts: int) -> Column:
+    """Deals the shards; their names end in zeros, so the name's hash says where."""
+    return F.pmod(F.xxhash64("shard"), F.lit(salts))
+
+
 def _summed(bits: int, min_count: int, folder: str | None = None):
     """Sums the counts of each part (rows sorted by part); with a folder, writes a bit for every
     bucket that reaches ``min_count`` instead of returning the sums."""
@@ -279,7 +336,7 @@ def _summed(bits: int, min_count: int, folder: str | None = None):
     return run
 
 
-def _frequent(folder: str, k: int, t: pa.Table, index: FMIndex) -> np.ndarray:
+def _frequent(folder: str, k: int, t: pa.Table) -> np.ndarray:
     """lo, size and number of a shard's frequent phrases of ``k`` words, by lo, from the answers to the keys sent."""
     shard, parts = t.column("shard")[0].as_py(), t.column("parts")[0].as_py()
     part, lo, size = _load(f"{folder}/{shard:016x}-{k}.nodes", 3)
@@ -291,13 +348,37 @@ def _frequent(folder: str, k: int, t: pa.Table, index: FMIndex) -> np.ndarray:
         numbers.append(np.cumsum(_unpress(ranks)) * parts + at)
     rows = np.concatenate(rows)
     out = np.stack([lo[rows], size[rows], np.concatenate(numbers)])
-    if k == 1:
-        by_id = np.full(index.words.num_rows, -1)
-        by_id[index.ids(out[0], 1)[0]] = out[2]
-        _store(f"{folder}/{shard:016x}.numbers", by_id)
     return out[:, np.argsort(out[0])]
 
 
+def _known(folder: str, k: int, t: pa.Table, first: bool) -> tuple[Rows, np.ndarray]:
+    """A shard's rows for round ``k`` and lo, size and number of its frequent phrases of k - 1 words.  The first task
+    of a round makes them from the answers; from round 3 on only rows of frequent phrases are kept."""
+    shard = t.column("shard")[0].as_py()
+    path, whole = f"{folder}/{shard:016x}", FMIndex.from_bytes(get_file(f"{folder}/{shard:016x}.fmi")) if k == 2 or k == 3 and first else None
+    if not first:
+        known = _load(f"{path}-{k - 1}.frequent", 3)
+        return whole or Rows(*_load_rows(f"{path}-{k - 1}")), known
+    known = _frequent(folder, k - 1, t)
+    rows = whole or Rows(*_load_rows(f"{path}-{k - 2}"))
+    if k == 2:
+        by_id = np.full(len(rows.n), -1)
+        by_id[rows.ids(known[0], 1)[0]] = known[2]
+        _store(f"{path}.numbers", by_id)
+    else:
+        rows = rows.narrowed(known[0], known[1])
+        known[0] = np.cumsum(known[1]) - known[1]
+        put_file(f"{path}-{k - 1}.shorter", _press(rows.shorter))
+        _store(f"{path}-{k - 1}.first", rows.first, rows.n)
+    _store(f"{path}-{k - 1}.frequent", *known)
+    return rows, known
+
+
+def _load_rows(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    first, n = _load(f"{path}.first", 2)
+    return _unpress(get_file(f"{path}.shorter")), first, n
+
+
 def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters: str | None = None, parts: int = 1):
     """Phrases of ``k`` words of a shard from its frequent ones of k - 1 words, whose numbers are below ``space``:
     their counts by bucket, or with ``filters`` keys and counts of those whose bucket reaches ``min_count``, in
@@ -305,19 +386,14 @@ def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters:
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
-        index = FMIndex.from_bytes(get_file(f"{folder}/{shard:016x}.fmi"))
         if k == 1:
-            n = np.bincount(index.bwt, minlength=index.words.num_rows)
+            index = FMIndex.from_bytes(get_file(f"{folder}/{shard:016x}.fmi"))
+            n = index.n
             lo, size, ids = (np.cumsum(n) - n)[1:], n[1:], np.arange(1, len(n))
             hashes = index.hashes()[1:]
         else:
-            path = f"{folder}/{shard:016x}-{k - 1}.frequent"
-            if filters is None:
-                known = _frequent(folder, k - 1, t, index)
-                _store(path, *known)
-            else:
-                known = _load(path, 3)
-            which, before, lo, size = index.extended(known[0], known[1])
+            rows, known = _known(folder, k, t, filters is None)
+            which, before, lo, size = rows.extended(known[0], known[1])
             key = _load(f"{folder}/{shard:016x}.numbers", 1)[0][before] * space + known[2][which]
             hashes = _mix(key.astype(np.uint64) + _BASE)
         bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
@@ -330,11 +406,11 @@ def _round(folder: str, k: int, bits: int, min_count: int, space: int, filters:
             cuts = np.flatnonzero(np.diff(part)) + 1
             return _rows([_packed(p & ((1 << PART_BITS) - 1), c, int(p[0]) >> PART_BITS, shard)
                           for p, c in zip(np.split(places, cuts), np.split(sums, cuts)) if len(p)])
-        keep = np.zeros(len(bucket), bool)
+        # a bit for every bucket: 1 << MOST_BUCKETS bits at most
+        size_, on = 1 << min(bits, PART_BITS), np.zeros(1 << bits >> 3, np.uint8)
         for part in np.unique(bucket >> PART_BITS).tolist():
-            on = np.unpackbits(np.frombuffer(get_file(f"{filters}/{part:06d}.bits"), np.uint8))
-            of = np.flatnonzero(bucket >> PART_BITS == part)
-            keep[of] = on[bucket[of] & ((1 << PART_BITS) - 1)] == 1
+            on[part * size_ >> 3:(part + 1) * size_ >> 3] = np.frombuffer(get_file(f"{filters}/{part:06d}.bits"), np.uint8)
+        keep = on[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1 == 1
         lo, size = lo[keep], size[keep]
         if k == 1:
             key, part = index.keys().take(pa.array(ids[keep])), (hashes[keep] % np.uint64(parts)).astype(np.int64)
@@ -437,7 +513,7 @@ def counted_phrases(spark: SparkSession, docs: DataFrame, min_count: int = MIN_C
             filters = shared_dir(spark, f"phrase-buckets-{k}")
             sums = state.repartition(tasks, "shard").groupBy("shard").applyInArrow(_round(folder, k, bits, min_count, space), COUNTS)
             if salts > 1:
-                sums = sums.withColumn("salt", F.pmod("shard", F.lit(salts))).repartition("part", "salt").drop("salt")
+                sums = sums.withColumn("salt", _salt(salts)).repartition(min(most, summing * salts), "part", "salt").drop("salt")
                 sums = sums.sortWithinPartitions("part").mapInArrow(_summed(bits, min_count), COUNTS)
             sums.repartition(summing, "part").sortWithinPartitions("part").mapInArrow(_summed(bits, min_count, filters), COUNTS).count()
             shards = state.select("shard").distinct().repartition(tasks, "shard").groupBy("shard")
