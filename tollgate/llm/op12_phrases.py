@@ -99,9 +99,12 @@ def _order(x: np.ndarray) -> np.ndarray:
     bits = len(x).bit_length()
     if int(x.max(initial=0)).bit_length() + bits > 63:
         return np.argsort(x, kind="stable").astype(np.int32)
-    both = x.astype(np.int64) << bits | np.arange(len(x))  # plain numbers sort several times faster than places
-    both.sort()
-    return (both & ((1 << bits) - 1)).astype(np.int32)
+    both = x.astype(np.int64)
+    both <<= bits
+    both |= np.arange(len(x))
+    both.sort()  # plain numbers sort several times faster than places
+    both &= (1 << bits) - 1
+    return both.astype(np.int32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
